@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import packing, token_files
+from . import packing, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,9 +14,17 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(_table(spark, sf_dir, "documents"))[1]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict = {"op1_token_files": op1_token_files, "op3_mixture_packing": op3_mixture_packing}
+QUERIES: dict = {
+    "op1_token_files": op1_token_files,
+    "op2_simhash": op2_simhash,
+    "op3_mixture_packing": op3_mixture_packing,
+}
 ORACLE_SQL: dict = {}
