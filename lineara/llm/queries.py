@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, packing, quality, simhash, token_files
+from . import chat, fm_index, packing, quality, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.unionByName(probe)))
 
 
+def op8_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.report(fm_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(quality.ledger(_table(spark, sf_dir, "documents")))
     base = rows["failed_bits"].bitwiseAND(quality.mask("base")) != 0
@@ -40,6 +44,7 @@ QUERIES: dict = {
     "op2_simhash": op2_simhash,
     "op3_mixture_packing": op3_mixture_packing,
     "op6_chat_format": op6_chat_format,
+    "op8_fm_decontamination": op8_fm_decontamination,
     "op10_quality_ledger": op10_quality_ledger,
 }
 
@@ -60,6 +65,23 @@ ORACLE_SQL: dict = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(text_chars + CASE WHEN opens THEN 12 + role_chars + 1 + 11 ELSE 10 END) AS BIGINT) AS formatted_chars
         FROM cut GROUP BY conv_id""",
+    "op8_fm_decontamination": r"""
+        WITH w AS (
+            SELECT doc_id, NULL AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+            UNION ALL
+            SELECT NULL, CAST(item_id AS VARCHAR), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+        p AS (
+            SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS k
+            FROM (SELECT item_id, words, least(10, len(words)) AS size, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i FROM w WHERE item_id IS NOT NULL AND len(words) > 0)),
+        o AS (
+            SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS k
+            FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM w, (SELECT DISTINCT size FROM p) WHERE doc_id IS NOT NULL)),
+        h AS (SELECT DISTINCT doc_id, item_id, i, o.size FROM o JOIN p USING (size, k)),
+        n AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM h) GROUP BY doc_id),
+        t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items FROM h GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id) WHERE w.item_id IS NULL""",
     "op10_quality_ledger": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
