@@ -7,9 +7,13 @@ tokenizers library, and the ids of the text are those of its chunks in order. Ch
 """
 
 import os
+import unicodedata
+
+import numpy as np
 
 SAFE_LENGTH = 80
 BATCH_CHARS = 2_000_000
+TOGETHER = 200
 
 
 def vocabulary(name: str) -> str:
@@ -30,16 +34,42 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        names = sorted((i, t) for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items())
+        self.lengths = np.zeros(names[-1][0] + 1, dtype=np.int64)  # bytes that each id stands for
+        self.lengths[[i for i, _ in names]] = [len(t) - 4 * t.endswith("</w>") for _, t in names]
+        self.normal = self.tokenizer.normalizer is not None
         self.young: dict = {}
         self.old: dict = {}
         self.limit = limit
 
-    def _ids(self, chunks: list) -> list:
-        import numpy as np
-
+    def _one_by_one(self, chunks: list) -> list:
         got = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
 
+    def _bytes(self, chunk: str) -> int:
+        """Bytes of a chunk that its ids stand for."""
+        if not self.normal:
+            return len(chunk) if chunk.isascii() else len(chunk.encode())
+        return len(chunk) - 1 if chunk.isascii() else len(unicodedata.normalize("NFC", chunk).lower().encode()) - 1
+
+    def _ids(self, chunks: list) -> list:
+        """Ids of new chunks: many are encoded as one text and parted again where their bytes end."""
+        alone = [c for c in chunks if c[:1] not in (" ", "\n")]
+        found = dict(zip(alone, self._one_by_one(alone)))
+        rest = [c for c in chunks if c not in found]
+        groups = [rest[k : k + TOGETHER] for k in range(0, len(rest), TOGETHER)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.cumsum(self.lengths[ids])
+            want = np.cumsum(np.fromiter(map(self._bytes, group), dtype=np.int64, count=len(group)))
+            at = np.searchsorted(ends, want) + 1
+            if len(ids) and at[-1] == len(ids) and np.array_equal(ends[at - 1], want):
+                raw, cut = ids.tobytes(), [0, *(4 * at).tolist()]
+                found.update((c, raw[x:y]) for c, x, y in zip(group, cut, cut[1:]))
+            else:
+                found.update(zip(group, self._one_by_one(group)))
+        return [found[c] for c in chunks]
+
     @staticmethod
     def _unsafe(chunk: str) -> bool:
         return chunk[:1] in (" ", "\n") and (len(chunk) == 1 or chunk[1].isspace())
@@ -53,27 +83,27 @@ class ChunkEncoder:
                 out.append(p)
         return out
 
-    def _learn(self, wanted: set) -> dict:
-        """The ids of the chunks wanted; None where a chunk has to be joined to the one before."""
-        found, new = {}, []
-        for w in wanted:
-            if w in self.young:
-                found[w] = self.young[w]
-            elif w in self.old:
-                found[w] = self.young[w] = self.old[w]
+    def _learn(self, wanted: set) -> None:
+        """Have the ids of the chunks wanted among the young; None where a chunk has to be joined to the one before."""
+        new, young = [], self.young
+        for w in wanted.difference(young):
+            if w in self.old:
+                young[w] = self.old[w]
             elif self._unsafe(w):
-                found[w] = None
+                young[w] = None
             else:
                 new.append(w)
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
-            for w, ids in zip(part, self._ids(part)):
-                found[w] = ids
-                if len(w) <= SAFE_LENGTH:
-                    self.young[w] = ids
+            young.update(zip(part, self._ids(part)))
+
+    def _forget(self, wanted: set) -> None:
+        """Keep no long chunks, and no more than the limit."""
+        for w in wanted:
+            if len(w) > SAFE_LENGTH:
+                self.young.pop(w, None)
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
-        return found
 
     def encode(self, texts: list) -> list:
         out, k = [], 0
@@ -91,13 +121,19 @@ class ChunkEncoder:
         wanted: set = set()
         for pieces in cut:
             wanted.update(pieces)
-        ids = self._learn(wanted)
-        again = [k for k, pieces in enumerate(cut) if None in map(ids.__getitem__, pieces)] if None in ids.values() else []
-        for k in again:
-            cut[k] = self._merged(cut[k])
-        if again:
-            ids |= self._learn({p for k in again for p in cut[k]} - ids.keys())
-        return [b"".join(map(ids.__getitem__, pieces)) for pieces in cut]
+        self._learn(wanted)
+        ids, out = self.young.__getitem__, []
+        for pieces in cut:
+            try:
+                out.append(b"".join(map(ids, pieces)))
+            except TypeError:  # a None: some pieces have to be joined
+                pieces = self._merged(pieces)
+                whole = {p for p in pieces[:1] if self._unsafe(p)}  # white space that the text begins with
+                self._learn(set(pieces) - whole)
+                wanted.update(pieces)
+                out.append(b"".join(self._one_by_one([p])[0] if p in whole else self.young[p] for p in pieces))
+        self._forget(wanted)
+        return out
 
 
 ENCODERS: dict = {}
