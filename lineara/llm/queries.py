@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, fm_index, packing, quality, simhash, token_files
+from . import chat, fm_index, line_dedup, packing, quality, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.unionByName(probe)))
 
 
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_index.report(fm_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
@@ -44,6 +48,7 @@ QUERIES: dict = {
     "op2_simhash": op2_simhash,
     "op3_mixture_packing": op3_mixture_packing,
     "op6_chat_format": op6_chat_format,
+    "op7_line_chunks": op7_line_chunks,
     "op8_fm_decontamination": op8_fm_decontamination,
     "op10_quality_ledger": op10_quality_ledger,
 }
