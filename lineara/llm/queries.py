@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, fm_index, line_dedup, packing, quality, simhash, token_files
+from . import chat, fm_index, language, line_dedup, packing, quality, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,13 @@ def op8_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_index.report(fm_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op9_language_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.learn(docs, language.fold(docs["doc_id"]) != 1)
+    said = language.identify(docs.select("doc_id", "text"), model)
+    return said.select("doc_id", (language.fold(said["doc_id"]) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(quality.ledger(_table(spark, sf_dir, "documents")))
     base = rows["failed_bits"].bitwiseAND(quality.mask("base")) != 0
@@ -50,6 +57,7 @@ QUERIES: dict = {
     "op6_chat_format": op6_chat_format,
     "op7_line_chunks": op7_line_chunks,
     "op8_fm_decontamination": op8_fm_decontamination,
+    "op9_language_bits": op9_language_bits,
     "op10_quality_ledger": op10_quality_ledger,
 }
 
