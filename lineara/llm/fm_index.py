@@ -12,11 +12,11 @@ All windows of the benchmark (``window`` consecutive words of an item; a shorter
 backwards at once; rows found are located, and the places are merged into removal spans.
 
 The benchmark's windows go to every task, so their size is checked: more than ``max_words`` words of items are refused
-and have to be searched in parts. Null texts have no words; a null doc_id stays null; null or wordless items have no windows; equal rows are separate documents; items with the same id count once;
-empty tables give no rows, or documents without hits. All columns but doc_id, text and item_id are ignored.
+and have to be searched in parts. Null texts have no words; a null doc_id stays null; null or wordless items have no
+windows; equal rows are separate documents; items with the same id count once, and null ids hit but aren't listed; empty
+tables give no rows, or documents without hits. Columns besides doc_id, text and item_id are ignored, or kept by cleaned().
 """
 
-import hashlib
 import itertools
 import re
 
@@ -24,14 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from .common import arrow_schema, texts
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SAMPLE = 16
 #: Letters and digits and bytes beyond ASCII stay, A-Z become small, all else is a space.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
-HITS = "doc_id long, text string, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
+HITS = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
 def words_of(text: str) -> list:
@@ -183,10 +183,10 @@ class Phrases:
 
 
 def scan(documents: list, phrases: Phrases) -> list:
-    """For each (doc_id, text): n_words, hit words as merged [start, end) word spans, and ids of items found."""
+    """For each text: n_words, hit words as merged [start, end) word spans, and ids of items found."""
     numbers, parts, starts, at = Numbers(), [], [], 0
-    for _, text in documents:
-        got = words_of(text)
+    for document in documents:
+        got = words_of(document)
         starts.append(at)
         parts.append(np.fromiter(itertools.chain(map(numbers.__getitem__, got), [0]), dtype=np.int64, count=len(got) + 1))
         at += len(got) + 1
@@ -228,18 +228,21 @@ def phrases_of(benchmark: DataFrame, window: int, max_words: int) -> Phrases:
     return Phrases(items, window)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1 << 20, max_words: int = 5_000_000, keep_text: bool = False) -> DataFrame:
-    """doc_id, text (null unless kept), n_words, n_hit, items and spans (removal spans in code points) of every document."""
-    schema = arrow_schema(HITS)
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1 << 20, max_words: int = 5_000_000, keep: list | None = None) -> DataFrame:
+    """doc_id, n_words, n_hit, items and spans (removal spans in code points) of every document, after the columns to keep."""
     phrases = phrases_of(benchmark, window, max_words)
+    kept = [f for f in docs.schema if f.name in (keep or ["doc_id"])]
+    rows = docs.select(*[f.name for f in kept], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_whole"))
+    out = T.StructType([*kept, *(f for f in T._parse_datatype_string(HITS))])
+    schema = to_arrow_schema(out)
 
     def run(batches):
         held, size = [], 0
         for b in batches:
             for k in range(0, b.num_rows, 256):
-                for doc_id, text in zip(*(c.to_pylist() for c in b.slice(k, 256).columns)):
-                    held.append((doc_id, text))
-                    size += len(text) // 5 + 1
+                for row in zip(*(c.to_pylist() for c in b.slice(k, 256).columns)):
+                    held.append(row)
+                    size += len(row[-1]) // 5 + 1
                     if size >= shard_words:
                         yield shard(held)
                         held, size = [], 0
@@ -248,15 +251,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard
 
     def shard(documents):
         rows = []
-        for (doc_id, text), (n, spans, found) in zip(documents, scan(documents, phrases)):
+        for row, (n, spans, found) in zip(documents, scan([d[-1] for d in documents], phrases)):
             marks = []
             if spans:
-                at = [m.span() for m in WORD.finditer(text)]
+                at = [m.span() for m in WORD.finditer(row[-1])]
                 marks = [{"start": at[s][0], "end": at[e - 1][1]} for s, e in spans]
-            rows.append((doc_id, text if keep_text else None, n, sum(e - s for s, e in spans), sorted(x for x in found if x is not None), marks))
+            rows.append((*row[:-1], n, sum(e - s for s, e in spans), sorted(x for x in found if x is not None), marks))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return texts(docs).mapInArrow(run, HITS)
+    return rows.mapInArrow(run, out)
 
 
 def report(hits: DataFrame) -> DataFrame:
@@ -267,8 +270,9 @@ def report(hits: DataFrame) -> DataFrame:
     )
 
 
-def cleaned(hits: DataFrame) -> DataFrame:
-    """doc_id and text without the removal spans; needs keep_text."""
+def cleaned(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """docs with the removal spans cut out of text and with n_hit, the words cut."""
+    hits = contamination(docs, benchmark, keep=docs.columns, **how)
     begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(a, s):
@@ -276,4 +280,4 @@ def cleaned(hits: DataFrame) -> DataFrame:
         return F.struct((s["end"].cast("int") + 1).alias("at"), F.concat(a["parts"], F.array(part)).alias("parts"))
 
     rest = F.aggregate("spans", begin, add, lambda a: F.array_join(F.concat(a["parts"], F.array(F.substring("text", a["at"], F.length("text")))), ""))
-    return hits.select("doc_id", F.when(F.size("spans") == 0, F.col("text")).otherwise(rest).alias("text"))
+    return hits.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(rest)).select(*docs.columns, "n_hit")
