@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, fm_index, language, line_dedup, main_text, packing, quality, simhash, token_files
+from . import chat, fm_index, language, line_dedup, main_text, packing, private_data, quality, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.private_data(_table(spark, sf_dir, "documents"))
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extracted(_table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ QUERIES: dict = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op3_mixture_packing": op3_mixture_packing,
+    "op4_private_data": op4_private_data,
     "op5_main_text": op5_main_text,
     "op6_chat_format": op6_chat_format,
     "op7_line_chunks": op7_line_chunks,
