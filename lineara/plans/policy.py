@@ -1,0 +1,26 @@
+"""Resources and retries of external tasks, as a table."""
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Label, processors, memory in GB and hours of a first attempt.
+RESOURCES = [("default", 1, 3, 1), ("fetch_file", 2, 8, 2), ("busco", 40, 40, 4), ("omamer", 10, 50, 4), ("python", 1, 10, 4)]
+#: Exit codes after which a task is tried again, and how often.
+RETRY_CODES, MOST_RETRIES = [104, 137, 140, 143], 3
+
+
+def resources(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(RESOURCES, "label string, cpus int, mem_gb int, hours int")
+
+
+def action(exit_code: Column, attempt: Column) -> Column:
+    """What follows a failed attempt."""
+    return F.when(exit_code.isin(RETRY_CODES) & (attempt <= MOST_RETRIES), "retry").otherwise("terminate")
+
+
+def planned(attempts: DataFrame) -> DataFrame:
+    """attempts (label, cpus, mem_gb, hours, attempt, exit_status) with what the attempt gets and what follows it."""
+    return attempts.select(
+        "label", "attempt", "exit_status", "cpus", (F.col("mem_gb") * F.col("attempt")).alias("mem_gb"), (F.col("hours") * F.col("attempt")).alias("hours"),
+        action(F.col("exit_status"), F.col("attempt")).alias("action"),
+    )

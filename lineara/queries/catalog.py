@@ -1,4 +1,361 @@
-"""The registered queries of the metadata engine and their SQL."""
+"""The registered queries of the metadata engine, and the SQL that each must agree with.
+
+The driver's tables hold no annotation data, so each operator runs on a whole table of the same shape, or on the
+fixtures where only the format matters.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import config, constants, schemas
+from ..functions import naming
+from ..operators import enrich, lineage, merge, metakeys, reports
+from ..plans import pipelines, policy
+from ..session import ship
+from . import fixtures as fx
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None):
+    """Register a function as the query of its name, with its SQL."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+EAV_COLUMNS = ["c_name", "c_mktsegment", "c_nation"]
+
+
+def eav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as key and value rows."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", F.col("c_nationkey").cast("string").alias("c_nation"))
+    return enrich.to_rows(rows, ["c_custkey"], EAV_COLUMNS)
+
+
+EAV = """eav AS (SELECT c_custkey, meta_key, meta_value FROM (
+    UNPIVOT (SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nation FROM customer)
+    ON c_name, c_mktsegment, c_nation INTO NAME meta_key VALUE meta_value))"""
+
+
+@query("SELECT c_name AS gca, CAST(c_custkey AS VARCHAR) AS taxon_id, 'core' AS core FROM customer")
+def manifest_project(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_name").alias("gca"), F.col("c_custkey").cast("string").alias("taxon_id"))
+    return enrich.assembly_records(rows)
+
+
+@query("""SELECT doc_id, line_no, line FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents) WHERE line_no > 0""")
+def manifest_lines_skip_header(spark, sf_dir):
+    return reports.lines_after_header(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+
+
+@query(f"WITH {EAV} SELECT * FROM eav")
+def eav_unpivot(spark, sf_dir):
+    return eav(spark, sf_dir)
+
+
+@query(f"WITH {EAV} SELECT * FROM eav WHERE meta_key = 'c_name'")
+def eav_point_lookup(spark, sf_dir):
+    return enrich.lookup(eav(spark, sf_dir), "c_name")
+
+
+@query(f"""WITH {EAV}, wide AS (SELECT c_custkey, min(meta_value) FILTER (meta_key = 'c_name') AS name, min(meta_value) FILTER (meta_key = 'c_mktsegment') AS segment FROM eav GROUP BY 1)
+    SELECT o_orderkey, o_custkey, name, segment FROM orders LEFT JOIN wide ON o_custkey = c_custkey""")
+def eav_pivot_enrich_full(spark, sf_dir):
+    wide = enrich.to_columns(eav(spark, sf_dir), "c_custkey", {"c_name": "name", "c_mktsegment": "segment"}).withColumnRenamed("c_custkey", "o_custkey")
+    return enrich.enrich(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), wide, "o_custkey")
+
+
+@query(f"WITH {EAV} SELECT o_orderkey, o_custkey, meta_value AS name FROM orders LEFT JOIN (SELECT * FROM eav WHERE meta_key = 'c_name') ON o_custkey = c_custkey")
+def eav_pivot_enrich_minimal(spark, sf_dir):
+    wide = enrich.to_columns(eav(spark, sf_dir), "c_custkey", {"c_name": "name"}).withColumnRenamed("c_custkey", "o_custkey")
+    return enrich.enrich(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), wide, "o_custkey")
+
+
+@query("SELECT n_nationkey, n_name, coalesce(r_name, 'ensembl') AS source FROM nation LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) ON n_regionkey = r_regionkey")
+def default_missing_row(spark, sf_dir):
+    known = table(spark, sf_dir, "region").where("r_regionkey < 3").withColumnRenamed("r_regionkey", "n_regionkey")
+    rows = enrich.enrich(table(spark, sf_dir, "nation"), known, "n_regionkey")
+    return rows.select("n_nationkey", "n_name", naming.or_missing(F.col("r_name"), F.lit(constants.DEFAULT_SOURCE)).alias("source"))
+
+
+@query(f"""SELECT db, gca, coalesce(nullif(scientific_name, ''), db) AS name FROM ({fx.values(fx.NAMES)}) t(db, scientific_name, production_name, source, gca, project, datatype)""")
+def default_empty_value(spark, sf_dir):
+    rows = fx.frame(ship(spark), fx.NAMES, fx.NAMES_SCHEMA)
+    return rows.select("db", "gca", naming.or_empty(F.col("scientific_name"), F.col("db")).alias("name"))
+
+
+@query("SELECT user_id, arg_min(value, event_id) AS first_value FROM events GROUP BY user_id")
+def first_row_deterministic(spark, sf_dir):
+    return enrich.first_by(table(spark, sf_dir, "events"), "user_id", F.col("value"), F.col("event_id"), "first_value")
+
+
+@query("SELECT p_partkey, lower(regexp_replace(p_name, '\\s', '_', 'g')) AS slug FROM part")
+def slug_name(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", F.lower(naming.slug_name(F.col("p_name"))).alias("slug"))
+
+
+@query("SELECT s_suppkey, replace(replace(lower(s_name || '_1.2'), '.', 'v'), '_', '') AS slug FROM supplier")
+def slug_accession(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select("s_suppkey", naming.slug_accession(F.concat("s_name", F.lit("_1.2"))).alias("slug"))
+
+
+@query("""SELECT c_custkey, regexp_replace(n_name, '\\s', '_', 'g') || '/' || c_name || '/' || r_name AS path
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def publish_path(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.select("c_custkey", naming.publish_path(naming.slug_name(F.col("n_name")), F.col("c_name"), F.col("r_name")).alias("path"))
+
+
+NAMED = f"""named AS (
+    SELECT *, CASE WHEN db = 'core' THEN 'species' ELSE lower(regexp_replace(coalesce(nullif(scientific_name, ''), db), '\\s', '_', 'g')) END AS species,
+           CASE WHEN db = 'core' THEN gca ELSE regexp_replace(coalesce(nullif(scientific_name, ''), db), '\\s', '_', 'g') || '/' || gca || '/' || coalesce(source, 'ensembl') END AS publish_dir,
+           CASE datatype WHEN 'genome' THEN 'genome_busco' WHEN 'protein' THEN 'protein_busco' ELSE '' END AS label,
+           replace(replace(lower(gca), '.', 'v'), '_', '') AS slug
+    FROM ({fx.values(fx.NAMES)}) t(db, scientific_name, production_name, source, gca, project, datatype))"""
+
+
+@query(f"""WITH {NAMED} SELECT gca, publish_dir,
+    CASE WHEN project = 'brc' THEN label || '_short_summary.txt' ELSE species || '_' || slug || '_' || label || '_short_summary.txt' END AS summary_name,
+    species || '_' || slug || '_omark_proteins_detailed_summary.txt' AS omark_name,
+    CASE WHEN project = 'ensembl' THEN '/out/' || db ELSE '/out' END AS project_dir FROM named""")
+def summary_name_by_project(spark, sf_dir):
+    rows = fx.frame(ship(spark), fx.NAMES, fx.NAMES_SCHEMA)
+    species = naming.species(F.col("db"), F.col("scientific_name"))
+    return rows.select(
+        "gca", naming.record_path(F.col("db"), F.col("gca"), F.col("scientific_name"), F.col("source")).alias("publish_dir"),
+        naming.summary_name(F.col("project"), species, F.col("gca"), F.col("datatype")).alias("summary_name"), naming.omark_name(species, F.col("gca")).alias("omark_name"),
+        naming.publish_dir(F.lit("/out"), F.col("project"), F.col("db")).alias("project_dir"),
+    )
+
+
+#: A sparse map as lineage datasets are: every second nation, and the regions below 3 (numbered from 1000).
+def nation_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").cast("string").alias("taxon_id"), F.col("n_name").alias("dataset"))
+    regions = table(spark, sf_dir, "region").where("r_regionkey < 3").select((F.col("r_regionkey") + 1000).cast("string").alias("taxon_id"), F.col("r_name").alias("dataset"))
+    return nations.unionByName(regions)
+
+
+def customer_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customers as taxa below their nation and region."""
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.select("c_custkey", F.array((F.col("n_regionkey") + 1000).cast("long"), F.col("n_nationkey").cast("long")).alias("parents"))
+
+
+MAP = """lineage AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS dataset FROM nation WHERE n_nationkey % 2 = 0
+    UNION ALL SELECT r_regionkey + 1000, r_name FROM region WHERE r_regionkey < 3),
+    taxa AS (SELECT c_custkey, [n_regionkey + 1000, n_nationkey] AS parents FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    up AS (SELECT c_custkey, unnest(parents) AS id, generate_subscripts(parents, 1) AS pos FROM taxa),
+    near AS (SELECT c_custkey, arg_max(dataset, pos) AS dataset FROM up JOIN lineage USING (id) GROUP BY c_custkey)"""
+
+
+@query(f"WITH {MAP} SELECT n_nationkey, dataset FROM nation JOIN lineage ON n_nationkey = id")
+def lineage_exact_lookup(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_nationkey").cast("string").alias("taxon_id"))
+    return rows.join(nation_map(spark, sf_dir), "taxon_id").select("n_nationkey", "dataset")
+
+
+@query(f"WITH {MAP} SELECT * FROM near")
+def lineage_nearest_ancestor(spark, sf_dir):
+    return lineage.nearest_dataset(customer_taxa(spark, sf_dir), nation_map(spark, sf_dir), "c_custkey")
+
+
+@query(f"WITH {MAP} SELECT c_custkey FROM taxa WHERE c_custkey NOT IN (SELECT c_custkey FROM near)")
+def lineage_unmatched(spark, sf_dir):
+    return lineage.unmatched(customer_taxa(spark, sf_dir), nation_map(spark, sf_dir), "c_custkey").select("c_custkey")
+
+
+@query(f"WITH {MAP} SELECT c_custkey, 'given_odb10' AS forced, dataset AS blank FROM near")
+def dataset_override(spark, sf_dir):
+    near = lineage.nearest_dataset(customer_taxa(spark, sf_dir), nation_map(spark, sf_dir), "c_custkey")
+    return near.select("c_custkey", naming.override(" given_odb10\n", F.col("dataset")).alias("forced"), naming.override("  ", F.col("dataset")).alias("blank"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.k') AS parents FROM events")
+def taxonomy_json_parents(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    content = F.concat(F.lit('{"reports":[{"taxonomy":{"parents":['), F.col("k").cast("string"), F.lit("]}}]}"))
+    return lineage.parents_of(rows.withColumn("content", content)).select("event_id", "k", F.array_join(F.col("parents").cast("array<string>"), ",").alias("parents"))
+
+
+@query("""WITH RECURSIVE t(child, parent) AS (VALUES (2, 1), (3, 2), (4, 3), (5, 3), (6, NULL)),
+    up(child, ancestor, distance) AS (SELECT child, parent, 1 FROM t WHERE parent IS NOT NULL
+        UNION ALL SELECT up.child, t.parent, up.distance + 1 FROM up JOIN t ON t.child = up.ancestor)
+    SELECT * FROM up""")
+def taxonomy_walk_recursive(spark, sf_dir):
+    fx.frame(spark, [(2, 1), (3, 2), (4, 3), (5, 3), (6, None)], "child int, parent int").createOrReplaceTempView("lineara_taxa")
+    return lineage.walk_up(spark, "lineara_taxa", "child", "parent")
+
+
+@query("""SELECT doc_id, md5(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT contains(x, 'the')), chr(10))) AS text_md5 FROM documents""")
+def report_line_filter(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(reports.without_lines(F.col("text"), "the")).alias("text_md5"))
+
+
+@query("SELECT conv_id, md5(string_agg(text, '' ORDER BY turn)) AS text_md5, CAST(length(string_agg(text, '' ORDER BY turn)) AS BIGINT) AS n_chars FROM conversations GROUP BY conv_id")
+def report_concat(spark, sf_dir):
+    rows = reports.concatenated(table(spark, sf_dir, "conversations"), "conv_id", F.col("text"), F.col("turn"))
+    return rows.select("conv_id", F.md5("content").alias("text_md5"), F.length("content").cast("long").alias("n_chars"))
+
+
+def _found(pattern: str, group: int = 1) -> str:
+    return f"nullif(regexp_extract(content, {fx.literal(pattern)}, {group}), '')"
+
+
+def _picked(group: int) -> str:
+    return f"CASE WHEN run_mode = 'euk_genome_min' THEN {_found(constants.SCORE_ERRONEOUS, group)} ELSE {_found(constants.SCORE, group)} END"
+
+
+PARSED = f"""r AS (SELECT *, {_found(constants.MODE)} AS run_mode FROM ({fx.values(fx.REPORTS)}) t(gca, db, mode, path, content)),
+    parsed AS (SELECT gca, db, run_mode, {_found(constants.VERSION)} AS version, {_found(constants.DATASET)} AS dataset,
+        CASE WHEN run_mode IN ('genome', 'euk_genome_met', 'euk_genome_min') THEN 'genome' WHEN run_mode = 'proteins' THEN 'protein' END AS busco_mode,
+        {', '.join(f"TRY_CAST({_found(p)} AS INT) AS {n}" for n, p in constants.COUNTS.items())},
+        {_picked(0)} AS score, TRY_CAST({_picked(6)} AS INT) AS total,
+        CASE WHEN run_mode = 'euk_genome_min' THEN {_found(constants.SCORE_ERRONEOUS, 7)} END AS erroneous FROM r),
+    judged AS (SELECT *, CASE WHEN run_mode IS NULL THEN 'no_mode' WHEN busco_mode IS NULL THEN 'unknown_mode' WHEN score IS NULL THEN 'no_score' END AS reason FROM parsed)"""
+
+
+def judged(spark: SparkSession) -> DataFrame:
+    return reports.classified(reports.parse(fx.reports(ship(spark))))
+
+
+@query(f"WITH {PARSED} SELECT db, version, dataset, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in constants.COUNTS)} FROM parsed")
+def report_parse_counts(spark, sf_dir):
+    return judged(spark).select("db", "version", "dataset", *[F.col(c).cast("string").alias(c) for c in constants.COUNTS])
+
+
+@query(f"WITH {PARSED} SELECT db, score, CAST(total AS VARCHAR) AS total, erroneous FROM parsed")
+def report_parse_score(spark, sf_dir):
+    return judged(spark).select("db", "score", F.col("total").cast("string").alias("total"), "erroneous")
+
+
+@query(f"WITH {PARSED} SELECT db, run_mode, busco_mode, CASE WHEN run_mode IN ('genome', 'euk_genome_met', 'euk_genome_min') THEN 'assembly.' ELSE 'genebuild.' END AS prefix FROM parsed")
+def report_mode_dispatch(spark, sf_dir):
+    return judged(spark).select("db", "run_mode", "busco_mode", metakeys.prefix(F.col("run_mode")).alias("prefix"))
+
+
+@query(f"WITH {PARSED} SELECT db, gca, reason FROM judged WHERE reason IS NOT NULL")
+def report_quarantine(spark, sf_dir):
+    return judged(spark).select("db", "gca", "reason").where("reason IS NOT NULL")
+
+
+KEYED = f"""{PARSED}, keyed AS (
+    SELECT db, ordinal, CASE WHEN run_mode LIKE '%genome%' THEN 'assembly.' ELSE 'genebuild.' END || k AS meta_key, v AS meta_value FROM (
+        {' UNION ALL '.join(f"SELECT db, run_mode, {n} AS ordinal, '{k}' AS k, CAST({c} AS VARCHAR) AS v FROM judged WHERE reason IS NULL" for n, (c, k) in enumerate(constants.METAKEYS.items()))})
+    WHERE v IS NOT NULL)"""
+
+
+@query(f"WITH {KEYED} SELECT * FROM keyed")
+def metakeys_unpivot(spark, sf_dir):
+    return metakeys.to_eav(judged(spark), ["db"])
+
+
+def _document(head: str) -> str:
+    parts = [f"'{head}{k}', {c if c == 'total' else f'CAST({c} AS VARCHAR)'}" for c, k in constants.METAKEYS.items() if (c != "erroneous" or head == "assembly.")]
+    return f"json_object({', '.join(parts)}, 'core_db', db)"
+
+
+@query(f"""WITH {PARSED} SELECT db, db || '_busco_' || busco_mode || '_metakey.json' AS name,
+    regexp_replace(CAST(CASE WHEN busco_mode = 'genome' THEN {_document('assembly.')} ELSE {_document('genebuild.')} END AS VARCHAR), '"[a-z_.]+":null,', '', 'g') AS document
+    FROM judged WHERE reason IS NULL""")
+def metakeys_json(spark, sf_dir):
+    return metakeys.to_json(judged(spark))
+
+
+@query(f"""WITH {EAV} SELECT c_custkey, meta_key, 'INSERT IGNORE INTO meta (species_id, meta_key, meta_value) VALUES (1, ''' || meta_key || ''', ''' || replace(meta_value, '''', '''''') || ''');' AS statement FROM eav""")
+def sql_patch_statements(spark, sf_dir):
+    return eav(spark, sf_dir).select("c_custkey", "meta_key", metakeys.statement(F.col("meta_key"), F.col("meta_value")).alias("statement"))
+
+
+@query(f"""WITH {KEYED}, s AS (SELECT db, 'USE ' || db || ';' || chr(10) || chr(10) || string_agg('INSERT IGNORE INTO meta (species_id, meta_key, meta_value) VALUES (1, ''' || meta_key || ''', ''' || replace(meta_value, '''', '''''') || ''');', chr(10) ORDER BY ordinal) AS script FROM keyed GROUP BY db)
+    SELECT db, generate_subscripts(string_split(script, ';' || chr(10)), 1) - 1 AS ordinal, unnest(string_split(script, ';' || chr(10))) AS statement FROM s""")
+def sql_patch_split(spark, sf_dir):
+    scripts = metakeys.scripts(metakeys.to_eav(judged(spark), ["db"]), "db")
+    return metakeys.split_script(scripts, ["db"], "script").withColumn("ordinal", F.col("ordinal").cast("long"))
+
+
+@query("""WITH t AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'F'),
+    p AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+    SELECT * FROM t UNION ALL SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_custkey = p.o_custkey)""")
+def insert_ignore_merge(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return merge.insert_ignore(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'"), ["o_custkey"], ["o_orderkey"])
+
+
+@query(f"""WITH l(label, cpus, mem, hours) AS ({fx.values(policy.RESOURCES)}), a AS (SELECT unnest([1, 2, 3, 4]) AS attempt), x AS (SELECT unnest([1, 104, 137, 140, 143]) AS exit_status)
+    SELECT label, CAST(attempt AS INT) AS attempt, CAST(exit_status AS INT) AS exit_status, cpus, CAST(mem * attempt AS INT) AS mem_gb, CAST(hours * attempt AS INT) AS hours,
+           CASE WHEN exit_status IN (104, 137, 140, 143) AND attempt <= 3 THEN 'retry' ELSE 'terminate' END AS action FROM l, a, x""")
+def retry_resource_policy(spark, sf_dir):
+    rows = policy.resources(ship(spark)).withColumn("attempt", F.explode(F.array(*map(F.lit, range(1, 5)))))
+    return policy.planned(rows.withColumn("exit_status", F.explode(F.array(*map(F.lit, [1, *policy.RETRY_CODES])))))
+
+
+@query("SELECT c_custkey, mode FROM customer CROSS JOIN (VALUES ('genome'), ('protein')) m(mode)")
+def fanout_modes(spark, sf_dir):
+    return enrich.fan_out(table(spark, sf_dir, "customer").select("c_custkey"), config.Parameters().modes())
+
+
+@query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS cached FROM customer")
+def cache_probe(spark, sf_dir):
+    cache = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return merge.probe(table(spark, sf_dir, "customer").select("c_custkey"), cache, ["c_custkey"])
+
+
+@query("""SELECT o_custkey, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS complete, count(*) FILTER (o_orderstatus = 'O') AS fragmented,
+    count(*) FILTER (o_orderstatus = 'F') * 1000 // count(*) AS complete_per_mille, count(*) FILTER (o_orderstatus = 'O') * 1000 // count(*) AS fragmented_per_mille FROM orders GROUP BY o_custkey""")
+def completeness_counts(spark, sf_dir):
+    return reports.completeness(table(spark, sf_dir, "orders"), ["o_custkey"], F.col("o_orderstatus"), {"F": "complete", "O": "fragmented"})
+
+
+@query(f"""WITH {KEYED},
+    meta(db, species_id, meta_key, meta_value) AS ({fx.values(fx.META)}),
+    manifest AS (SELECT DISTINCT db FROM meta),
+    wide AS (SELECT db, min(meta_value) FILTER (meta_key = 'assembly.accession') AS gca, min(meta_value) FILTER (meta_key = 'species.taxonomy_id') AS taxon_id,
+        min(meta_value) FILTER (meta_key = 'species.scientific_name') AS name, min(meta_value) FILTER (meta_key = 'species.annotation_source') AS source FROM meta GROUP BY db),
+    taxa(taxon_id, parents) AS ({fx.values(fx.TAXA)}), lineage(id, dataset) AS ({fx.values(fx.LINEAGE)}),
+    near AS (SELECT taxon_id, arg_max(l.dataset, pos) AS busco_dataset FROM (SELECT taxon_id, CAST(unnest(parents) AS VARCHAR) AS id, generate_subscripts(parents, 1) AS pos FROM taxa) JOIN lineage l USING (id) GROUP BY taxon_id),
+    fresh AS (SELECT db, count(*) AS new_keys FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.db = k.db AND m.meta_key = k.meta_key) GROUP BY db)
+    SELECT w.db, w.gca, busco_dataset, regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g') || '/' || w.gca || '/' || coalesce(source, 'ensembl') AS publish_dir,
+        lower(regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g')) || '_' || replace(replace(lower(w.gca), '.', 'v'), '_', '') || '_' || r.mode || '_busco_short_summary.txt' AS summary_name,
+        score, reason, coalesce(new_keys, 0) AS new_keys
+    FROM manifest JOIN wide w USING (db) LEFT JOIN near USING (taxon_id) LEFT JOIN judged j USING (db) LEFT JOIN r USING (db) LEFT JOIN fresh USING (db)""")
+def pipeline_end_to_end(spark, sf_dir):
+    """A run over databases: for each its dataset, where its summary goes, its score or why there is none, and new metakeys."""
+    meta, found = fx.frame(ship(spark), fx.META, schemas.META), fx.reports(spark)
+    manifest = enrich.core_records(meta.select(F.col("db").alias("core")).distinct(), meta)
+    records = lineage.assigned(pipelines.described(manifest, meta), fx.frame(spark, fx.TAXA, schemas.TAXA), fx.frame(spark, fx.LINEAGE, schemas.LINEAGE))
+    named = pipelines.summaries(records, found, constants.DEFAULT_SOURCE).select("db", "summary_name")
+    parsed = reports.classified(reports.parse(found)).select("db", "score", "reason")
+    eav, _ = pipelines.report_metakeys(found)
+    fresh = merge.new_rows(meta, eav, ["db", "meta_key"], ["meta_value"]).groupBy("db").agg(F.count("*").alias("new_keys"))
+    rows = records.withColumnRenamed("core", "db").select("db", "gca", "busco_dataset", "publish_dir")
+    return rows.join(named, "db", "left").join(parsed, "db", "left").join(fresh, "db", "left").withColumn("new_keys", F.coalesce("new_keys", F.lit(0).cast("long")))
+
+
+@query("SELECT page_id, url, regexp_matches(url, '\\.example\\.com/') AS in_host, url LIKE '%#top' AS at_top FROM pages WHERE url LIKE '%/en/%'")
+def glob_filter(spark, sf_dir):
+    url = F.col("url")
+    return table(spark, sf_dir, "pages").where(url.contains("/en/")).select("page_id", "url", url.rlike(r"\.example\.com/").alias("in_host"), url.endswith("#top").alias("at_top"))
+
+
+@query("SELECT conv_id, md5(arg_max(text, turn)) AS text_md5 FROM conversations GROUP BY conv_id")
+def last_write_wins(spark, sf_dir):
+    return enrich.last_by(table(spark, sf_dir, "conversations"), "conv_id", F.col("text"), F.col("turn"), "last_text").select("conv_id", F.md5("last_text").alias("text_md5"))
+
+
+@query("""SELECT s, list_contains(l, 'genome') AS is_member, contains(s, 'genome') AS is_substring FROM (VALUES ('genome', ['genome']), ('genome,protein', ['genome,protein']), ('euk_genome_min', ['euk_genome_min']), ('protein', ['protein', 'genome'])) t(s, l)""")
+def string_membership_vs_substring(spark, sf_dir):
+    rows = fx.frame(ship(spark), [("genome", ["genome"]), ("genome,protein", ["genome,protein"]), ("euk_genome_min", ["euk_genome_min"]), ("protein", ["protein", "genome"])], "s string, l array<string>")
+    return rows.select("s", naming.has_member(F.col("l"), "genome").alias("is_member"), naming.has_substring(F.col("s"), "genome").alias("is_substring"))
