@@ -14,7 +14,8 @@ backwards at once; rows found are located, and the places are merged into remova
 The benchmark's windows go to every task, so their size is checked: more than ``max_words`` words of items are refused
 and have to be searched in parts. Null texts have no words; a null doc_id stays null; null or wordless items have no
 windows; equal rows are separate documents; items with the same id count once, and null ids hit but aren't listed; empty
-tables give no rows, or documents without hits. Columns besides doc_id, text and item_id are ignored, or kept by cleaned().
+tables give no rows, or documents without hits. Other columns are ignored; cleaned() keeps
+them, but for ones named as its results.
 """
 
 import itertools
@@ -232,7 +233,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard
     """doc_id, n_words, n_hit, items and spans (removal spans in code points) of every document, after the columns to keep."""
     phrases = phrases_of(benchmark, window, max_words)
     kept = [f for f in docs.schema if f.name in (keep or ["doc_id"])]
-    rows = docs.select(*[f.name for f in kept], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_whole"))
+    rows = docs.select(*[f.name for f in kept], F.coalesce(F.col("text").cast("string"), F.lit("")))
     out = T.StructType([*kept, *(f for f in T._parse_datatype_string(HITS))])
     schema = to_arrow_schema(out)
 
@@ -272,7 +273,8 @@ def report(hits: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """docs with the removal spans cut out of text and with n_hit, the words cut."""
-    hits = contamination(docs, benchmark, keep=docs.columns, **how)
+    own = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "spans")]
+    hits = contamination(docs, benchmark, keep=own, **how)
     begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(a, s):
@@ -280,4 +282,4 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
         return F.struct((s["end"].cast("int") + 1).alias("at"), F.concat(a["parts"], F.array(part)).alias("parts"))
 
     rest = F.aggregate("spans", begin, add, lambda a: F.array_join(F.concat(a["parts"], F.array(F.substring("text", a["at"], F.length("text")))), ""))
-    return hits.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(rest)).select(*docs.columns, "n_hit")
+    return hits.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(rest)).select(*own, "n_hit")

@@ -13,8 +13,8 @@ is never removed, so nothing disappears from the corpus as a whole.
 Only rows of numbers are shuffled to find runs and chunks; texts move twice, to compare candidates and to cut.
 
 Null texts are empty; rows without doc_id pass unchanged and count for nothing; rows equal in doc_id and text are one
-document; a text of which all lines go becomes empty; an empty table gives an empty table. Other columns pass through;
-their names must not begin with an underscore.
+document; a text of which all lines go becomes empty; an empty table gives an empty table. Other columns pass through,
+but for ones named n_lines or n_removed_lines, which are replaced.
 """
 
 from pyspark.sql import DataFrame
@@ -28,8 +28,10 @@ KEY = ["_id", "_th"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """_row with all columns of docs, and apart from it text, _id and _th, so that no column's name can clash."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumn("text", text).withColumn("_id", F.col("doc_id").cast("long")).withColumn("_th", F.xxhash64("text"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), text.alias("text"), F.col("doc_id").cast("long").alias("_id"))
+    return rows.withColumn("_th", F.xxhash64("text"))
 
 
 def pairs(docs: DataFrame) -> DataFrame:
@@ -81,11 +83,13 @@ def removals(docs: DataFrame, min_words: int = 50) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """docs with repeated chunks removed from text, and with n_lines and n_removed_lines."""
-    rows = _keyed(docs)
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
+    rows = _keyed(docs.select(*own))
     rows = rows.join(removals(rows, min_words), KEY, "left")
     lines = F.split("text", "\n")
     rest = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (g["first"] <= i) & (i <= g["last"])))
     rows = rows.withColumn("_n", F.size(lines)).withColumn("_rest", F.when(F.col("_gone").isNotNull(), rest))
-    rows = rows.withColumn("n_lines", F.col("_n").cast("long")).withColumn("n_removed_lines", F.when(F.col("_rest").isNull(), 0).otherwise(F.col("_n") - F.size("_rest")).cast("long"))
-    rows = rows.withColumn("text", F.when(F.col("_rest").isNull(), F.col("text")).otherwise(F.array_join("_rest", "\n")))
-    return rows.drop(*KEY, "_gone", "_n", "_rest")
+    gone = F.when(F.col("_rest").isNull(), 0).otherwise(F.col("_n") - F.size("_rest"))
+    text = F.when(F.col("_rest").isNull(), F.col("text")).otherwise(F.array_join("_rest", "\n"))
+    kept = [text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in own]
+    return rows.select(*kept, F.col("_n").cast("long").alias("n_lines"), gone.cast("long").alias("n_removed_lines"))
