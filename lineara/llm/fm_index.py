@@ -54,7 +54,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if n == 0:
         return np.zeros(0, dtype=np.int64)
     bits = int(text.max() + 1).bit_length()
-    h = max(1, 62 // bits)
+    h = max(1, min(n, 62 // bits))
     key = np.zeros(n, dtype=np.int64)
     for k in range(h):  # the first h numbers of each suffix in one key
         key <<= bits

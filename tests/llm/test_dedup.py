@@ -1,0 +1,187 @@
+"""Operators 2, 7 and 8: SimHash components, line chunks and decontamination against brute force."""
+
+import collections
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from lineara.llm import fm_index, line_dedup, queries, simhash
+
+M = 1 << 64
+SPACES = re.compile(r"[^\x20\x09-\x0D]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fingerprint(text, k=3):
+    words = SPACES.findall((text or "").translate(UPPER))
+    shingles = [" ".join(words[j : j + k]) for j in range(len(words) - k + 1)] if len(words) >= k else [" ".join(words)] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def classes(ids, linked):
+    up = {i: i for i in ids}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("tree_size,blocks", [(8192, 5), (2, 4)])
+def test_components(spark, sf, tree_size, blocks):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    fps = {r.doc_id: fingerprint(r.text) for r in docs.collect()}
+    ids = sorted(fps)
+    want = classes(ids, [(a, b) for n, a in enumerate(ids) for b in ids[:n] if (fps[a] ^ fps[b]).bit_count() <= 3])
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs, tree_size=tree_size, blocks=blocks).collect()}
+    assert {i: r.fingerprint for i, r in got.items()} == {i: f"{f:016x}" for i, f in fps.items()}
+    assert {i: r.component_id for i, r in got.items()} == want
+
+
+def test_trees_find_all_pairs():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    points = np.unique(base[rng.integers(0, 40, 900)] ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64)))
+    points = rng.permutation(points).reshape(-1, 1)
+    got = {(int(a), int(b)) for q, n in simhash.BKTree(points).search(points, 3) for a, b in zip(q, n)}
+    want = {(a, b) for a in range(len(points)) for b in range(len(points)) if int(points[a, 0] ^ points[b, 0]).bit_count() <= 3}
+    assert got == want
+    pairs = simhash._small([int(p[0]) for p in points[:60]], 3)
+    assert {(a, b) for a, b in pairs} == {(a, b) for a, b in want if b < a < 60}
+    counts = simhash.bit_counts(points[:, 0])
+    assert counts.tolist() == [sum(int(p) >> b & 1 for p in points[:, 0]) for b in range(63, -1, -1)]
+
+
+def test_chain_of_links_is_one_component(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(50, 51), (52, 51), (60, 60)], "a long, b long")
+    got = {r.node: r.component for r in simhash.components(edges).collect()}
+    assert {got.get(k, k) for k in range(1, 41)} == {1} and got[51] == got[52] == 50
+
+
+def test_similar_documents(spark):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(4000)]
+    base = [rng.choice(words) for _ in range(400)]
+    near = [base[:k] + ["changed"] + base[k + 1 :] for k in (50, 200, 300)]
+    other = [[rng.choice(words) for _ in range(400)] for _ in range(20)]
+    half = base[:200] + other[0][:200]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate([base, *near, base, half, *other])], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    assert [got[k] for k in range(5)] == [0] * 5 and all(got[k] == k for k in range(5, 26))
+
+
+def test_odd_rows(spark, odd, none):
+    got = simhash.near_duplicates(odd).collect()
+    assert len(got) == 8 and {r.component_id for r in got if r.doc_id in (2, 3, 4)} == {2}
+    assert [r.component_id for r in got if r.doc_id in (None, 1)] == [1, 1, 1]
+    assert simhash.near_duplicates(none).count() == 0 == simhash.similar_documents(none).count()
+    cut = line_dedup.dedup_lines(odd, min_words=5)
+    assert cut.count() == 8 and [c for c in cut.columns if c != "n_removed_lines"] == [c for c in odd.columns if c != "n_lines"] + ["n_lines"]
+    by = {r.doc_id: r for r in cut.collect()}
+    assert by[2].text == "" and by[6].n_lines == 3000 and by[6].n_removed_lines > 2900 and by[1].text == "alpha beta gamma delta"
+    assert line_dedup.dedup_lines(none).count() == 0
+    bench = spark.createDataFrame([("i", "alpha beta gamma"), (None, "x"), ("n", None), ("e", " "), ("z", "beta")], "item_id string, text string")
+    hits = {(r.doc_id, r.n_words): r for r in fm_index.contamination(odd, bench).collect()}
+    assert hits[1, 4].n_hit == 3 and hits[1, 4]["items"] == ["i", "z"] and hits[None, 4].n_hit == 3 and hits[2, 0].n_hit == 0
+    clean = {r.doc_id: r.text for r in fm_index.cleaned(odd, bench).collect()}
+    assert clean[1] == " delta" and clean[3] == ""
+    assert fm_index.contamination(none, bench).count() == 0
+    assert fm_index.contamination(odd, bench.limit(0)).where("n_hit > 0").count() == 0
+    with pytest.raises(ValueError, match="words"):
+        fm_index.contamination(odd, bench, max_words=2)
+
+
+def signed(x):
+    return x - M if x >= M // 2 else x
+
+
+def longs(*xs):
+    seed = 42
+    for x in xs:
+        seed = xxhash.xxh64_intdigest((x % M).to_bytes(8, "little"), seed % M)
+    return signed(seed)
+
+
+def test_line_chunks(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    lines = {r.doc_id: r.text.split("\n") for r in docs.collect()}
+    rolling = {i: [longs(*(signed(xxhash.xxh64_intdigest(x.encode(), 42)) for x in v[k : k + 2])) for k in range(len(v) - 1)] for i, v in lines.items()}
+    words = {i: [len(SPACES.findall(x)) for x in v] for i, v in lines.items()}
+    times, found = collections.Counter(r for v in rolling.values() for r in v), collections.defaultdict(list)
+    for i, r in rolling.items():
+        k = 0
+        while k < len(r):
+            if times[r[k]] < 2:
+                k += 1
+                continue
+            e = k
+            while e + 1 < len(r) and times[r[e + 1]] > 1:
+                e += 1
+            if sum(words[i][k : e + 2]) >= 50:
+                s = k
+                for j in range(k + 1, e):
+                    if r[j] < r[j - 1] and r[j] <= r[j + 1]:
+                        found["\n".join(lines[i][s : j + 1])].append((i, s, j))
+                        s = j + 1
+                found["\n".join(lines[i][s : e + 2])].append((i, s, e + 1))
+            k = e + 1
+        for j, n in enumerate(words[i]):
+            if n >= 50:
+                found["alone", lines[i][j]].append((i, j, j))
+    gone = collections.defaultdict(set)
+    for places in found.values():
+        for i, s, e in sorted(places)[1:]:
+            gone[i] |= set(range(s, e + 1))
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert sum(map(len, gone.values())) > 0
+    for i, v in lines.items():
+        assert got[i].text == "\n".join(x for k, x in enumerate(v) if k not in gone[i]) and got[i].n_removed_lines == len(gone[i])
+    left = {x for r in got.values() for x in r.text.split("\n")}
+    assert left >= {x for v in lines.values() for x in v}
+
+
+def test_shifted_passages_are_cut(spark):
+    rng = random.Random(2)
+    sentence = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(12))
+    passage = [sentence() for _ in range(6)]
+    rows = [(k, "\n".join([sentence() for _ in range(k % 5)] + passage + [sentence() for _ in range(k % 3)])) for k in range(12)]
+    rows += [(99, "\n".join([sentence() for _ in range(4)] + passage[:1] + [sentence()]))]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1] and got[99] == rows[12][1]
+    assert not any(x in got[k] for k in range(1, 12) for x in passage)
+
+
+def test_decontamination_agrees_with_sql(spark, sf, duck):
+    got = queries.op8_fm_decontamination(spark, sf)
+    columns, want = duck(queries.ORACLE_SQL["op8_fm_decontamination"])
+    assert columns == sorted(got.columns) and sorted(repr(tuple(r[c] for c in columns)) for r in got.collect()) == want
+
+
+def test_index_finds_all_places():
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        text = np.concatenate([rng.integers(0, rng.integers(2, 6), rng.integers(1, 200)), [0]])
+        index = fm_index.FMIndex(text)
+        assert fm_index.suffix_array(text).tolist() == sorted(range(len(text)), key=lambda k: text[k:].tolist())
+        for size in (1, 2, 5):
+            phrase = rng.integers(1, 6, size)
+            if phrase.max() >= len(index.first) - 1:
+                continue
+            lo, hi = index.search(phrase.reshape(1, -1))
+            got = sorted(index.locate(np.arange(lo[0], hi[0])).tolist())
+            assert got == [k for k in range(len(text) - size + 1) if (text[k : k + size] == phrase).all()]
+
+
+def test_spans_cover_the_words(spark):
+    docs = spark.createDataFrame([(1, "Ünd One, two; THREE four! five"), (2, "one two")], "doc_id long, text string")
+    bench = spark.createDataFrame([("q", "one two three")], "item_id string, text string")
+    assert {r.doc_id: r.text for r in fm_index.cleaned(docs, bench).collect()} == {1: "Ünd  four! five", 2: "one two"}
