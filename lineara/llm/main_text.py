@@ -35,18 +35,22 @@ BLOCKS = CONTAINERS | frozenset("address blockquote caption dd details dl dt fig
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login"
-    r"|comments?|commentlist|discussion|disqus|replies|respond|reader-?comments|sidebars?|side|aside|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|toc|footer|foot|header|masthead|topbar|toolbar"
+    r"|comments?|commentlist|discussion|disqus|replies|respond|reader-?comments|sidebars?|side|aside|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|toc|footer|foot|toolbar"
     r"|related|recommended|share|sharing|social|pagination|pager|copyright|legal|disclaimer|skip|hidden|search|tags?)(?:$|[\s_-])",
     re.I,
 )
+TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
+COMMENTS = re.compile(r"comment|disqus|repl(?:y|ies)|discussion", re.I)
 
 
 class Lines(HTMLParser):
     """Collects lines: [text parts, tags, letters in links, container]; marked parts of the page are left out."""
 
-    def __init__(self):
+    def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
-        self.open: list = []  # (tag, marked, container) of the elements that matter
+        self.by_name = by_name  # whether classes and ids tell what an element is
+        self.comments = 0
+        self.open: list = []  # (tag, marked, comment, container) of the elements that matter
         self.marked = 0
         self.links = 0
         self.parents = [-1]
@@ -73,18 +77,22 @@ class Lines(HTMLParser):
         if tag == "a":
             self.links += 1
         if tag == "body" and self.marked:  # a head that was never closed
-            self.open, self.marked = [], 0
-        inside = any(t in ("article", "main") for t, _, _ in self.open)
-        noise = tag in SKIPPED or tag == "header" and not inside
-        if tag not in ("html", "body", "article", "main") and not noise and attrs and tag != "a":
-            said = dict(attrs)
-            noise = said.get("role") in ROLES or "hidden" in said or said.get("aria-hidden") == "true" or bool(NOISE.search(f"{said.get('class') or ''} {said.get('id') or ''}"))
-            noise = noise and not (inside and tag in ("h1", "h2", "h3", "p", "header"))
-        elif tag == "article" and attrs:
-            noise = bool(re.search("comment|repl(?:y|ies)", f"{dict(attrs).get('class') or ''} {dict(attrs).get('id') or ''}", re.I))
+            self.open, self.marked, self.comments = [], 0, 0
+        inside = any(t in ("article", "main") for t, _, _, _ in self.open)
+        noise = int(tag in SKIPPED or tag == "header" and not inside)
+        said = dict(attrs) if attrs else {}
+        name = f"{said.get('class') or ''} {said.get('id') or ''}" if self.by_name else ""
+        comment = int(bool(COMMENTS.search(name)) and tag not in ("html", "body", "main", "a", "p"))
+        if tag in ("article", "main"):
+            noise = 1 if comment else 0 if self.comments else -self.marked  # an article stands out from what wraps it
+        elif said and not noise and tag not in ("html", "body", "a"):
+            noise = int(said.get("role") in ROLES or "hidden" in said or said.get("aria-hidden") == "true" or bool(NOISE.search(name)) or not inside and bool(TOP.search(name)))
+            noise = noise if not (inside and tag in ("h1", "h2", "h3", "p", "header")) else 0
         if noise or tag in CONTAINERS or self.marked and tag in BLOCKS:
-            self.open.append((tag, noise, self.container))
+            comment = comment if noise > 0 else 0
+            self.open.append((tag, noise, comment, self.container))
             self.marked += noise
+            self.comments += comment
             if tag in CONTAINERS:
                 self.parents.append(self.container)
                 self.container = len(self.parents) - 1
@@ -102,9 +110,10 @@ class Lines(HTMLParser):
             self.links = max(0, self.links - 1)
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                self.container = self.open[k][2]
-                for _, noise, _ in self.open[k:]:
+                self.container = self.open[k][3]
+                for _, noise, comment, _ in self.open[k:]:
                     self.marked -= noise
+                    self.comments -= comment
                 del self.open[k:]
                 break
 
@@ -137,14 +146,21 @@ def threshold(values: np.ndarray) -> float:
     return at
 
 
-def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    page = Lines()
+def read(html: str, by_name: bool = True) -> Lines:
+    page = Lines(by_name)
     for k in range(0, len(html), FED):
         page.feed(html[k : k + FED])
     page.close()
     page.end_line()
+    return page
+
+
+def main_text(html: str | None) -> str:
+    if not html:
+        return ""
+    page = read(html)
+    if not page.lines:
+        page = read(html, by_name=False)  # a name that says noise may be that of a wrapper of all
     if not page.lines:
         return ""
     letters = np.array([len(t) - min(len(t), n) for t, _, n, _ in page.lines], dtype=float)

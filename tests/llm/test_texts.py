@@ -87,6 +87,9 @@ def test_main_text():
     assert main_text.main_text(PAGE) == want
     body = "<html><body><div><div class=nav><a>One</a> <a>Two</a></div><div id=c><h2>Head</h2>" + "".join(f"<p>Paragraph {k} with quite some words in it to read.</p>" for k in range(9)) + "<p>End.</p></div><div><a>x</a><a>y</a></div></div></body></html>"
     assert main_text.main_text(body).split("\n")[0] == "Head" and main_text.main_text(body).split("\n")[-1] == "End." and len(main_text.main_text(body).split("\n")) == 11
+    wrapped = '<body><div class="page has-sidebar"><article><div class="entry-header"><h1>T</h1></div><p>Some words of the text here.</p></article><div class="comments"><article><p>A comment of a reader, quite long too, you know.</p></article></div></div></body>'
+    assert main_text.main_text(wrapped) == "T\nSome words of the text here."
+    assert main_text.main_text('<div id="sidebar-layout-menu" class="menu"><p>All there is to read.</p></div>') == "All there is to read."
     assert main_text.main_text("plain  text\n here") == "plain text here"
     for broken in ("", None, "<", "<p", "<!--", "</div></div>", "<script>", "<p>a<p", "&#x110000;", "<div " * 2000):
         main_text.main_text(broken)
