@@ -40,9 +40,16 @@ def texts(docs: DataFrame, *more: str, text: str = "text") -> DataFrame:
 
 
 def partitions(df: DataFrame) -> int:
-    """As many as the session's shuffles have, or as the scan has if it has more."""
+    """As many as the session's shuffles have, or as the tables that df reads have splits if those are more.
+
+    Only sizes that the planner knows are asked for; nothing is run.
+    """
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    split = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    known = sum(n for n in sizes if n < 1 << 60)  # rows given by a program have no size
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // split))
 
 
 def arrow_schema(ddl: str):
