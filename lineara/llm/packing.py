@@ -77,25 +77,31 @@ class RoundRobin:
         """The ids that a source has sent after so many rounds."""
         return np.minimum(self.totals[source], rounds * self.units[source] // self.step * self.granule)
 
-    def places(self, source: int, start: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The stretches of n ids from ``start`` in a queue: start in the document, length, and place in the stream."""
-        g = np.arange(start // self.granule, (start + n - 1) // self.granule + 1, dtype=np.int64)
-        rounds = np.unique(-(-(g + 1) * self.step // self.units[source]))
-        before, base = rounds - 1, np.zeros(len(rounds), dtype=np.int64)
+    def places(self, source: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The stretches that documents (n ids from ``start`` in the queue of ``source``) have in the stream: document,
+        start in it, length, and place in the stream."""
+        first, many = start // self.granule, (start + n - 1) // self.granule - start // self.granule + 1
+        doc = np.repeat(np.arange(len(n)), many)
+        g = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + first[doc]
+        rounds = -(-(g + 1) * self.step // self.units[source[doc]])
+        new = np.ones(len(doc), dtype=bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (rounds[1:] != rounds[:-1])
+        doc, rounds = doc[new], rounds[new]
+        own, base = source[doc], np.zeros(len(doc), dtype=np.int64)
         for s in range(len(self.totals)):
-            base += self.sent(rounds if s < source else before, s)
-        sent = self.sent(before, source)
-        lo, hi = np.maximum(start, sent), np.minimum(start + n, self.sent(rounds, source))
+            base += self.sent(rounds - (own <= s), s)
+        sent, until = (np.minimum(self.totals[own], r * self.units[own] // self.step * self.granule) for r in (rounds - 1, rounds))
+        lo, hi = np.maximum(start[doc], sent), np.minimum((start + n)[doc], until)
         at = base + lo - sent
         new = np.ones(len(at), dtype=bool)
-        new[1:] = at[1:] != at[:-1] + (hi - lo)[:-1]
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(at)) - 1
-        lo, hi, at = lo[first], hi[last], at[first]
-        return lo - start, hi - lo, at
+        new[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + (hi - lo)[:-1])
+        begin = np.flatnonzero(new)
+        last = np.append(begin[1:], len(at)) - 1
+        doc, lo, hi, at = doc[begin], lo[begin], hi[last], at[begin]
+        return doc, lo - start[doc], hi - lo, at
 
     def sequences(self, lo: np.ndarray, length: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Cut stretches at the borders of the sequences: start, length, sequence_id, offset."""
+        """Cut stretches at the borders of the sequences: stretch, start, length, sequence_id, offset."""
         total, w = int(self.totals.sum()), self.window
         whole = total // w * w
         borders, k = [whole], total - whole
@@ -123,7 +129,7 @@ class RoundRobin:
         part = np.searchsorted(tail, ids, "right") - 1
         sequence = np.where(ids < whole, ids // w, whole // w + np.maximum(part, 0))
         offset = np.where(ids < whole, ids % w, ids - tail[np.maximum(part, 0)])
-        return lo[piece] + ids - start, end - ids, sequence, offset
+        return piece, lo[piece] + ids - start, end - ids, sequence, offset
 
 
 def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int = 2048, granule: int = 64, targets: dict | None = None, shards: int | None = None, max_sources: int = 10_000) -> DataFrame:
@@ -149,24 +155,16 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int
 
     def pieces(batches):
         for b in batches:
-            rows: list = []
-            many = 0
-
-            def out(rows):
-                cols = [np.concatenate(c) for c in list(zip(*rows))[:7]]
-                return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64(), mask=m) for c, m in zip(cols, [np.concatenate([r[8] for r in rows]), *[None] * 6])), pa.array([s for r in rows for s in r[7]], pa.string())], schema=schema)
-
-            for doc_id, source, start, n, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "source", "at", "n_tokens", "ids"))):
-                lo, length, seq, off = robin.sequences(*robin.places(number[source], start, n))
-                crc = np.fromiter((zlib.crc32(ids[4 * x : 4 * (x + m)]) for x, m in zip(lo.tolist(), length.tolist())), dtype=np.int64, count=len(lo))
-                one = np.ones(len(lo), dtype=np.int64)
-                rows.append((one * (doc_id or 0), lo, length, crc, one * n, seq, off, [source] * len(lo), np.full(len(lo), doc_id is None)))
-                many += len(lo)
-                if many > 20_000:
-                    yield out(rows)
-                    rows, many = [], 0
-            if rows:
-                yield out(rows)
+            for k in range(0, b.num_rows, 512):
+                part = b.slice(k, 512)
+                raw, sources = part.column("ids").to_pylist(), part.column("source").to_pylist()
+                n = np.asarray(part.column("n_tokens"))
+                doc, lo, length, at = robin.places(np.array([number[s] for s in sources]), np.asarray(part.column("at")), n)
+                piece, lo, length, sequence, offset = robin.sequences(lo, length, at)
+                doc = doc[piece]
+                crc = [zlib.crc32(raw[d][4 * x : 4 * (x + m)]) for d, x, m in zip(doc.tolist(), lo.tolist(), length.tolist())]
+                rows = [part.column("doc_id").take(pa.array(doc)), *map(pa.array, (lo, length, crc, n[doc], sequence, offset)), part.column("source").take(pa.array(doc))]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(rows, schema)], schema=schema)
 
     same = table["shard"].eqNullSafe(sums["shard"]) & table["source"].eqNullSafe(sums["source"])
     placed = table.join(sums, same).select(table["doc_id"], table["source"], (F.col("before") + F.col("queue_start")).alias("at"), "n_tokens", "ids")

@@ -3,10 +3,12 @@
 The pre-tokenizers of both vocabularies never join what stands before a space or newline with the word after it. So a
 text is cut before each space or newline that a visible character follows, each distinct chunk is encoded once by the
 tokenizers library, and the ids of the text are those of its chunks in order. Chunks where this cut would not be safe
-(further white space follows) are joined to the chunk before them.
+(further white space follows) are joined to the chunk before them. A vocabulary whose normalizer drops white space and
+lower-cases is cut at all white space, in lower-case ASCII. Both also part a word from a full stop or comma after it.
 """
 
 import os
+import re
 import unicodedata
 
 import numpy as np
@@ -14,6 +16,9 @@ import numpy as np
 SAFE_LENGTH = 80
 BATCH_CHARS = 2_000_000
 TOGETHER = 200
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: White space to Python but not to the tokenizers.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def vocabulary(name: str) -> str:
@@ -28,7 +33,7 @@ class ChunkEncoder:
     Two generations of at most ``limit`` chunks are kept; when the young one is full it becomes the old one.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -38,6 +43,7 @@ class ChunkEncoder:
         self.lengths = np.zeros(names[-1][0] + 1, dtype=np.int64)  # bytes that each id stands for
         self.lengths[[i for i, _ in names]] = [len(t) - 4 * t.endswith("</w>") for _, t in names]
         self.normal = self.tokenizer.normalizer is not None
+        self.stops = dict(zip(".,", self._one_by_one([".", ","])))
         self.young: dict = {}
         self.old: dict = {}
         self.limit = limit
@@ -48,17 +54,17 @@ class ChunkEncoder:
 
     def _bytes(self, chunk: str) -> int:
         """Bytes of a chunk that its ids stand for."""
-        if not self.normal:
-            return len(chunk) if chunk.isascii() else len(chunk.encode())
-        return len(chunk) - 1 if chunk.isascii() else len(unicodedata.normalize("NFC", chunk).lower().encode()) - 1
+        if chunk.isascii():
+            return len(chunk)
+        return len((unicodedata.normalize("NFC", chunk).lower() if self.normal else chunk).encode())
 
     def _ids(self, chunks: list) -> list:
         """Ids of new chunks: many are encoded as one text and parted again where their bytes end."""
-        alone = [c for c in chunks if c[:1] not in (" ", "\n")]
+        alone = [] if self.normal else [c for c in chunks if c[:1] not in (" ", "\n")]
         found = dict(zip(alone, self._one_by_one(alone)))
         rest = [c for c in chunks if c not in found]
         groups = [rest[k : k + TOGETHER] for k in range(0, len(rest), TOGETHER)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False)):
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(list(map((" " if self.normal else "").join, groups)), add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
             ends = np.cumsum(self.lengths[ids])
             want = np.cumsum(np.fromiter(map(self._bytes, group), dtype=np.int64, count=len(group)))
@@ -70,9 +76,11 @@ class ChunkEncoder:
                 found.update(zip(group, self._one_by_one(group)))
         return [found[c] for c in chunks]
 
-    @staticmethod
-    def _unsafe(chunk: str) -> bool:
-        return chunk[:1] in (" ", "\n") and (len(chunk) == 1 or chunk[1].isspace())
+    def _letters(self, word: str) -> bool:
+        return word.isalpha() and (word.isascii() or not self.normal or unicodedata.normalize("NFC", word).lower().isalpha())
+
+    def _unsafe(self, chunk: str) -> bool:
+        return not self.normal and chunk[:1] in (" ", "\n") and (len(chunk) == 1 or chunk[1].isspace())
 
     def _merged(self, pieces: list) -> list:
         out = [pieces[0]]
@@ -85,23 +93,31 @@ class ChunkEncoder:
 
     def _learn(self, wanted: set) -> None:
         """Have the ids of the chunks wanted among the young; None where a chunk has to be joined to the one before."""
-        new, young = [], self.young
+        new, young, whole = [], self.young, []
         for w in wanted.difference(young):
             if w in self.old:
                 young[w] = self.old[w]
             elif self._unsafe(w):
                 young[w] = None
+            elif w[-1:] in (".", ",") and self._letters(w[:-1].lstrip(" \n")):
+                whole.append(w)
             else:
                 new.append(w)
+        stems = {w[:-1] for w in whole}.difference(young)
+        for w in (w for w in stems if w in self.old):
+            young[w] = self.old[w]
+        new += stems.difference(young, new)
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             young.update(zip(part, self._ids(part)))
+        young.update((w, young[w[:-1]] + self.stops[w[-1]]) for w in whole)
 
     def _forget(self, wanted: set) -> None:
         """Keep no long chunks, and no more than the limit."""
         for w in wanted:
             if len(w) > SAFE_LENGTH:
                 self.young.pop(w, None)
+                self.young.pop(w[:-1], None)
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
 
@@ -116,22 +132,29 @@ class ChunkEncoder:
             k = e
         return out
 
+    def _cut(self, text: str) -> list:
+        if self.normal:
+            return [text] if SEPARATORS.search(text) else text.encode("utf-8", "replace").translate(LOWER).decode().split()
+        return [text] if "\0" in text else text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+
     def _encode(self, texts: list) -> list:
-        cut = [t.replace("\n", "\0\n").replace(" ", "\0 ").split("\0") if "\0" not in t else [t] for t in texts]
-        wanted: set = set()
-        for pieces in cut:
-            wanted.update(pieces)
+        cut = list(map(self._cut, texts))
+        ids = [list(map(self.young.get, pieces)) for pieces in cut]
+        gaps = [[i for i, x in enumerate(got) if x is None] for got in ids]
+        wanted = {pieces[i] for pieces, gap in zip(cut, gaps) for i in gap}
         self._learn(wanted)
-        ids, out = self.young.__getitem__, []
-        for pieces in cut:
+        known, out = self.young.__getitem__, []
+        for pieces, got, gap in zip(cut, ids, gaps):
+            for i in gap:
+                got[i] = known(pieces[i])
             try:
-                out.append(b"".join(map(ids, pieces)))
+                out.append(b"".join(got))
             except TypeError:  # a None: some pieces have to be joined
                 pieces = self._merged(pieces)
                 whole = {p for p in pieces[:1] if self._unsafe(p)}  # white space that the text begins with
                 self._learn(set(pieces) - whole)
                 wanted.update(pieces)
-                out.append(b"".join(self._one_by_one([p])[0] if p in whole else self.young[p] for p in pieces))
+                out.append(b"".join(self._one_by_one([p])[0] if p in whole else known(p) for p in pieces))
         self._forget(wanted)
         return out
 

@@ -115,7 +115,8 @@ def test_round_robin_against_a_simulation():
             j = 0
             while j < totals[s]:
                 n = min(totals[s] - j, rng.randint(1, 500))
-                for lo, length, seq, off in zip(*robin.sequences(*robin.places(s, j, n))):
+                _, *places = robin.places(np.array([s]), np.array([j]), np.array([n]))
+                for _, lo, length, seq, off in zip(*robin.sequences(*places)):
                     assert length > 0
                     got |= {(s, j + int(lo) + i): (int(seq), int(off) + i) for i in range(length)}
                 j += n
