@@ -20,6 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         top = "file://" + tempfile.mkdtemp(prefix="lineara-shared-")
         spark.conf.set("spark.checkpoint.dir", top)
+        spark.sparkContext.setCheckpointDir(top)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
     top = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
@@ -33,6 +34,13 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a checkpoint in the shared folder."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def texts(docs: DataFrame, *more: str, text: str = "text") -> DataFrame:
     """doc_id as long, text as string with null read as empty, and the columns named; all others go."""
     cols = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")]
@@ -52,6 +60,17 @@ def partitions(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // split))
 
 
+KEPT: dict = {}
+
+
+def kept(what, make):
+    """make(), kept in this Python worker for its next tasks; what other operators kept there goes."""
+    if what not in KEPT:
+        KEPT.clear()
+        KEPT[what] = make()
+    return KEPT[what]
+
+
 def arrow_schema(ddl: str):
     """The pyarrow schema of a DDL string."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from . import common
+
 SAMPLE = 16
 #: Letters and digits and bytes beyond ASCII stay, A-Z become small, all else is a space.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -229,7 +231,7 @@ def phrases_of(benchmark: DataFrame, window: int, max_words: int) -> Phrases:
     return Phrases(items, window)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1 << 20, max_words: int = 5_000_000, keep: list | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1 << 19, max_words: int = 5_000_000, keep: list | None = None) -> DataFrame:
     """doc_id, n_words, n_hit, items and spans (removal spans in code points) of every document, after the columns to keep."""
     phrases = phrases_of(benchmark, window, max_words)
     kept = [f for f in docs.schema if f.name in (keep or ["doc_id"])]
@@ -238,6 +240,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard
     schema = to_arrow_schema(out)
 
     def run(batches):
+        common.kept("phrases", lambda: phrases)
         held, size = [], 0
         for b in batches:
             for k in range(0, b.num_rows, 256):

@@ -20,25 +20,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_schema, texts
+from .common import arrow_schema, kept
 
 ORDERS = (3, 4)
 PROBES = 4
-CHUNK = 1 << 20
+CHUNK = 1 << 16
+COUNTED = 1 << 20
 #: Odd multipliers of the n-gram hash; fixed values.
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
-TABLES: dict = {}
+
+
+def _letters() -> np.ndarray:
+    table = np.full(0x110000, 32, dtype=np.uint32)
+    for c in range(0x110000):
+        if chr(c).isalpha():
+            table[c] = ord(chr(c).lower()[0])
+    return table
 
 
 def letters() -> np.ndarray:
     """For each code point its lower-case letter, or a space; made once in a Python worker."""
-    if not TABLES:
-        table = np.full(0x110000, 32, dtype=np.uint32)
-        for c in range(0x110000):
-            if chr(c).isalpha():
-                table[c] = ord(chr(c).lower()[0])
-        TABLES[0] = table
-    return TABLES[0]
+    return kept("letters", _letters)
 
 
 def grams(text: str):
@@ -122,14 +124,25 @@ def learn(docs: DataFrame, where: Column | None = None, max_docs: int = 20_000,
     schema = arrow_schema(ddl)
 
     def count(batches):
-        for b in batches:
-            by: dict = {}
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if has_letter(text):
-                    by.setdefault(lang, []).extend(grams(text))
+        by: dict = {}
+        held = 0
+
+        def counts():
             for lang, found in by.items():
                 g, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array([lang] * len(g), pa.string()), pa.array(n, pa.int64())], schema=schema)
+            by.clear()
+
+        for b in batches:
+            for k in range(0, b.num_rows, 128):
+                for text, lang in zip(*(c.to_pylist() for c in b.slice(k, 128).columns)):
+                    for h in grams(text) if has_letter(text) else ():
+                        by.setdefault(lang, []).append(h)
+                        held += len(h)
+                        if held > COUNTED:
+                            yield from counts()
+                            held = 0
+        yield from counts()
 
     counted = rows.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(count, ddl).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     counted = counted.persist()
@@ -161,7 +174,7 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     def run(batches):
         model = shared.value
         for b in batches:
-            said = [model.predict(t) if t is not None else ("und", 0.0) for t in b.column(at).to_pylist()]
+            said = [model.predict(t) if t is not None else ("und", 0.0) for k in range(0, b.num_rows, 128) for t in b.column(at).slice(k, 128).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(b.columns, schema)), pa.array([x for x, _ in said], pa.string()), pa.array([x for _, x in said], pa.float64())], schema=schema)
 
     return docs.select(*[f.name for f in kept]).mapInArrow(run, out)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, partitions, saved, texts
+from .common import arrow_schema, checkpointed, partitions, saved, texts
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 CHUNK = 1 << 16
@@ -292,14 +292,14 @@ def components(edges: DataFrame) -> DataFrame:
     and then the smaller, until nothing changes. Each round is joins and sums, cut off by a checkpoint.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, before = edges.checkpoint(), None
+    edges, before = checkpointed(edges), None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         stars = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = stars.groupBy("a").agg(F.min("b").alias("m"))
         small = stars.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-        edges = small.union(low.select("a", F.col("m").alias("b"))).distinct().checkpoint()
+        edges = checkpointed(small.union(low.select("a", F.col("m").alias("b"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

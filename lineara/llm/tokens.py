@@ -13,6 +13,8 @@ import unicodedata
 
 import numpy as np
 
+from .common import kept
+
 SAFE_LENGTH = 80
 BATCH_CHARS = 2_000_000
 TOGETHER = 200
@@ -159,11 +161,6 @@ class ChunkEncoder:
         return out
 
 
-ENCODERS: dict = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
-    """One encoder for each vocabulary in a Python worker, kept over its tasks."""
-    if path not in ENCODERS:
-        ENCODERS[path] = ChunkEncoder(path)
-    return ENCODERS[path]
+    """One encoder in a Python worker, kept over its tasks."""
+    return kept(("encoder", path), lambda: ChunkEncoder(path))
