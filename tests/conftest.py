@@ -21,10 +21,6 @@ def sf():
     return SF
 
 
-def rows(df):
-    return sorted(map(repr, (tuple(r[c] for c in sorted(df.columns)) for r in df.collect())))
-
-
 @pytest.fixture(scope="session")
 def duck(sf):
     import glob

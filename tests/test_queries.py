@@ -1,7 +1,7 @@
 """Every registered query of the metadata engine against its SQL."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from lineara.queries import catalog
 
