@@ -20,7 +20,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         top = "file://" + tempfile.mkdtemp(prefix="lineara-shared-")
         spark.conf.set("spark.checkpoint.dir", top)
-        spark.sparkContext.setCheckpointDir(top)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
     top = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
@@ -37,7 +36,7 @@ def saved(df: DataFrame, what: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a checkpoint in the shared folder."""
     if not df.sparkSession.sparkContext.getCheckpointDir():
-        shared_dir(df.sparkSession)
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 

@@ -67,7 +67,7 @@ def base_spans(text: str) -> list:
         past = m.end() if m else at + 1
         at = text.find("@", past)
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(q := p.lstrip("0")) <= 3 and int(q or 0) <= 255 for p in m[0].split(".")):
             out.append((1, *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() <= 40 and 13 <= len(d := digits_of(m[0])) <= 19 and luhn(d):
