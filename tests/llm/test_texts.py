@@ -169,3 +169,8 @@ def test_quality_ledger(spark, odd, none):
     table = {r.rule: r for r in quality.ablations(rows).collect()}
     assert (table["repeated_windows"].failing, table["repeated_windows"].only_this, table["few_words"].failing, table["few_words"].kept_without) == (1, 0, 0, 1)
     assert quality.mask("base") == 3
+
+
+def test_addresses_with_long_runs_of_zeros():
+    zeros = "0" * 5000
+    assert private_data.base_spans(f"{zeros}1.2.3.4 {zeros}256.2.3.4") == [(1, 0, 5007)]
