@@ -28,6 +28,8 @@ from .common import arrow_schema, checkpointed, partitions, saved, texts
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 CHUNK = 1 << 16
+M64 = (1 << 64) - 1
+SKETCH = "doc_id long, digest binary, fps array<long>, keys array<long>"
 #: Odd multipliers of the further tables; fixed values.
 MIX = [1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
 
@@ -50,21 +52,27 @@ def bit_counts(h: np.ndarray) -> np.ndarray:
     return counts
 
 
-def simhash(text: str, shingle: int = 3, tables: int = 1) -> list[int]:
-    """The fingerprints of a text as unsigned numbers; table 0 hashes with XXH64 and seed 42, the others mix that hash."""
+def hashed(text: str, shingle: int):
+    """Yields the hashes of a text's shingles, repeats too: XXH64 with seed 42."""
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not words:
-        return [0] * tables
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
-    last = ends[min(shingle, len(words)) - 1 :]
-    counts, digest = np.zeros((tables, 64), dtype=np.int64), xxhash.xxh64_intdigest
+    last, digest = ends[min(shingle, len(words)) - 1 :], xxhash.xxh64_intdigest
     for k in range(0, n, CHUNK):
-        h = np.array([digest(joined[a:b], 42) for a, b in zip(starts[k : min(n, k + CHUNK)].tolist(), last[k : k + CHUNK].tolist())], dtype=np.uint64)
+        yield np.array([digest(joined[a:b], 42) for a, b in zip(starts[k : min(n, k + CHUNK)].tolist(), last[k : k + CHUNK].tolist())], dtype=np.uint64)
+
+
+def majority(hashes, tables: int = 1) -> list[int]:
+    """The fingerprints of arrays of hashes as unsigned numbers; table 0 takes them as they are, the others mix them."""
+    counts, n = np.zeros((tables, 64), dtype=np.int64), 0
+    for h in hashes:
+        n += len(h)
         for t in range(tables):
             mixed = h
             if t:
@@ -75,6 +83,17 @@ def simhash(text: str, shingle: int = 3, tables: int = 1) -> list[int]:
     return [int.from_bytes(row.tobytes(), "big") for row in bits]
 
 
+def simhash(text: str, shingle: int = 3, tables: int = 1) -> list[int]:
+    """The fingerprints of a text, in which a shingle counts as often as it occurs."""
+    return majority(hashed(text, shingle), tables)
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The hashes of a text's distinct shingles, sorted."""
+    parts = list(hashed(text, shingle))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, tables: int = 1) -> DataFrame:
     """doc_id and fps, the fingerprints as an array of longs (signed)."""
     ddl = "doc_id long, fps array<long>"
@@ -261,10 +280,14 @@ def block_keys(radius: int, blocks: int) -> "F.Column":
     return F.array(*keys)
 
 
-def band_keys(tables: int, bits: int) -> "F.Column":
-    """An array of keys: each run of ``bits`` bits of each fingerprint (column all_fps)."""
-    mask = (1 << bits) - 1
-    return F.array(*[F.xxhash64(F.lit(t * 64 + k), F.shiftrightunsigned(F.get("all_fps", F.lit(t)), k).bitwiseAND(F.lit(mask))) for t in range(tables) for k in range(0, 64 - bits + 1, bits)])
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of groups cut into ``trees`` trees and ``slices`` slices of queries (null: one of each), with shard and tree as _shards wants."""
+    own, part = F.pmod(F.xxhash64("rep"), "trees").cast("int"), F.pmod(F.xxhash64("rep", F.lit(1)), "slices").cast("int")
+    asks = F.transform(F.sequence(F.lit(0), F.col("trees") - 1), lambda t: F.struct((t * F.col("slices") + part).alias("shard"), F.when(t == own, 1).otherwise(0).alias("tree")))
+    stands = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda p: F.struct((own * F.col("slices") + p).alias("shard"), F.lit(2).alias("tree")))
+    stands = F.filter(stands, lambda x: x["shard"] != own * F.col("slices") + part)
+    alone = F.array(F.struct(F.lit(0).alias("shard"), F.lit(1).alias("tree")))
+    return rows.select("*", F.inline(F.when(F.col("trees").isNull() | (F.col("trees") == 1), alone).otherwise(F.concat(asks, stands))))
 
 
 def tree_edges(points: DataFrame, keys: "F.Column", radius: int, tree_size: int, queries_at_once: int = 2048) -> DataFrame:
@@ -274,15 +297,10 @@ def tree_edges(points: DataFrame, keys: "F.Column", radius: int, tree_size: int,
     parts = lambda size: F.ceil(F.col("count") / F.lit(size)).cast("int")
     large = large.select("key", parts(tree_size).alias("trees"), parts(16 * tree_size).alias("slices"))
     rows = rows.join(large, "key", "left")
-    own, part = F.pmod(F.xxhash64("rep"), "trees").cast("int"), F.pmod(F.xxhash64("rep", F.lit(1)), "slices").cast("int")
-    asks = F.transform(F.sequence(F.lit(0), F.col("trees") - 1), lambda t: F.struct((t * F.col("slices") + part).alias("shard"), F.when(t == own, 1).otherwise(0).alias("tree")))
-    stands = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda p: F.struct((own * F.col("slices") + p).alias("shard"), F.lit(2).alias("tree")))
-    stands = F.filter(stands, lambda x: x["shard"] != own * F.col("slices") + part)
-    alone = F.array(F.struct(F.lit(0).alias("shard"), F.lit(1).alias("tree")))
-    rows = rows.select("key", "rep", "fps", F.inline(F.when(F.col("trees").isNull(), alone).otherwise(F.concat(asks, stands)))).select("key", "shard", "tree", "rep", "fps")
+    rows = dealt(rows).select("key", "shard", "tree", "rep", "fps")
     n = partitions(points)
-    dealt = rows.repartition(n, "key", "shard").sortWithinPartitions("key", "shard", F.desc("tree"))
-    return dealt.mapInArrow(_shards(radius, queries_at_once), "a long, b long")
+    sorted_rows = rows.repartition(n, "key", "shard").sortWithinPartitions("key", "shard", F.desc("tree"))
+    return sorted_rows.mapInArrow(_shards(radius, queries_at_once), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -316,19 +334,141 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     return fps.join(reps, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tables: int = 8, bits: int = 16, words: int = 4, tree_size: int = 4096) -> DataFrame:
-    """doc_id, component_id: documents whose sets of word shingles have a Jaccard similarity of about ``similarity`` or more.
+def min_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """For each band a key of the least values of ``rows`` random orders; sets of Jaccard similarity s share it with s ** rows."""
+    factors = np.random.default_rng(11).integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(bands * rows, np.uint64(M64))
+    mixed = hashes ^ (hashes >> np.uint64(32))
+    for k in range(0, len(mixed), 1 << 12):
+        least = np.minimum(least, (mixed[k : k + (1 << 12)] * factors[:, None]).min(axis=1))
+    keys = np.arange(bands, dtype=np.uint64)
+    for x in least.reshape(bands, rows).T:
+        keys = (keys ^ x) * np.uint64(MIX[1])
+        keys = keys ^ (keys >> np.uint64(29))
+    return keys
 
-    The similarity is read off 64 * words fingerprint bits: sets of similarity s differ in a share acos(2s / (1 + s)) / pi
-    of them. That share is far above a pigeonhole's reach, so candidates share one of 64 // bits * tables bands of bits
-    instead; the BK-trees of the bands hold the long fingerprints. Equal fingerprints are one point.
+
+def _sketches(shingle: int, words: int, bands: int, rows: int):
+    """For mapInArrow over (doc_id, text): doc_id, a digest of the set of shingles, its fingerprints and its keys."""
+    import xxhash
+
+    schema = arrow_schema(SKETCH)
+
+    def run(batches):
+        for b in batches:
+            for k in range(0, b.num_rows, 512):
+                part = b.slice(k, 512)
+                sets = [shingle_set(t, shingle) for t in part.column(1).to_pylist()]
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+                fps = np.array([majority([s], words) for s in sets], dtype=np.uint64).view(np.int64)
+                keys = np.array([min_keys(s, bands, rows) for s in sets], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests, pa.binary()), pa.array(list(fps), pa.list_(pa.int64())), pa.array(list(keys), pa.list_(pa.int64()))], schema=schema)
+
+    return run
+
+
+def linked(points: np.ndarray, sets: list, asking: np.ndarray, nodes: np.ndarray, radius: int, similarity: float, at_once: int = 256) -> np.ndarray:
+    """For each of the points one that stands for its set: nodes and asking points whose exact Jaccard similarity reaches ``similarity``.
+
+    The nodes' BK-tree gives the pairs within the radius; each is decided by its sets of shingles, unless links already join it.
+    """
+    forest, sizes = Forest(len(points)), np.array([len(s) for s in sets], dtype=np.int64)
+    if not len(nodes):
+        return forest.up
+    bk = BKTree(points[nodes])
+    for k in range(0, len(asking), at_once):
+        part = asking[k : k + at_once]
+        found = list(bk.search(points[part], radius))
+        if not found:
+            continue
+        a, b = part[np.concatenate([q for q, _ in found])], nodes[np.concatenate([n for _, n in found])]
+        alike = np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9
+        a, b = a[alike], b[alike]
+        while True:
+            apart = forest.up[a] != forest.up[b]
+            a, b = a[apart], b[apart]
+            if not len(a):
+                break
+            first = np.zeros(len(a), dtype=bool)
+            first[np.unique(a, return_index=True)[1]] = True
+            x, y = a[first], b[first]
+            same = np.fromiter((similar(sets[i], sets[j], similarity) for i, j in zip(x.tolist(), y.tolist())), dtype=bool, count=len(x))
+            if same.any():
+                forest.union(x[same], y[same])
+            a, b = a[~first], b[~first]
+    return forest.up
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is at least ``similarity``; empty sets are equal."""
+    if not len(a) or not len(b):
+        return len(a) == len(b)
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = 0
+    both = int(np.count_nonzero(a[at] == b))
+    return both >= similarity * (len(a) + len(b) - both) - 1e-9
+
+
+def _verified(radius: int, similarity: float):
+    """For applyInArrow over rows (component, shard, tree, rep, fps, shingles) of one shard; tree as in _shards."""
+    schema = arrow_schema("a long, b long")
+
+    def run(table: pa.Table) -> pa.Table:
+        reps, tree = np.asarray(table.column("rep")), np.asarray(table.column("tree"))
+        points = np.asarray(table.column("fps").combine_chunks().flatten()).view(np.uint64).reshape(len(reps), -1)
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("shingles").to_pylist()]
+        nodes, asking = np.flatnonzero(tree > 0), np.flatnonzero(tree < 2)
+        nodes = nodes[np.argsort(reps[nodes], kind="stable")]
+        up = linked(points, sets, asking, nodes, radius, similarity)
+        moved = np.flatnonzero(up != np.arange(len(up)))
+        return pa.table([pa.array(reps[moved]), pa.array(reps[up[moved]])], schema=schema)
+
+    return run
+
+
+def exact_edges(docs: DataFrame, candidates: DataFrame, shingle: int, words: int, radius: int, similarity: float, held: int) -> DataFrame:
+    """Links (a, b) that connect all documents of a candidate group (node, component) whose exact similarity is high enough.
+
+    Each document's set of shingles is made again and goes to its own group once. A group of more than ``held`` shingles
+    is cut into trees of about that many, and all of its documents ask each tree.
+    """
+    ddl = "component long, rep long, fps array<long>, shingles binary, size long"
+    schema = arrow_schema(ddl)
+
+    def run(batches):
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                sets = [shingle_set(t, shingle) for t in part.column(2).to_pylist()]
+                fps = np.array([majority([s], words) for s in sets], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(fps), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) + 16 for s in sets], pa.int64())], schema=schema)
+
+    rows = texts(docs).join(candidates, F.col("doc_id") == F.col("node")).select("component", F.col("node").alias("rep"), "text").dropDuplicates()
+    rows = saved(rows.mapInArrow(run, ddl), "sets")
+    weigh = lambda size: F.ceil(F.sum("size") / F.lit(size)).cast("int")
+    rows = rows.join(rows.groupBy("component").agg(weigh(held).alias("trees"), weigh(4 * held).alias("slices")), "component")
+    rows = dealt(rows).select("component", "shard", "tree", "rep", "fps", "shingles")
+    return rows.groupBy("component", "shard").applyInArrow(_verified(radius, similarity), "a long, b long")
+
+
+def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 4, bands: int = 20, rows: int = 4, tree_size: int = 4096, held: int = 2_000_000) -> DataFrame:
+    """doc_id, component_id: groups of documents whose sets of word shingles have a Jaccard similarity of ``similarity`` or more.
+
+    Fingerprints and keys are made of distinct shingles and only find candidates; links are decided by the sets themselves.
+    A pair of similarity s shares one of the MinHash keys with probability 1 - (1 - s ** rows) ** bands: 0.99997 at 0.8. Its
+    64 * words fingerprint bits differ in a share acos(2s / (1 + s)) / pi, 0.15 at 0.8, or up to 3/16 where sets are as
+    small as 4 and 5 shingles; the BK-trees' radius is that and four deviations more. What such candidates reach is a
+    candidate group, in which every pair within the radius is decided. Equal sets are one point.
     """
     import math
 
-    radius = math.ceil(64 * words * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-    fps = saved(fingerprints(docs, shingle, tables), "fingerprints")
-    points = saved(fps.groupBy("fps").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "points")
-    wide = points.select("rep", F.col("fps").alias("all_fps"), F.slice("fps", 1, words).alias("fps"))
-    found = components(tree_edges(wide, band_keys(tables, bits), radius, tree_size, 256))
-    reps = points.join(found, points["rep"] == found["node"], "left").select("fps", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(reps, "fps", "left").select("doc_id", "component_id")
+    share = max(3 / 16, math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    radius = math.ceil(64 * words * share + 4 * math.sqrt(64 * words * share * (1 - share)))
+    fps = saved(texts(docs).mapInArrow(_sketches(shingle, words, bands, rows), SKETCH), "fingerprints")
+    points = saved(fps.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps"), F.first("keys").alias("keys")).where("rep is not null"), "points")
+    near = tree_edges(points.select("rep", "fps", "keys"), F.col("keys"), radius, tree_size, 256)
+    candidates = components(near)
+    candidates = candidates.union(candidates.select("component", "component")).distinct()
+    found = components(exact_edges(docs, candidates, shingle, words, radius, similarity, held))
+    reps = points.join(found, points["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    return fps.join(reps, "digest", "left").select("doc_id", "component_id")

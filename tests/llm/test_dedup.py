@@ -79,6 +79,37 @@ def test_similar_documents(spark):
     assert [got[k] for k in range(5)] == [0] * 5 and all(got[k] == k for k in range(5, 26))
 
 
+def alone_pairs(rng):
+    """Pairs of documents, each apart from all others, with the exact similarity of each pair."""
+    texts, want = [], {}
+    for same, own in [(n * 8, n) for n in range(2, 40)] + [(n * 7, n) for n in range(2, 40)] + [(4, 0), (40, 1), (400, 49)]:
+        words = [f"{rng.randrange(10**9)}" for _ in range(same + own + 4)]
+        texts += [" ".join(words), " ".join(words[: same + 4] + [f"{rng.randrange(10**9)}" for _ in range(own)])]
+        want[len(texts) - 2] = same / (same + 2 * own)
+    return texts, want
+
+
+@pytest.mark.parametrize("held", [2_000_000, 60])
+def test_similar_documents_by_exact_similarity(spark, held):
+    texts, want = alone_pairs(random.Random(12))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs, held=held).collect()}
+    assert {k: got[k + 1] == k for k in want} == {k: s >= 0.8 for k, s in want.items()} and all(got[k] == k for k in want)
+
+
+def test_large_candidate_group_is_cut_and_whole(spark):
+    rng = random.Random(2)
+    base = [f"{rng.randrange(10**9)}" for _ in range(104)]
+    texts = [" ".join(base[:k] + [f"new{k}"] * (k > 0) + base[k + 1 :]) for k in range(0, 60, 3)]
+    texts += [" ".join(base[: 60 + 4 * k] + [f"{rng.randrange(10**9)}" for _ in range(44 - 4 * k)]) for k in range(8)]
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for held in (2_000_000, 300):
+        got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs, held=held, tree_size=8).collect()}
+        assert got == classes(range(len(texts)), links)
+
+
 def test_odd_rows(spark, odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == 8 and {r.component_id for r in got if r.doc_id in (2, 3, 4)} == {2}
