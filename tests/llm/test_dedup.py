@@ -110,6 +110,17 @@ def test_large_candidate_group_is_cut_and_whole(spark):
         assert got == classes(range(len(texts)), links)
 
 
+def test_similarity_of_sets_not_of_repeats(spark):
+    rng = random.Random(6)
+    some = lambda n: " ".join(f"{rng.randrange(10**9)}" for _ in range(n))
+    line, body = some(8), some(200)
+    texts = [x for _ in range(6) for x in (some(200) + ("\n" + line) * 23, some(200) + ("\n" + line) * 20)]
+    texts += [body + ("\n" + line) * 40, body + ("\n" + line) * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    assert [got[k] for k in range(14)] == [*range(12), 12, 12]
+
+
 def test_odd_rows(spark, odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == 8 and {r.component_id for r in got if r.doc_id in (2, 3, 4)} == {2}
