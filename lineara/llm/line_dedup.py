@@ -4,7 +4,9 @@ A text is split at newlines, each line is hashed, and a rolling hash runs over e
 neighbours that stand together only once in the corpus are always parted; within a run of neighbours that recur, a
 border stands where the rolling hash is smaller than the ones before and after it. Both rules look at the lines around
 a border and not at where it stands in its text, so inserted or deleted lines elsewhere move no border, and every chunk
-of a run has two lines at least. A line of ``min_words`` words or more is also a chunk of its own.
+of a run has two lines at least. Where a document that holds a passage has copies itself, the neighbours at the
+passage's edges recur too, but less often than those inside; so each stretch of neighbours that recur more often than
+the ones around it is a chunk as well, if it has ``min_words`` words of its own. A line of ``min_words`` words or more is also a chunk of its own.
 
 A chunk counts if its run (or line) has ``min_words`` words. Of equal chunks, equal in their bytes and not only in
 their hash, the first stays (least doc_id, then first line) and all others are removed. The least occurrence of a line
@@ -45,10 +47,34 @@ def pairs(docs: DataFrame) -> DataFrame:
     return rows.select(*KEY, F.inline(F.transform(F.sequence(F.lit(0), F.size("_l") - 1), two)))
 
 
+def stretches(runs: DataFrame, line, min_words: int) -> DataFrame:
+    """Longest stretches of neighbours that recur at least n times, for each count n that a run has: document, first line, hash, last line.
+
+    Neighbours of one count are a piece; a stretch is a piece and all around it up to the next pieces of lower counts, with
+    which it shares its outermost lines. The counts inside a passage are the same wherever it stands.
+    """
+    same = (F.lag("i").over(line) == F.col("i") - 1) & (F.lag("n").over(line) == F.col("n"))
+    rows = runs.withColumn("piece", F.sum(F.when(same, 0).otherwise(1)).over(line))
+    rows = rows.withColumn("first", F.min("i").over(Window.partitionBy(*KEY, "piece")))
+    piece = F.bit_xor(F.xxhash64(F.col("i") - F.col("first"), "r")).alias("hash")
+    pieces = rows.groupBy(*KEY, "run", "piece", "first").agg((F.max("i") + 1).alias("last"), F.max("n").alias("n"), piece, F.sum("w").alias("w"), F.max_by("w2", "i").alias("w2"))
+    pieces = pieces.groupBy(*KEY, "run").agg(F.array_sort(F.collect_list(F.struct("first", "last", "n", "hash", "w", "w2"))).alias("_p"))
+    lower = lambda p, c: F.transform(F.filter("_p", c), lambda x: x[p])
+    ends = lambda x: F.struct(
+        F.coalesce(F.array_max(lower("last", lambda y: (y["first"] < x["first"]) & (y["n"] < x["n"]))), F.get("_p", F.lit(0))["first"]).alias("first"),
+        F.coalesce(F.array_min(lower("first", lambda y: (y["first"] > x["first"]) & (y["n"] < x["n"]))), F.element_at("_p", -1)["last"]).alias("last"),
+    )
+    found = pieces.select(*KEY, "_p", F.explode(F.array_distinct(F.transform("_p", ends))).alias("_s"))
+    inner = F.filter("_p", lambda x: (x["first"] >= F.col("_s.first")) & (x["last"] <= F.col("_s.last")))
+    found = found.select(*KEY, "_s.*", inner.alias("_in"))
+    words = F.aggregate("_in", F.lit(0).cast("long"), lambda a, x: a + x["w"]) + F.element_at("_in", -1)["w2"]
+    return found.where(words >= int(min_words)).select(*KEY, "first", F.xxhash64(F.lit(-2), F.transform("_in", lambda x: x["hash"])).alias("hash"), "last")
+
+
 def chunks(rows: DataFrame, min_words: int) -> DataFrame:
     """Chunks that count and whose hash recurs: document, hash, first and last line."""
     neighbours = rows.where("w2 is not null")
-    twice = neighbours.groupBy("r").count().where("count > 1").select("r")
+    twice = neighbours.groupBy("r").agg(F.count("*").alias("n")).where("n > 1")
     runs = neighbours.join(twice, "r").dropDuplicates([*KEY, "i"])
     line = Window.partitionBy(*KEY).orderBy("i")
     near = lambda k, c: F.when(F.lag("i", -k).over(line) == F.col("i") + k, F.lag(c, -k).over(line))
@@ -56,12 +82,13 @@ def chunks(rows: DataFrame, min_words: int) -> DataFrame:
     runs = runs.withColumn("run", F.col("i") - F.row_number().over(line))
     words = F.sum(F.col("w") + F.when(F.col("after").isNull(), F.col("w2")).otherwise(0)).over(Window.partitionBy(*KEY, "run"))
     runs = runs.withColumn("words", words).where(f"words >= {int(min_words)}")
+    passages = stretches(runs, line, min_words)
     kept = runs.where("before is null or after is null or not (r < before and r <= after)")
     kept = kept.withColumn("chunk", F.col("i") - F.row_number().over(line))
     kept = kept.withColumn("first", F.min("i").over(Window.partitionBy(*KEY, "chunk")))
     many = kept.groupBy(*KEY, "first").agg(F.bit_xor(F.xxhash64(F.col("i") - F.col("first"), "r")).alias("hash"), (F.max("i") + 1).alias("last"))
     alone = rows.where(f"w >= {int(min_words)}").select(*KEY, F.col("i").alias("first"), F.xxhash64(F.lit(-1), "h").alias("hash"), F.col("i").alias("last")).distinct()
-    found = many.select(*KEY, "first", "hash", "last").union(alone)
+    found = many.select(*KEY, "first", "hash", "last").union(alone).union(passages)
     again = found.groupBy("hash").count().where("count > 1").select("hash")
     return found.join(again, "hash")
 

@@ -121,6 +121,24 @@ def test_similarity_of_sets_not_of_repeats(spark):
     assert [got[k] for k in range(14)] == [*range(12), 12, 12]
 
 
+def test_shared_passage_in_copied_documents(spark):
+    rng = random.Random(7)
+    some = lambda n, m: ["_".join(["l", str(rng.randrange(10**9))]) + " word" * (m - 1) for _ in range(n)]
+    passage, common = some(4, 15), some(2, 5)
+    inner = passage[:2] + common + passage[2:]  # the common lines recur elsewhere too, more often than the passage
+    for shared in (passage, inner):
+        texts = []
+        for k in range(30):
+            text = "\n".join(some(rng.randint(1, 5), 12) + shared + some(rng.randint(1, 5), 12))
+            texts += [text] * (1 + k % 2)
+        texts += ["\n".join(some(2, 12) + common + some(2, 12)) for _ in range(40)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        left = collections.Counter(x for r in line_dedup.dedup_lines(docs).collect() for x in r.text.split("\n"))
+        assert {left[x] for x in passage} == {1}
+        assert left[common[0]] == left[common[1]] == (41 if shared is inner else 40)
+        assert all(left[x] for t in texts for x in t.split("\n"))
+
+
 def test_odd_rows(spark, odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == 8 and {r.component_id for r in got if r.doc_id in (2, 3, 4)} == {2}
