@@ -6,8 +6,8 @@ are (menus, forms, scripts, adverts, reader comments and so on, by tag, role, cl
 line has a text-to-tag ratio (letters outside links for each tag), the ratios are smoothed with a Gaussian along the
 page and parted into two clusters by a threshold that lies midway between their means. The lines above it are content.
 
-The region is then the smallest container (article, main, section, div, table cell or body) that holds most of the
-content's letters; all unmarked lines in it are the main text, short ones too, except that where the region is the
+The region is then the smallest container (article, main, section, div, table cell or body) that holds nearly all of the
+content's letters, or the article or main that holds most of them, which is never parted; all unmarked lines in it are the main text, short ones too, except that where the region is the
 whole body lines of mostly links below the threshold are left out.
 
 Character references are decoded, white space in a line becomes one space, lines are joined by a newline. A null or
@@ -28,6 +28,7 @@ from .common import arrow_schema
 FED = 1 << 16
 SIGMA = 1.5
 MOST = 0.6
+NEARLY = 0.95
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template head title nav footer aside form button select textarea iframe object svg math dialog menu audio video canvas map datalist fieldset".split())
 CONTAINERS = frozenset("article main section div td th body".split())
@@ -40,7 +41,8 @@ NOISE = re.compile(
     re.I,
 )
 TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
-COMMENTS = re.compile(r"comment|disqus|repl(?:y|ies)|discussion", re.I)
+#: Whole names of lists of reader comments.
+COMMENTS = re.compile(r"(?:^|\s)(?:(?:reader-?|user-?|post-)?comments?(?:-?(?:list|area|section|thread|body|wrapper))?|disqus(?:_thread|-thread)?|replies|respond)(?:$|\s)", re.I)
 
 
 class Lines(HTMLParser):
@@ -55,6 +57,7 @@ class Lines(HTMLParser):
         self.links = 0
         self.parents = [-1]
         self.container = 0
+        self.articles = [False]  # whether a container is an article or main
         self.lines: list = []
         self.parts: list = []
         self.tags = self.linked = 0
@@ -82,9 +85,9 @@ class Lines(HTMLParser):
         noise = int(tag in SKIPPED or tag == "header" and not inside)
         said = dict(attrs) if attrs else {}
         name = f"{said.get('class') or ''} {said.get('id') or ''}" if self.by_name else ""
-        comment = int(bool(COMMENTS.search(name)) and tag not in ("html", "body", "main", "a", "p"))
+        comment = int(bool(COMMENTS.search(name)) and tag not in ("html", "body", "main", "article", "a", "p"))
         if tag in ("article", "main"):
-            noise = 1 if comment else 0 if self.comments else -self.marked  # an article stands out from what wraps it
+            noise = 0 if self.comments else -self.marked  # an article stands out from what wraps it
         elif said and not noise and tag not in ("html", "body", "a"):
             noise = int(said.get("role") in ROLES or "hidden" in said or said.get("aria-hidden") == "true" or bool(NOISE.search(name)) or not inside and bool(TOP.search(name)))
             noise = noise if not (inside and tag in ("h1", "h2", "h3", "p", "header")) else 0
@@ -95,6 +98,7 @@ class Lines(HTMLParser):
             self.comments += comment
             if tag in CONTAINERS:
                 self.parents.append(self.container)
+                self.articles.append(tag in ("article", "main"))
                 self.container = len(self.parents) - 1
 
     def handle_startendtag(self, tag, attrs):
@@ -155,6 +159,15 @@ def read(html: str, by_name: bool = True) -> Lines:
     return page
 
 
+def above(parents: list, c: int) -> set:
+    """A container and all that hold it."""
+    out = set()
+    while c >= 0:
+        out.add(c)
+        c = parents[c]
+    return out
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -171,12 +184,18 @@ def main_text(html: str | None) -> str:
         while yes and c >= 0:
             inside[c] += n
             c = page.parents[c]
-    children: dict = {}
-    for c, p in enumerate(page.parents):
-        children.setdefault(p, []).append(c)
     root = 0
-    while (best := max(children.get(root, []), key=lambda c: inside[c], default=None)) is not None and inside[best] > MOST * inside[0]:
-        root = best
+    for c, n in enumerate(inside):  # the deepest that holds nearly all; parents come before children
+        if n >= NEARLY * inside[0] and n > 0:
+            root = c
+    c = root
+    while c >= 0:  # an article is kept whole
+        if page.articles[c] and inside[c] > MOST * inside[0]:
+            root = c
+        c = page.parents[c]
+    for c, yes in enumerate(page.articles):
+        if yes and inside[c] > MOST * inside[0] and root in above(page.parents, c):
+            root = c
     kept, body = [], len(page.parents) == 1 or root <= 1
     below = {root}
     for c, p in enumerate(page.parents):  # parents come before children

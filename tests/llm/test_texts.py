@@ -95,6 +95,29 @@ def test_main_text():
         main_text.main_text(broken)
 
 
+def paragraphs(what, n):
+    return "".join(f"<p>{what} {k} with quite some words in it for everybody to read.</p>" for k in range(n))
+
+
+def test_main_text_keeps_whole_articles():
+    menu = "<div class=nav><a>One</a> <a>Two</a></div>"
+    lead = f"<body>{menu}<article><h1>Title</h1><p>A lead.</p><div class=content>{paragraphs('Line', 20)}</div></article></body>"
+    assert main_text.main_text(lead).split("\n")[:2] == ["Title", "A lead."] and len(main_text.main_text(lead).split("\n")) == 22
+    for tag in ("article", "div"):
+        two = f"<body>{menu}<{tag}><section>{paragraphs('First', 13)}</section><section>{paragraphs('Second', 7)}</section></{tag}></body>"
+        assert len(main_text.main_text(two).split("\n")) == 20
+    cells = f"<body><table><tr><td>{paragraphs('First', 13)}</td><td>{paragraphs('Second', 8)}</td></tr></table></body>"
+    assert len(main_text.main_text(cells).split("\n")) == 21
+
+
+def test_main_text_of_articles_whose_names_say_comment():
+    for name in ("category-commentary", "post comments-open", "comment-status-open", "discussion"):
+        page = f"<body><p>By somebody</p><article class='{name}'>{paragraphs('Line', 9)}</article></body>"
+        assert len(main_text.main_text(page).split("\n")) == 9, name
+    page = f"<body><p>By somebody</p><div class='post has-comments'><article>{paragraphs('Line', 9)}</article><div class=comments><article>{paragraphs('Reader', 3)}</article></div></div></body>"
+    assert len(main_text.main_text(page).split("\n")) == 9
+
+
 def test_pages(spark, sf):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     got = queries.op5_main_text(spark, sf).collect()
