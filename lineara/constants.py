@@ -8,10 +8,7 @@ PRODUCTION_NAME = "species.production_name"
 ANNOTATION_SOURCE = "species.annotation_source"
 ENRICHMENT_KEYS = [ACCESSION, TAXONOMY_ID, SCIENTIFIC_NAME, PRODUCTION_NAME, ANNOTATION_SOURCE]
 
-#: Defaults and choices.
-DEFAULT_SOURCE = "ensembl"
-PROJECTS = ["ensembl", "brc"]
-SHORT_NAME_PROJECT = "brc"
+#: What stands for a record without a database.
 NO_DATABASE = "core"
 NO_DATABASE_SPECIES = "species"
 
@@ -20,6 +17,7 @@ LABELS = {"genome": "genome_busco", "protein": "protein_busco"}
 SUMMARY_ENDING = "short_summary.txt"
 OMARK_LABEL = "omark"
 OMARK_ENDING = "proteins_detailed_summary.txt"
+STATISTICS_FOLDER = "statistics"
 DROPPED_LINE = "Summarized benchmarking in BUSCO notation for file"
 
 #: Modes of reports.

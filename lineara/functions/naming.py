@@ -45,14 +45,14 @@ def publish_path(name: Column, accession: Column, source: Column) -> Column:
     return F.concat(name, F.lit("/"), accession, F.lit("/"), source)
 
 
-def publish_dir(folder: Column, project: Column, name: Column) -> Column:
-    """The folder, and under it the name for the project that wants it."""
-    return F.concat_ws("/", folder, F.when((project == constants.DEFAULT_SOURCE) & (name != ""), name))
+def publish_dir(folder: Column, project: Column, name: Column, named: tuple = ()) -> Column:
+    """The folder, and under it the name for the projects that want it."""
+    return F.concat_ws("/", folder, F.when(project.isin(*named) & (name != ""), name))
 
 
-def record_path(db: Column, accession: Column, name: Column, source: Column) -> Column:
-    """Where a record's results go: its accession alone if it has no database."""
-    with_db = publish_path(scientific_name(name, db), accession, or_missing(source, F.lit(constants.DEFAULT_SOURCE)))
+def record_path(db: Column, accession: Column, name: Column, source: Column, default_source: str | None = None) -> Column:
+    """Where a record's results go: its accession alone if it has no database. Null if it has no source and there is no default."""
+    with_db = publish_path(scientific_name(name, db), accession, or_missing(source, F.lit(default_source).cast("string")))
     return F.when(db == constants.NO_DATABASE, accession).otherwise(with_db)
 
 
@@ -67,11 +67,11 @@ def label(datatype: Column) -> Column:
     return out
 
 
-def summary_name(project: Column, species: Column, accession: Column, datatype: Column) -> Column:
-    """The file name of a filtered summary."""
-    short = F.concat_ws("_", label(datatype), F.lit(constants.SUMMARY_ENDING))
+def summary_name(project: Column, species: Column, accession: Column, datatype: Column, short: tuple = ()) -> Column:
+    """The file name of a filtered summary; the projects in ``short`` have names without species and accession."""
+    brief = F.concat_ws("_", label(datatype), F.lit(constants.SUMMARY_ENDING))
     full = F.concat_ws("_", species, slug_accession(accession), label(datatype), F.lit(constants.SUMMARY_ENDING))
-    return F.when(project == constants.SHORT_NAME_PROJECT, short).otherwise(full)
+    return F.when(project.isin(*short), brief).otherwise(full)
 
 
 def omark_name(species: Column, accession: Column) -> Column:

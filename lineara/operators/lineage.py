@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import naming
+from ..session import checkpointed
 
 
 def parents_of(reports: DataFrame, content: str = "content") -> DataFrame:
@@ -38,10 +39,20 @@ def assigned(records: DataFrame, taxa: DataFrame, lineage: DataFrame, dataset: s
     return records.join(near, "taxon_id", "left").withColumn("busco_dataset", naming.override(dataset, F.col("dataset"))).drop("dataset")
 
 
-def walk_up(spark, table: str, child: str, parent: str) -> DataFrame:
-    """child, ancestor, distance over a table of child and parent ids, however deep, by a recursive query."""
-    return spark.sql(f"""
-        WITH RECURSIVE up(child, ancestor, distance) AS (
-            SELECT {child}, {parent}, 1 FROM {table} WHERE {parent} IS NOT NULL
-            UNION ALL SELECT up.child, t.{parent}, up.distance + 1 FROM up JOIN {table} t ON t.{child} = up.ancestor WHERE t.{parent} IS NOT NULL)
-        SELECT child, ancestor, distance FROM up""")
+def walk_up(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """child, ancestor, distance over a table of child and parent ids, however deep.
+
+    Paths double in each round: those of exactly d steps are continued by all known ones, so a chain of n nodes takes
+    log2(n) joins; each round ends in a checkpoint. A cycle raises ValueError. Rows with a null on either side are no
+    links; a child with several parents has a row for each path.
+    """
+    steps = edges.where(F.col(child).isNotNull() & F.col(parent).isNotNull())
+    known, d = checkpointed(steps.select(F.col(child).alias("child"), F.col(parent).alias("ancestor"), F.lit(1).cast("long").alias("distance"))), 1
+    while True:
+        if known.where("child = ancestor").head(1):
+            raise ValueError(f"{child} and {parent} have a cycle")
+        far = known.where(F.col("distance") == d).select("child", F.col("ancestor").alias("via"))
+        if not far.head(1):
+            return known
+        more = far.join(known.withColumnsRenamed({"child": "via", "distance": "rest"}), "via")
+        known, d = checkpointed(known.union(more.select("child", "ancestor", F.col("rest") + d))), 2 * d

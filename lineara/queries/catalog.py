@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from .. import config, constants, schemas
 from ..functions import naming
 from ..operators import enrich, lineage, merge, metakeys, reports
-from ..plans import pipelines, policy
+from ..plans import pipelines
 from ..session import ship
 from . import fixtures as fx
 
+#: The source of records that name none, in these queries.
+SOURCE = "submitted"
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
@@ -83,11 +85,11 @@ def eav_pivot_enrich_minimal(spark, sf_dir):
     return enrich.enrich(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), wide, "o_custkey")
 
 
-@query("SELECT n_nationkey, n_name, coalesce(r_name, 'ensembl') AS source FROM nation LEFT JOIN (SELECT * FROM region WHERE r_regionkey < 3) ON n_regionkey = r_regionkey")
+@query("SELECT n_nationkey, n_name, coalesce(r_name, 'submitted') AS source FROM nation LEFT JOIN (SELECT * FROM region WHERE r_name LIKE 'A%') ON n_regionkey = r_regionkey")
 def default_missing_row(spark, sf_dir):
-    known = table(spark, sf_dir, "region").where("r_regionkey < 3").withColumnRenamed("r_regionkey", "n_regionkey")
+    known = table(spark, sf_dir, "region").where("r_name LIKE 'A%'").withColumnRenamed("r_regionkey", "n_regionkey")
     rows = enrich.enrich(table(spark, sf_dir, "nation"), known, "n_regionkey")
-    return rows.select("n_nationkey", "n_name", naming.or_missing(F.col("r_name"), F.lit(constants.DEFAULT_SOURCE)).alias("source"))
+    return rows.select("n_nationkey", "n_name", naming.or_missing(F.col("r_name"), F.lit(SOURCE)).alias("source"))
 
 
 @query(f"""SELECT db, gca, coalesce(nullif(scientific_name, ''), db) AS name FROM ({fx.values(fx.NAMES)}) t(db, scientific_name, production_name, source, gca, project, datatype)""")
@@ -121,30 +123,30 @@ def publish_path(spark, sf_dir):
 
 NAMED = f"""named AS (
     SELECT *, CASE WHEN db = 'core' THEN 'species' ELSE lower(regexp_replace(coalesce(nullif(scientific_name, ''), db), '\\s', '_', 'g')) END AS species,
-           CASE WHEN db = 'core' THEN gca ELSE regexp_replace(coalesce(nullif(scientific_name, ''), db), '\\s', '_', 'g') || '/' || gca || '/' || coalesce(source, 'ensembl') END AS publish_dir,
+           CASE WHEN db = 'core' THEN gca ELSE regexp_replace(coalesce(nullif(scientific_name, ''), db), '\\s', '_', 'g') || '/' || gca || '/' || coalesce(source, 'submitted') END AS publish_dir,
            CASE datatype WHEN 'genome' THEN 'genome_busco' WHEN 'protein' THEN 'protein_busco' ELSE '' END AS label,
            replace(replace(lower(gca), '.', 'v'), '_', '') AS slug
     FROM ({fx.values(fx.NAMES)}) t(db, scientific_name, production_name, source, gca, project, datatype))"""
 
 
 @query(f"""WITH {NAMED} SELECT gca, publish_dir,
-    CASE WHEN project = 'brc' THEN label || '_short_summary.txt' ELSE species || '_' || slug || '_' || label || '_short_summary.txt' END AS summary_name,
+    CASE WHEN project = 'beta' THEN label || '_short_summary.txt' ELSE species || '_' || slug || '_' || label || '_short_summary.txt' END AS summary_name,
     species || '_' || slug || '_omark_proteins_detailed_summary.txt' AS omark_name,
-    CASE WHEN project = 'ensembl' THEN '/out/' || db ELSE '/out' END AS project_dir FROM named""")
+    CASE WHEN project = 'alpha' THEN '/out/' || db ELSE '/out' END AS project_dir FROM named""")
 def summary_name_by_project(spark, sf_dir):
     rows = fx.frame(ship(spark), fx.NAMES, fx.NAMES_SCHEMA)
     species = naming.species(F.col("db"), F.col("scientific_name"))
     return rows.select(
-        "gca", naming.record_path(F.col("db"), F.col("gca"), F.col("scientific_name"), F.col("source")).alias("publish_dir"),
-        naming.summary_name(F.col("project"), species, F.col("gca"), F.col("datatype")).alias("summary_name"), naming.omark_name(species, F.col("gca")).alias("omark_name"),
-        naming.publish_dir(F.lit("/out"), F.col("project"), F.col("db")).alias("project_dir"),
+        "gca", naming.record_path(F.col("db"), F.col("gca"), F.col("scientific_name"), F.col("source"), SOURCE).alias("publish_dir"),
+        naming.summary_name(F.col("project"), species, F.col("gca"), F.col("datatype"), ("beta",)).alias("summary_name"), naming.omark_name(species, F.col("gca")).alias("omark_name"),
+        naming.publish_dir(F.lit("/out"), F.col("project"), F.col("db"), ("alpha",)).alias("project_dir"),
     )
 
 
-#: A sparse map as lineage datasets are: every second nation, and the regions below 3 (numbered from 1000).
+#: A sparse map as lineage datasets are: nations whose names have an N, and regions whose names begin with A (numbered from 1000).
 def nation_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").cast("string").alias("taxon_id"), F.col("n_name").alias("dataset"))
-    regions = table(spark, sf_dir, "region").where("r_regionkey < 3").select((F.col("r_regionkey") + 1000).cast("string").alias("taxon_id"), F.col("r_name").alias("dataset"))
+    nations = table(spark, sf_dir, "nation").where("n_name LIKE '%N%'").select(F.col("n_nationkey").cast("string").alias("taxon_id"), F.col("n_name").alias("dataset"))
+    regions = table(spark, sf_dir, "region").where("r_name LIKE 'A%'").select((F.col("r_regionkey") + 1000).cast("string").alias("taxon_id"), F.col("r_name").alias("dataset"))
     return nations.unionByName(regions)
 
 
@@ -154,8 +156,8 @@ def customer_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", F.array((F.col("n_regionkey") + 1000).cast("long"), F.col("n_nationkey").cast("long")).alias("parents"))
 
 
-MAP = """lineage AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS dataset FROM nation WHERE n_nationkey % 2 = 0
-    UNION ALL SELECT r_regionkey + 1000, r_name FROM region WHERE r_regionkey < 3),
+MAP = """lineage AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS dataset FROM nation WHERE n_name LIKE '%N%'
+    UNION ALL SELECT r_regionkey + 1000, r_name FROM region WHERE r_name LIKE 'A%'),
     taxa AS (SELECT c_custkey, [n_regionkey + 1000, n_nationkey] AS parents FROM customer JOIN nation ON c_nationkey = n_nationkey),
     up AS (SELECT c_custkey, unnest(parents) AS id, generate_subscripts(parents, 1) AS pos FROM taxa),
     near AS (SELECT c_custkey, arg_max(dataset, pos) AS dataset FROM up JOIN lineage USING (id) GROUP BY c_custkey)"""
@@ -190,13 +192,14 @@ def taxonomy_json_parents(spark, sf_dir):
     return lineage.parents_of(rows.withColumn("content", content)).select("event_id", "k", F.array_join(F.col("parents").cast("array<string>"), ",").alias("parents"))
 
 
-@query("""WITH RECURSIVE t(child, parent) AS (VALUES (2, 1), (3, 2), (4, 3), (5, 3), (6, NULL)),
-    up(child, ancestor, distance) AS (SELECT child, parent, 1 FROM t WHERE parent IS NOT NULL
-        UNION ALL SELECT up.child, t.parent, up.distance + 1 FROM up JOIN t ON t.child = up.ancestor)
+@query("""WITH RECURSIVE t AS (SELECT p_partkey AS child, nullif(p_partkey // 2, 0) AS parent FROM part),
+    up(child, ancestor, distance) AS (SELECT child, parent, CAST(1 AS BIGINT) FROM t WHERE parent IS NOT NULL
+        UNION ALL SELECT up.child, t.parent, up.distance + 1 FROM up JOIN t ON t.child = up.ancestor WHERE t.parent IS NOT NULL)
     SELECT * FROM up""")
 def taxonomy_walk_recursive(spark, sf_dir):
-    fx.frame(spark, [(2, 1), (3, 2), (4, 3), (5, 3), (6, None)], "child int, parent int").createOrReplaceTempView("lineara_taxa")
-    return lineage.walk_up(spark, "lineara_taxa", "child", "parent")
+    """Parts as a tree in which each hangs below the one of half its number."""
+    tree = table(spark, sf_dir, "part").selectExpr("p_partkey AS child", "nullif(p_partkey div 2, 0) AS parent")
+    return lineage.walk_up(tree, "child", "parent")
 
 
 @query("""SELECT doc_id, md5(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT contains(x, 'the')), chr(10))) AS text_md5 FROM documents""")
@@ -210,60 +213,89 @@ def report_concat(spark, sf_dir):
     return rows.select("conv_id", F.md5("content").alias("text_md5"), F.length("content").cast("long").alias("n_chars"))
 
 
+#: A report of each customer, in expressions that mean the same to Spark and to SQL: gca, db, mode, path, content.
+CUSTOMER_REPORTS = [
+    "c_name AS gca", "concat('db_', CAST(c_custkey AS STRING)) AS db", "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'protein' ELSE 'genome' END AS mode", "concat('/r/', c_name) AS path",
+    """concat('# BUSCO version is: 5.', CAST(c_nationkey AS STRING), '.1 ', chr(10), '# The lineage dataset is: ', lower(c_mktsegment), '_odb10 (Creation date: 2024-01-08)', chr(10),
+        '# Summarized benchmarking in BUSCO notation for file /x/in.fa', chr(10),
+        '# BUSCO was run in mode: ', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'proteins' WHEN 'BUILDING' THEN 'euk_genome_min' WHEN 'FURNITURE' THEN 'euk_genome_met' WHEN 'MACHINERY' THEN 'transcriptome' ELSE 'genome' END, chr(10), chr(10),
+        chr(9), 'C:', CAST(c_custkey % 100 AS STRING), '.', CAST(c_nationkey % 10 AS STRING), '%[S:9', CAST(c_nationkey % 10 AS STRING), '.5%,D:0.5%],F:0.6%,M:', CAST(c_nationkey AS STRING), '.4%,n:', CAST(c_custkey AS STRING),
+        CASE WHEN c_nationkey > 12 THEN concat(',E:', CAST(c_nationkey AS STRING), '.5%') ELSE '' END, chr(9), chr(10),
+        chr(9), CAST(c_custkey + 7 AS STRING), chr(9), 'Complete BUSCOs (C)', chr(10), chr(9), CAST(c_custkey AS STRING), chr(9), 'Complete and single-copy BUSCOs (S)', chr(10),
+        CASE WHEN c_nationkey > 3 THEN concat(chr(9), '7', chr(9), 'Complete and duplicated BUSCOs (D)', chr(10), chr(9), CAST(c_nationkey AS STRING), chr(9), 'Fragmented BUSCOs (F)', chr(10)) ELSE '' END,
+        chr(9), '12', chr(9), 'Missing BUSCOs (M)', chr(10)) AS content""",
+]
+
+
 def _found(pattern: str, group: int = 1) -> str:
-    return f"nullif(regexp_extract(content, {fx.literal(pattern)}, {group}), '')"
+    return f"nullif(regexp_extract(content, '{pattern}', {group}), '')"
+
+
+#: The patterns as the formats have them, written apart from those that the operators use.
+_SCORE = r"C:(\d+\.\d+)%\[S:(\d+\.\d+)%.*,D:(\d+\.\d+)%\],F:(\d+\.\d+)%.*,M:(\d+\.\d+)%,n:(\d+)"
+_COUNTED = {"complete": r"(\d+)\s+Complete BUSCOs \(C\)", "single_copy": r"(\d+)\s+Complete and single-copy BUSCOs \(S\)", "duplicated": r"(\d+)\s+Complete and duplicated BUSCOs \(D\)", "fragmented": r"(\d+)\s+Fragmented BUSCOs \(F\)", "missing": r"(\d+)\s+Missing BUSCOs \(M\)"}
+_KEYS = [
+    ("version", "busco_version"), ("dataset", "busco_dataset"), ("score", "busco"), ("busco_mode", "busco_mode"), ("complete", "busco_completeness"), ("single_copy", "busco_single_copy"), ("duplicated", "busco_duplicated"),
+    ("fragmented", "busco_fragmented"), ("missing", "busco_missing"), ("total", "busco_total"), ("erroneous", "busco_erroneus"),
+]
 
 
 def _picked(group: int) -> str:
-    return f"CASE WHEN run_mode = 'euk_genome_min' THEN {_found(constants.SCORE_ERRONEOUS, group)} ELSE {_found(constants.SCORE, group)} END"
+    return f"CASE WHEN run_mode = 'euk_genome_min' THEN {_found(_SCORE + r',E:(\d+\.\d+)%', group)} ELSE {_found(_SCORE, group)} END"
 
 
-PARSED = f"""r AS (SELECT *, {_found(constants.MODE)} AS run_mode FROM ({fx.values(fx.REPORTS)}) t(gca, db, mode, path, content)),
-    parsed AS (SELECT gca, db, run_mode, {_found(constants.VERSION)} AS version, {_found(constants.DATASET)} AS dataset,
+PARSED = rf"""found AS (SELECT * FROM ({fx.values(fx.REPORTS)}) t(gca, db, mode, path, content) UNION ALL SELECT {', '.join(CUSTOMER_REPORTS)} FROM customer),
+    r AS (SELECT *, {_found(r'BUSCO was run in mode: ([\w_]+)')} AS run_mode FROM found),
+    parsed AS (SELECT gca, db, run_mode, {_found(r'BUSCO version is: ((\d+\.\d+.\d+))')} AS version, {_found(r'The lineage dataset is: ([\w_]+)')} AS dataset,
         CASE WHEN run_mode IN ('genome', 'euk_genome_met', 'euk_genome_min') THEN 'genome' WHEN run_mode = 'proteins' THEN 'protein' END AS busco_mode,
-        {', '.join(f"TRY_CAST({_found(p)} AS INT) AS {n}" for n, p in constants.COUNTS.items())},
+        {', '.join(f"TRY_CAST({_found(p)} AS INT) AS {n}" for n, p in _COUNTED.items())},
         {_picked(0)} AS score, TRY_CAST({_picked(6)} AS INT) AS total,
-        CASE WHEN run_mode = 'euk_genome_min' THEN {_found(constants.SCORE_ERRONEOUS, 7)} END AS erroneous FROM r),
+        CASE WHEN run_mode = 'euk_genome_min' THEN {_found(_SCORE + r',E:(\d+\.\d+)%', 7)} END AS erroneous FROM r),
     judged AS (SELECT *, CASE WHEN run_mode IS NULL THEN 'no_mode' WHEN busco_mode IS NULL THEN 'unknown_mode' WHEN score IS NULL THEN 'no_score' END AS reason FROM parsed)"""
 
 
-def judged(spark: SparkSession) -> DataFrame:
-    return reports.classified(reports.parse(fx.reports(ship(spark))))
+def found_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The odd reports of the fixtures, and one of each customer."""
+    return fx.reports(ship(spark)).unionByName(table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_REPORTS))
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.classified(reports.parse(found_reports(spark, sf_dir)))
 
 
-@query(f"WITH {PARSED} SELECT db, version, dataset, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in constants.COUNTS)} FROM parsed")
+@query(f"WITH {PARSED} SELECT db, version, dataset, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _COUNTED)} FROM parsed")
 def report_parse_counts(spark, sf_dir):
-    return judged(spark).select("db", "version", "dataset", *[F.col(c).cast("string").alias(c) for c in constants.COUNTS])
+    return judged(spark, sf_dir).select("db", "version", "dataset", *[F.col(c).cast("string").alias(c) for c in constants.COUNTS])
 
 
 @query(f"WITH {PARSED} SELECT db, score, CAST(total AS VARCHAR) AS total, erroneous FROM parsed")
 def report_parse_score(spark, sf_dir):
-    return judged(spark).select("db", "score", F.col("total").cast("string").alias("total"), "erroneous")
+    return judged(spark, sf_dir).select("db", "score", F.col("total").cast("string").alias("total"), "erroneous")
 
 
 @query(f"WITH {PARSED} SELECT db, run_mode, busco_mode, CASE WHEN run_mode IN ('genome', 'euk_genome_met', 'euk_genome_min') THEN 'assembly.' ELSE 'genebuild.' END AS prefix FROM parsed")
 def report_mode_dispatch(spark, sf_dir):
-    return judged(spark).select("db", "run_mode", "busco_mode", metakeys.prefix(F.col("run_mode")).alias("prefix"))
+    return judged(spark, sf_dir).select("db", "run_mode", "busco_mode", metakeys.prefix(F.col("run_mode")).alias("prefix"))
 
 
 @query(f"WITH {PARSED} SELECT db, gca, reason FROM judged WHERE reason IS NOT NULL")
 def report_quarantine(spark, sf_dir):
-    return judged(spark).select("db", "gca", "reason").where("reason IS NOT NULL")
+    return judged(spark, sf_dir).select("db", "gca", "reason").where("reason IS NOT NULL")
 
 
 KEYED = f"""{PARSED}, keyed AS (
     SELECT db, ordinal, CASE WHEN run_mode LIKE '%genome%' THEN 'assembly.' ELSE 'genebuild.' END || k AS meta_key, v AS meta_value FROM (
-        {' UNION ALL '.join(f"SELECT db, run_mode, {n} AS ordinal, '{k}' AS k, CAST({c} AS VARCHAR) AS v FROM judged WHERE reason IS NULL" for n, (c, k) in enumerate(constants.METAKEYS.items()))})
+        {' UNION ALL '.join(f"SELECT db, run_mode, {n} AS ordinal, '{k}' AS k, CAST({c} AS VARCHAR) AS v FROM judged WHERE reason IS NULL" for n, (c, k) in enumerate(_KEYS))})
     WHERE v IS NOT NULL)"""
 
 
 @query(f"WITH {KEYED} SELECT * FROM keyed")
 def metakeys_unpivot(spark, sf_dir):
-    return metakeys.to_eav(judged(spark), ["db"])
+    return metakeys.to_eav(judged(spark, sf_dir), ["db"])
 
 
 def _document(head: str) -> str:
-    parts = [f"'{head}{k}', {c if c == 'total' else f'CAST({c} AS VARCHAR)'}" for c, k in constants.METAKEYS.items() if (c != "erroneous" or head == "assembly.")]
+    parts = [f"'{head}{k}', {c if c == 'total' else f'CAST({c} AS VARCHAR)'}" for c, k in _KEYS if (c != "erroneous" or head == "assembly.")]
     return f"json_object({', '.join(parts)}, 'core_db', db)"
 
 
@@ -271,7 +303,7 @@ def _document(head: str) -> str:
     regexp_replace(CAST(CASE WHEN busco_mode = 'genome' THEN {_document('assembly.')} ELSE {_document('genebuild.')} END AS VARCHAR), '"[a-z_.]+":null,', '', 'g') AS document
     FROM judged WHERE reason IS NULL""")
 def metakeys_json(spark, sf_dir):
-    return metakeys.to_json(judged(spark))
+    return metakeys.to_json(judged(spark, sf_dir))
 
 
 @query(f"""WITH {EAV} SELECT c_custkey, meta_key, 'INSERT IGNORE INTO meta (species_id, meta_key, meta_value) VALUES (1, ''' || meta_key || ''', ''' || replace(meta_value, '''', '''''') || ''');' AS statement FROM eav""")
@@ -282,7 +314,7 @@ def sql_patch_statements(spark, sf_dir):
 @query(f"""WITH {KEYED}, s AS (SELECT db, 'USE ' || db || ';' || chr(10) || chr(10) || string_agg('INSERT IGNORE INTO meta (species_id, meta_key, meta_value) VALUES (1, ''' || meta_key || ''', ''' || replace(meta_value, '''', '''''') || ''');', chr(10) ORDER BY ordinal) AS script FROM keyed GROUP BY db)
     SELECT db, generate_subscripts(string_split(script, ';' || chr(10)), 1) - 1 AS ordinal, unnest(string_split(script, ';' || chr(10))) AS statement FROM s""")
 def sql_patch_split(spark, sf_dir):
-    scripts = metakeys.scripts(metakeys.to_eav(judged(spark), ["db"]), "db")
+    scripts = metakeys.scripts(metakeys.to_eav(judged(spark, sf_dir), ["db"]), "db")
     return metakeys.split_script(scripts, ["db"], "script").withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
@@ -294,12 +326,16 @@ def insert_ignore_merge(spark, sf_dir):
     return merge.insert_ignore(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'"), ["o_custkey"], ["o_orderkey"])
 
 
-@query(f"""WITH l(label, cpus, mem, hours) AS ({fx.values(policy.RESOURCES)}), a AS (SELECT unnest([1, 2, 3, 4]) AS attempt), x AS (SELECT unnest([1, 104, 137, 140, 143]) AS exit_status)
-    SELECT label, CAST(attempt AS INT) AS attempt, CAST(exit_status AS INT) AS exit_status, cpus, CAST(mem * attempt AS INT) AS mem_gb, CAST(hours * attempt AS INT) AS hours,
-           CASE WHEN exit_status IN (104, 137, 140, 143) AND attempt <= 3 THEN 'retry' ELSE 'terminate' END AS action FROM l, a, x""")
-def retry_resource_policy(spark, sf_dir):
-    rows = policy.resources(ship(spark)).withColumn("attempt", F.explode(F.array(*map(F.lit, range(1, 5)))))
-    return policy.planned(rows.withColumn("exit_status", F.explode(F.array(*map(F.lit, [1, *policy.RETRY_CODES])))))
+@query(f"""WITH found AS (SELECT {', '.join(CUSTOMER_REPORTS)} FROM customer)
+    SELECT 'core' AS db, gca, gca AS publish_dir, 'species_' || replace(replace(lower(gca), '.', 'v'), '_', '') || '_genome_busco_short_summary.txt' AS summary_name,
+        md5(regexp_replace(content, '[^\n]*Summarized benchmarking in BUSCO notation for file[^\n]*\n', '')) AS content_md5 FROM found""")
+def assembly_run_summaries(spark, sf_dir):
+    """A run over assemblies, of which no one has a database: each report is published under its own assembly."""
+    customers = table(spark, sf_dir, "customer")
+    found = customers.selectExpr(*CUSTOMER_REPORTS).withColumns({"db": F.lit("core"), "mode": F.lit("genome")})
+    records = enrich.assembly_records(customers.select(F.col("c_name").alias("gca"), F.col("c_custkey").cast("string").alias("taxon_id")))
+    rows = pipelines.summaries(pipelines.described(records, fx.frame(spark, fx.META, schemas.META), SOURCE), found, "alpha")
+    return rows.select("db", "gca", "publish_dir", "summary_name", F.md5("content").alias("content_md5"))
 
 
 @query("SELECT c_custkey, mode FROM customer CROSS JOIN (VALUES ('genome'), ('protein')) m(mode)")
@@ -327,7 +363,7 @@ def completeness_counts(spark, sf_dir):
     taxa(taxon_id, parents) AS ({fx.values(fx.TAXA)}), lineage(id, dataset) AS ({fx.values(fx.LINEAGE)}),
     near AS (SELECT taxon_id, arg_max(l.dataset, pos) AS busco_dataset FROM (SELECT taxon_id, CAST(unnest(parents) AS VARCHAR) AS id, generate_subscripts(parents, 1) AS pos FROM taxa) JOIN lineage l USING (id) GROUP BY taxon_id),
     fresh AS (SELECT db, count(*) AS new_keys FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.db = k.db AND m.meta_key = k.meta_key) GROUP BY db)
-    SELECT w.db, w.gca, busco_dataset, regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g') || '/' || w.gca || '/' || coalesce(source, 'ensembl') AS publish_dir,
+    SELECT w.db, w.gca, busco_dataset, regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g') || '/' || w.gca || '/' || coalesce(source, 'submitted') AS publish_dir,
         lower(regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g')) || '_' || replace(replace(lower(w.gca), '.', 'v'), '_', '') || '_' || r.mode || '_busco_short_summary.txt' AS summary_name,
         score, reason, coalesce(new_keys, 0) AS new_keys
     FROM manifest JOIN wide w USING (db) LEFT JOIN near USING (taxon_id) LEFT JOIN judged j USING (db) LEFT JOIN r USING (db) LEFT JOIN fresh USING (db)""")
@@ -335,8 +371,8 @@ def pipeline_end_to_end(spark, sf_dir):
     """A run over databases: for each its dataset, where its summary goes, its score or why there is none, and new metakeys."""
     meta, found = fx.frame(ship(spark), fx.META, schemas.META), fx.reports(spark)
     manifest = enrich.core_records(meta.select(F.col("db").alias("core")).distinct(), meta)
-    records = lineage.assigned(pipelines.described(manifest, meta), fx.frame(spark, fx.TAXA, schemas.TAXA), fx.frame(spark, fx.LINEAGE, schemas.LINEAGE))
-    named = pipelines.summaries(records, found, constants.DEFAULT_SOURCE).select("db", "summary_name")
+    records = lineage.assigned(pipelines.described(manifest, meta, SOURCE), fx.frame(spark, fx.TAXA, schemas.TAXA), fx.frame(spark, fx.LINEAGE, schemas.LINEAGE))
+    named = pipelines.summaries(records, found, "alpha").select("db", "summary_name")
     parsed = reports.classified(reports.parse(found)).select("db", "score", "reason")
     eav, _ = pipelines.report_metakeys(found)
     fresh = merge.new_rows(meta, eav, ["db", "meta_key"], ["meta_value"]).groupBy("db").agg(F.count("*").alias("new_keys"))

@@ -54,11 +54,11 @@ TAXA = [("100", [1, 131567, 2759, 33208, 7742, 8782]), ("101", [1, 131567, 2759,
 LINEAGE = [("2759", "eukaryota_odb10"), ("33208", "metazoa_odb10"), ("7742", "vertebrata_odb10"), ("8782", "aves_odb10"), ("50557", "insecta_odb10"), ("4751", "fungi_odb10"), ("105", "self_odb10")]
 #: (db, scientific_name, production_name, source, gca, project, datatype)
 NAMES = [
-    ("db_a", "Homo  sapiens", "homo_sapiens", "braker", "GCA_963576655.1", "ensembl", "genome"),
-    ("db_b", "", None, None, "GCA_000001405.29", "ensembl", "protein"),
-    ("db_c", None, None, "refseq", "GCF_1.1", "brc", "genome"),
-    ("core", None, None, None, "GCA_2.1", "ensembl", "genome"),
-    ("core", None, None, None, "GCA_3.1", "brc", "other"),
+    ("db_a", "Homo  sapiens", "homo_sapiens", "braker", "GCA_963576655.1", "alpha", "genome"),
+    ("db_b", "", None, None, "GCA_000001405.29", "alpha", "protein"),
+    ("db_c", None, None, "refseq", "GCF_1.1", "beta", "genome"),
+    ("core", None, None, None, "GCA_2.1", "alpha", "genome"),
+    ("core", None, None, None, "GCA_3.1", "beta", "other"),
 ]
 
 

@@ -9,5 +9,6 @@ LINEAGE = "taxon_id string, dataset string"
 TAXONOMY_REPORT = "struct<reports:array<struct<taxonomy:struct<parents:array<bigint>>>>>"
 TAXA = "taxon_id string, parents array<bigint>"
 REPORT = "gca string, db string, mode string, path string, content string"
+CACHE = "gca string, busco_dataset string, mode string, path string, content string"
 PATCH = "db string, ordinal int, statement string"
 QUARANTINE = "db string, gca string, stage string, reason string"

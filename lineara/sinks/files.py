@@ -1,9 +1,9 @@
 """Results as files and as rows of a database."""
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-from ..config import Database
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def publish(df: DataFrame, path: str, parts: list[str]) -> None:
@@ -11,6 +11,42 @@ def publish(df: DataFrame, path: str, parts: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
+def write_named(df: DataFrame, root: str, folder: Column, name: Column, content: Column) -> int:
+    """A file root/folder/name for each row; gives their number.
+
+    Tasks write them through pyarrow's file systems (local, HDFS, S3 and so on by the scheme of root) under another name
+    first, so a file is whole or absent and a task that runs again does no harm. Rows without a folder, name or
+    content give no file; of rows with one path the greatest content is written.
+    """
+    if ":" not in root:
+        import os
+
+        root = "file://" + os.path.abspath(root)
+
+    def write(batches):
+        import posixpath
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, text in zip(*(c.to_pylist() for c in batch.columns)):
+                to = posixpath.join(base, path)
+                system.create_dir(posixpath.dirname(to), recursive=True)
+                part = f"{to}.{uuid.uuid4().hex}.part"
+                with system.open_output_stream(part) as f:
+                    f.write(text.encode("utf-8"))
+                system.move(part, to)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    path = F.concat(folder, F.lit("/"), name)
+    rows = df.select(path.alias("path"), content.cast("string").alias("text")).where("path IS NOT NULL AND text IS NOT NULL")
+    rows = rows.groupBy("path").agg(F.max("text").alias("text"))
+    return rows.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def write_json(documents: DataFrame, path: str) -> None:
     """JSON documents, one on each line."""
     documents.select("document").withColumnRenamed("document", "value").write.mode("overwrite").text(path)
@@ -22,17 +58,69 @@ def write_scripts(scripts: DataFrame, path: str, db: str = "db") -> None:
     rows.write.mode("overwrite").partitionBy("db").option("lineSep", "\n\n").text(path)
 
 
-def write_text(df: DataFrame, content: str, path: str, parts: list[str]) -> None:
-    """Filtered or joined texts, in folders by parts."""
-    df.select(*parts, F.col(content).alias("value")).write.mode("overwrite").partitionBy(*parts).text(path)
-
-
 def append_cache(df: DataFrame, path: str) -> None:
     """New results into a cache of results."""
     df.write.mode("append").parquet(path)
 
 
-def append_meta(new_rows: DataFrame, database: Database, db: str) -> None:
-    """Rows that a database's meta table lacks, in one append."""
-    rows = new_rows.where(F.col("db") == db).select("species_id", "meta_key", "meta_value")
-    rows.write.format("jdbc").options(**database.writer() | {"dbtable": f"`{db}`.meta"}).mode("append").save()
+def _on_databases(rows: DataFrame, columns: list[str], connect: Callable, partitions: int, work: Callable) -> DataFrame:
+    """work(cursor, rows of a database) in one transaction for each database: db, statements, error."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                connection, n, error = None, 0, None
+                try:
+                    connection = connect(row["db"])
+                    n = work(connection.cursor(), row["rows"])
+                    connection.commit()
+                except Exception as e:  # any database's error is a row of the result; the others go on
+                    n, error = 0, str(e)
+                    if connection is not None:
+                        connection.rollback()
+                finally:
+                    if connection is not None:
+                        connection.close()
+                out.append((row["db"], n, error))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.string()))], names=["db", "statements", "error"])
+
+    grouped = rows.groupBy("db").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
+    return grouped.repartition(partitions, "db").mapInArrow(run, "db string, statements long, error string")
+
+
+def insert_meta(patch: DataFrame, connect: Callable, table: str = "meta", partitions: int = 20, mark: str = "?") -> DataFrame:
+    """Put db, species_id, meta_key, meta_value into the databases' meta tables where the key is absent; all of a database's rows in one transaction.
+
+    An existing key is never updated and a second run adds nothing. Gives db, statements and the error, if any; nothing
+    is done before the result is asked for.
+    """
+    statement = (
+        f"INSERT INTO {table} (species_id, meta_key, meta_value) SELECT {mark}, {mark}, {mark} FROM (SELECT 1 AS one) t "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {table} WHERE species_id = {mark} AND meta_key = {mark})"
+    )
+
+    def work(cursor, rows):
+        for r in rows:
+            cursor.execute(statement, (r["species_id"], r["meta_key"], r["meta_value"], r["species_id"], r["meta_key"]))
+        return len(rows)
+
+    return _on_databases(patch, ["species_id", "meta_key", "meta_value"], connect, partitions, work)
+
+
+def execute_scripts(statements: DataFrame, connect: Callable, partitions: int = 20) -> DataFrame:
+    """Run db, ordinal, statement (see metakeys.split_script) in order, in one transaction for each database: db, statements, error.
+
+    The connection is the database's own, so a statement that only chooses the database is left out, and empty ones too.
+    """
+
+    def work(cursor, rows):
+        texts = [r["statement"].strip().rstrip(";") for r in rows]
+        texts = [t for t in texts if t and not t.upper().startswith("USE ")]
+        for t in texts:
+            cursor.execute(t)
+        return len(texts)
+
+    return _on_databases(statements, ["ordinal", "statement"], connect, partitions, work)

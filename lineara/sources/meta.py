@@ -1,12 +1,11 @@
 """Key and value metadata of databases."""
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants, schemas
-from ..config import Database
 
 
 def read_meta(spark: SparkSession, path: str, keys: list[str] = constants.ENRICHMENT_KEYS) -> DataFrame:
@@ -14,10 +13,28 @@ def read_meta(spark: SparkSession, path: str, keys: list[str] = constants.ENRICH
     return spark.read.schema(schemas.META).parquet(path).where(F.col("meta_key").isin(keys))
 
 
-def read_meta_jdbc(spark: SparkSession, database: Database, names: list[str], keys: list[str] = constants.ENRICHMENT_KEYS) -> DataFrame:
-    """The same from the meta tables of the databases named: one scan of each, with the keys pushed down."""
-    frames = []
-    for name in names:
-        rows = spark.read.format("jdbc").options(**database.reader() | {"dbtable": f"`{name}`.meta"}).load()
-        frames.append(rows.where(F.col("meta_key").isin(keys)).select(F.lit(name).alias("db"), F.col("species_id").cast("int"), "meta_key", "meta_value"))
-    return reduce(DataFrame.unionByName, frames)
+def read_meta_databases(names: DataFrame, connect: Callable, keys: list[str] = constants.ENRICHMENT_KEYS, partitions: int = 20, mark: str = "?") -> DataFrame:
+    """The same from the meta tables of many databases: one plan whatever their number, each database read once by a task.
+
+    names: a column db. connect(db) opens a DB-API connection in the task; the keys are part of the query that the
+    server gets, with ``mark`` as its sign for a parameter. No more than ``partitions`` connections are open at a time.
+    """
+    query = f"SELECT species_id, meta_key, meta_value FROM meta WHERE meta_key IN ({', '.join([mark] * len(keys))})"
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for db in batch.column(0).to_pylist():
+                connection = connect(db)
+                try:
+                    cursor = connection.cursor()
+                    cursor.execute(query, tuple(keys))
+                    while rows := cursor.fetchmany(10_000):
+                        ids, found, values = zip(*rows)
+                        yield pa.RecordBatch.from_arrays([pa.array([db] * len(rows), pa.string()), pa.array(ids, pa.int32()), pa.array(found, pa.string()), pa.array(values, pa.string())], names=["db", "species_id", "meta_key", "meta_value"])
+                finally:
+                    connection.close()
+
+    wanted = names.select("db").where("db IS NOT NULL").distinct()
+    return wanted.repartition(partitions, "db").mapInArrow(read, schemas.META)
