@@ -1,25 +1,29 @@
 """Operator 7: removal of repeated passages by content-defined chunks of lines, in Spark's own functions only.
 
-A text is split at newlines, each line is hashed, and a rolling hash runs over every two neighbouring lines. Two
-neighbours that stand together only once in the corpus are always parted; within a run of neighbours that recur, a
-border stands where the rolling hash is smaller than the ones before and after it. Both rules look at the lines around
-a border and not at where it stands in its text, so inserted or deleted lines elsewhere move no border, and every chunk
-of a run has two lines at least. Where a document that holds a passage has copies itself, the neighbours at the
-passage's edges recur too, but less often than those inside; so each stretch of neighbours that recur more often than
-the ones around it is a chunk as well, if it has ``min_words`` words of its own. A line of ``min_words`` words or more is also a chunk of its own.
-
-A chunk counts if its run (or line) has ``min_words`` words. Of equal chunks, equal in their bytes and not only in
-their hash, the first stays (least doc_id, then first line) and all others are removed. The least occurrence of a line
-is never removed, so nothing disappears from the corpus as a whole.
-
-Only rows of numbers are shuffled to find runs and chunks; texts move twice, to compare candidates and to cut.
+A text is split at newlines and each line is hashed. A rolling hash runs over the line hashes of a text (a running
+exclusive-or of hashes turned by their place), so the hash of any stretch of lines follows from two of its values.
+Chunks are chosen by content alone: one begins at each line and ends where its words reach ``min_words``, and one ends at
+each line and begins as late as it can with that many words. Neither rule looks at where a line stands in its text or
+at lines outside the chunk, so lines put in or taken out elsewhere move no border. Chunks overlap: every run of lines
+with ``min_words`` words or more is a union of chunks inside it, so whatever recurs is found, from its first line to its last,
+whatever stands around it. A line with that many words is a chunk alone, or else passages of one paragraph would stay.
+
+Of equal chunks the first stays (least doc_id, then its text's hash, then first line) and the others go. Chunks of one
+document that follow the same first document at the same distance are joined to one run, and a run goes only if its
+bytes equal those of the lines that it follows: where hashes collide, text stays. The first occurrence of a line is never
+removed, so no line disappears from the corpus as a whole.
+
+Only numbers are shuffled to find the runs; the texts of documents that lose lines move to compare them, and all once
+to be cut. Joins on chunk hashes read both sides from files, so adaptive execution can split a hash that a large part
+of all chunks share. A text's chunks are found in one sorted pass over its lines and cut in one; time and memory follow
+its number of lines, and a very long text is one group of a sort that can spill.
 
 Null texts are empty; rows without doc_id pass unchanged and count for nothing; rows equal in doc_id and text are one
-document; a text of which all lines go becomes empty; an empty table gives an empty table. Other columns pass through,
-but for ones named n_lines or n_removed_lines, which are replaced.
+document, of which all rows are cut alike; a text of which all lines go becomes empty; an empty table gives an empty
+table. Other columns pass through, but for ones named n_lines or n_removed_lines, which are replaced.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,6 +31,7 @@ from .common import saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["_id", "_th"]
+FIRST = ["_id0", "_th0"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -36,87 +41,96 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_th", F.xxhash64("text"))
 
 
-def pairs(docs: DataFrame) -> DataFrame:
-    """A row for each two neighbouring lines: place, rolling hash, and words of both; lines as such have no second."""
-    rows = docs.where("_id is not null").select(*KEY, F.split("text", "\n").alias("_lines"))
-    rows = rows.select(*KEY, F.transform("_lines", lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w"))).alias("_l"))
-    two = lambda i: F.struct(
-        i.alias("i"), F.get("_l", i)["h"].alias("h"), F.xxhash64(F.get("_l", i)["h"], F.get("_l", i + 1)["h"]).alias("r"),
-        F.get("_l", i)["w"].alias("w"), F.get("_l", i + 1)["w"].alias("w2"),
-    )
-    return rows.select(*KEY, F.inline(F.transform(F.sequence(F.lit(0), F.size("_l") - 1), two)))
-
-
-def stretches(runs: DataFrame, line, min_words: int) -> DataFrame:
-    """Longest stretches of neighbours that recur at least n times, for each count n that a run has: document, first line, hash, last line.
-
-    Neighbours of one count are a piece; a stretch is a piece and all around it up to the next pieces of lower counts, with
-    which it shares its outermost lines. The counts inside a passage are the same wherever it stands.
-    """
-    same = (F.lag("i").over(line) == F.col("i") - 1) & (F.lag("n").over(line) == F.col("n"))
-    rows = runs.withColumn("piece", F.sum(F.when(same, 0).otherwise(1)).over(line))
-    rows = rows.withColumn("first", F.min("i").over(Window.partitionBy(*KEY, "piece")))
-    piece = F.bit_xor(F.xxhash64(F.col("i") - F.col("first"), "r")).alias("hash")
-    pieces = rows.groupBy(*KEY, "run", "piece", "first").agg((F.max("i") + 1).alias("last"), F.max("n").alias("n"), piece, F.sum("w").alias("w"), F.max_by("w2", "i").alias("w2"))
-    pieces = pieces.groupBy(*KEY, "run").agg(F.array_sort(F.collect_list(F.struct("first", "last", "n", "hash", "w", "w2"))).alias("_p"))
-    lower = lambda p, c: F.transform(F.filter("_p", c), lambda x: x[p])
-    ends = lambda x: F.struct(
-        F.coalesce(F.array_max(lower("last", lambda y: (y["first"] < x["first"]) & (y["n"] < x["n"]))), F.get("_p", F.lit(0))["first"]).alias("first"),
-        F.coalesce(F.array_min(lower("first", lambda y: (y["first"] > x["first"]) & (y["n"] < x["n"]))), F.element_at("_p", -1)["last"]).alias("last"),
-    )
-    found = pieces.select(*KEY, "_p", F.explode(F.array_distinct(F.transform("_p", ends))).alias("_s"))
-    inner = F.filter("_p", lambda x: (x["first"] >= F.col("_s.first")) & (x["last"] <= F.col("_s.last")))
-    found = found.select(*KEY, "_s.*", inner.alias("_in"))
-    words = F.aggregate("_in", F.lit(0).cast("long"), lambda a, x: a + x["w"]) + F.element_at("_in", -1)["w2"]
-    return found.where(words >= int(min_words)).select(*KEY, "first", F.xxhash64(F.lit(-2), F.transform("_in", lambda x: x["hash"])).alias("hash"), "last")
+def _turned(x: str, n: str) -> str:
+    """SQL: the bits of x turned left by n places."""
+    return f"(shiftleft({x}, {n}) | shiftrightunsigned({x}, 64 - {n}))"
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """A row for each line: place i, hash turned by its place, words w; each line of a document once."""
+    rows = docs.where("_id is not null").select(*KEY, F.transform(F.split("text", "\n"), lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w"))).alias("_l"))
+    rows = rows.select(*KEY, F.posexplode("_l").alias("i", "_l")).select(*KEY, "i", F.col("_l.h").alias("h"), F.col("_l.w").cast("long").alias("w"))
+    rows = rows.repartition(*KEY).dropDuplicates([*KEY, "i"])
+    return rows.select(*KEY, "i", "w", F.expr(_turned("h", "(i % 64)")).alias("h"))
 
 
 def chunks(rows: DataFrame, min_words: int) -> DataFrame:
-    """Chunks that count and whose hash recurs: document, hash, first and last line."""
-    neighbours = rows.where("w2 is not null")
-    twice = neighbours.groupBy("r").agg(F.count("*").alias("n")).where("n > 1")
-    runs = neighbours.join(twice, "r").dropDuplicates([*KEY, "i"])
-    line = Window.partitionBy(*KEY).orderBy("i")
-    near = lambda k, c: F.when(F.lag("i", -k).over(line) == F.col("i") + k, F.lag(c, -k).over(line))
-    runs = runs.withColumn("before", near(-1, "r")).withColumn("after", near(1, "r"))
-    runs = runs.withColumn("run", F.col("i") - F.row_number().over(line))
-    words = F.sum(F.col("w") + F.when(F.col("after").isNull(), F.col("w2")).otherwise(0)).over(Window.partitionBy(*KEY, "run"))
-    runs = runs.withColumn("words", words).where(f"words >= {int(min_words)}")
-    passages = stretches(runs, line, min_words)
-    kept = runs.where("before is null or after is null or not (r < before and r <= after)")
-    kept = kept.withColumn("chunk", F.col("i") - F.row_number().over(line))
-    kept = kept.withColumn("first", F.min("i").over(Window.partitionBy(*KEY, "chunk")))
-    many = kept.groupBy(*KEY, "first").agg(F.bit_xor(F.xxhash64(F.col("i") - F.col("first"), "r")).alias("hash"), (F.max("i") + 1).alias("last"))
-    alone = rows.where(f"w >= {int(min_words)}").select(*KEY, F.col("i").alias("first"), F.xxhash64(F.lit(-1), "h").alias("hash"), F.col("i").alias("last")).distinct()
-    found = many.select(*KEY, "first", "hash", "last").union(alone).union(passages)
-    again = found.groupBy("hash").count().where("count > 1").select("hash")
-    return found.join(again, "hash")
+    """The chunks of all lines: document, first and last line, hash. No chunk comes twice."""
+    so_far = Window.partitionBy(*KEY).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({"end": F.sum("w").over(so_far), "rolled": F.bit_xor("h").over(so_far)})
+    rows = rows.withColumns({"begin": F.col("end") - F.col("w"), "before": F.col("rolled").bitwiseXOR(F.col("h"))})
+    # words before (or up to) a line and its place in one number, so that a range of words ends at a single line
+    span = (int(min_words) << 32) - 1
+    rows = rows.withColumns({"_b": F.expr("shiftleft(begin, 32) + i"), "_e": F.expr("shiftleft(end, 32) + i")})
+    ahead = Window.partitionBy(*KEY).orderBy("_b").rangeBetween(0, span)
+    behind = Window.partitionBy(*KEY).orderBy("_e").rangeBetween(-span, 0)
+    rows = rows.withColumns({"to": F.last("i").over(ahead), "to_end": F.last("end").over(ahead), "to_rolled": F.last("rolled").over(ahead)})
+    rows = rows.withColumns({"of": F.first("i").over(behind), "of_begin": F.first("begin").over(behind), "of_before": F.first("before").over(behind)})
+    chunk = lambda first, last, rolled, before, words: F.struct(
+        F.expr(f"{first}").alias("first"), F.expr(f"{last}").alias("last"), F.expr(f"xxhash64({_turned(f'({rolled} ^ {before})', f'(64 - {first} % 64)')}, {last} - {first}, {words})").alias("hash")
+    )
+    forward = F.when(F.expr(f"to_end - begin >= {int(min_words)}"), chunk("i", "to", "to_rolled", "before", "to_end - begin"))
+    # the same chunk as the one that begins there, if the words are reached at this line only
+    backward = F.when(F.expr(f"end - of_begin >= {int(min_words)} AND begin - of_begin >= {int(min_words)}"), chunk("of", "i", "rolled", "of_before", "end - of_begin"))
+    found = F.filter(F.array(forward, backward), lambda c: c.isNotNull())
+    return rows.select(*KEY, F.inline(found))
+
+
+def followers(found: DataFrame) -> DataFrame:
+    """Runs of lines that recur: document, first and last line, and the document and first line of what they follow."""
+    again = saved(found.groupBy("hash").count().where("count > 1").select("hash"), "recurring")
+    found = saved(found.join(again, "hash"), "recurring-chunks")
+    place = F.struct(*KEY, "first")
+    least = saved(found.groupBy("hash").agg(F.min(place).alias("least")), "first-chunks")
+    later = found.join(least, "hash").where(place != F.col("least"))
+    later = later.select(*KEY, "first", "last", F.col("least._id").alias("_id0"), F.col("least._th").alias("_th0"), (F.col("least.first") - F.col("first")).alias("shift"))
+    return _joined(later, [*KEY, *FIRST, "shift"])
+
+
+def _joined(spans: DataFrame, by: list[str]) -> DataFrame:
+    """Spans (first, last) that touch or overlap as one."""
+    line = Window.partitionBy(*by).orderBy("first", "last")
+    reached = F.max("last").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("apart", F.when(F.col("first") <= reached + 1, 0).otherwise(1))
+    spans = spans.withColumn("run", F.sum("apart").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return spans.groupBy(*by, "run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
+
+
+def _with_lines(make) -> Column:
+    """make(lines) over the text's lines, which are split once."""
+    return F.get(F.transform(F.array(F.split("text", "\n")), make), F.lit(0))
+
+
+def pieces(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """spans (KEY, first, last) of documents with their text, piece."""
+    listed = spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("_s"))
+    texts = docs.select(*KEY, "text").join(listed, KEY).dropDuplicates(KEY)
+    cut = lambda x: F.transform("_s", lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), F.array_join(F.slice(x, s["first"] + 1, s["last"] - s["first"] + 1), "\n").alias("piece")))
+    return texts.select(*KEY, F.inline(_with_lines(cut)))
 
 
 def removals(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """For each document that loses lines, _id and _th with the spans (first, last) that go."""
-    found = saved(chunks(saved(pairs(docs), "pairs"), min_words), "chunks")
-    listed = found.groupBy(*KEY).agg(F.collect_list(F.struct("hash", "first", "last")).alias("_found"))
-    texts = docs.select(*KEY, "text").join(listed, KEY).dropDuplicates(KEY)
-    lines = F.split("text", "\n")
-    parts = texts.select(*KEY, lines.alias("_lines"), F.explode("_found").alias("_c"))
-    parts = parts.select(*KEY, "_c.*", F.array_join(F.slice("_lines", F.col("_c.first") + 1, F.col("_c.last") - F.col("_c.first") + 1), "\n").alias("chunk"))
-    parts = saved(parts, "candidates")
-    place = F.struct("_id", "first", "_th")
-    least = parts.groupBy("hash", "chunk").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = parts.join(least, ["hash", "chunk"]).where(place != F.col("least"))
-    return later.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("_gone"))
+    """For each document that loses lines, _id and _th with the spans (first, last) that go, apart and in order."""
+    runs = saved(followers(saved(chunks(lines(docs), min_words), "chunks")), "runs")
+    to = (F.col("first") + F.col("shift")).alias("first0")
+    own = saved(pieces(docs, runs), "pieces")
+    first = runs.select(*[F.col(a).alias(b) for a, b in zip(FIRST, KEY)], to.alias("first"), (F.col("last") + F.col("shift")).alias("last")).distinct()
+    first = saved(pieces(docs, first).select(*[F.col(b).alias(a) for a, b in zip(FIRST, KEY)], F.col("first").alias("first0"), (F.col("last") - F.col("first")).alias("more"), F.col("piece").alias("piece0")), "first-pieces")
+    runs = runs.join(own, [*KEY, "first", "last"]).withColumns({"first0": to, "more": F.col("last") - F.col("first")})
+    same = runs.join(first, [*FIRST, "first0", "more"]).where("piece = piece0")
+    gone = _joined(same.select(*KEY, "first", "last"), KEY)
+    return gone.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """docs with repeated chunks removed from text, and with n_lines and n_removed_lines."""
+    """docs with repeated passages of ``min_words`` words or more removed from text, and with n_lines and n_removed_lines."""
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     rows = _keyed(docs.select(*own))
-    rows = rows.join(removals(rows, min_words), KEY, "left")
-    lines = F.split("text", "\n")
-    rest = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (g["first"] <= i) & (i <= g["last"])))
-    rows = rows.withColumn("_n", F.size(lines)).withColumn("_rest", F.when(F.col("_gone").isNotNull(), rest))
-    gone = F.when(F.col("_rest").isNull(), 0).otherwise(F.col("_n") - F.size("_rest"))
-    text = F.when(F.col("_rest").isNull(), F.col("text")).otherwise(F.array_join("_rest", "\n"))
-    kept = [text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in own]
-    return rows.select(*kept, F.col("_n").cast("long").alias("n_lines"), gone.cast("long").alias("n_removed_lines"))
+    rows = rows.join(saved(removals(rows, min_words), "removals"), KEY, "left")
+    begins = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda g: g["last"] + 1))
+    kept = lambda x: F.flatten(F.zip_with(begins, F.concat(F.transform("_gone", lambda g: g["first"]), F.array(F.size(x))), lambda a, b: F.slice(x, a + 1, b - a)))
+    n = F.size(F.split("text", "\n"))
+    gone = F.coalesce(F.aggregate("_gone", F.lit(0), lambda a, g: a + g["last"] - g["first"] + 1), F.lit(0))
+    rest = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(_with_lines(kept), "\n"))
+    columns = [rest.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in own]
+    return rows.select(*columns, n.cast("long").alias("n_lines"), gone.cast("long").alias("n_removed_lines"))

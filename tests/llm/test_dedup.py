@@ -160,53 +160,79 @@ def test_odd_rows(spark, odd, none):
         fm_index.contamination(odd, bench, max_words=2)
 
 
-def signed(x):
-    return x - M if x >= M // 2 else x
-
-
-def longs(*xs):
-    seed = 42
-    for x in xs:
-        seed = xxhash.xxh64_intdigest((x % M).to_bytes(8, "little"), seed % M)
-    return signed(seed)
-
-
-def test_line_chunks(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    lines = {r.doc_id: r.text.split("\n") for r in docs.collect()}
-    rolling = {i: [longs(*(signed(xxhash.xxh64_intdigest(x.encode(), 42)) for x in v[k : k + 2])) for k in range(len(v) - 1)] for i, v in lines.items()}
-    words = {i: [len(SPACES.findall(x)) for x in v] for i, v in lines.items()}
-    times, found = collections.Counter(r for v in rolling.values() for r in v), collections.defaultdict(list)
-    for i, r in rolling.items():
-        k = 0
-        while k < len(r):
-            if times[r[k]] < 2:
-                k += 1
-                continue
-            e = k
-            while e + 1 < len(r) and times[r[e + 1]] > 1:
-                e += 1
-            if sum(words[i][k : e + 2]) >= 50:
-                s = k
-                for j in range(k + 1, e):
-                    if r[j] < r[j - 1] and r[j] <= r[j + 1]:
-                        found["\n".join(lines[i][s : j + 1])].append((i, s, j))
-                        s = j + 1
-                found["\n".join(lines[i][s : e + 2])].append((i, s, e + 1))
-            k = e + 1
-        for j, n in enumerate(words[i]):
-            if n >= 50:
-                found["alone", lines[i][j]].append((i, j, j))
-    gone = collections.defaultdict(set)
-    for places in found.values():
-        for i, s, e in sorted(places)[1:]:
-            gone[i] |= set(range(s, e + 1))
-    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
-    assert sum(map(len, gone.values())) > 0
-    for i, v in lines.items():
-        assert got[i].text == "\n".join(x for k, x in enumerate(v) if k not in gone[i]) and got[i].n_removed_lines == len(gone[i])
-    left = {x for r in got.values() for x in r.text.split("\n")}
-    assert left >= {x for v in lines.values() for x in v}
+def gone_lines(texts, min_words=50):
+    """By all runs of lines: those of each document that are in a run of min_words words which occurs earlier too."""
+    first, number = {}, {}
+    runs = []
+    for i in sorted(texts):
+        lines = texts[i].split("\n")
+        ids, words = [number.setdefault(x, len(number)) for x in lines], [len(SPACES.findall(x)) for x in lines]
+        for a in range(len(lines)):
+            n = 0
+            for b in range(a, len(lines)):
+                n += words[b]
+                if n >= min_words:
+                    key = tuple(ids[a : b + 1])
+                    runs.append((i, a, b, key))
+                    first.setdefault(key, (i, a))
+    gone = {i: set() for i in texts}
+    for i, a, b, key in runs:
+        if first[key] != (i, a):
+            gone[i] |= set(range(a, b + 1))
+    return gone
+
+
+def agrees(spark, texts, min_words=50):
+    gone = gone_lines(texts, min_words)
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(3), min_words).collect()}
+    for i, t in texts.items():
+        lines = t.split("\n")
+        assert (got[i].n_lines, got[i].n_removed_lines) == (len(lines), len(gone[i]))
+        assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in gone[i])
+    assert {x for r in got.values() for x in r.text.split("\n")} >= {x for t in texts.values() for x in t.split("\n")}
+    return sum(map(len, gone.values()))
+
+
+def test_line_chunks_agree_with_all_runs(spark, sf):
+    assert agrees(spark, {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}) > 0
+
+
+def test_passages_that_overlap_in_part(spark):
+    rng = random.Random(9)
+    some = lambda n, m=12: ["_".join(["l", str(rng.randrange(10**9))]) + " word" * rng.randint(1, m) for _ in range(n)]
+    passage, texts = some(12, 20), {}
+    for k, (a, b) in enumerate([(0, 12), (0, 7), (3, 12), (2, 9), (5, 8), (0, 12)]):
+        texts[k] = "\n".join(some(k) + passage[a:b] + some(3 - k % 3))
+    short = some(3, 1)
+    short = [x + " more" * 15 for x in short]
+    for k in range(6, 12):
+        texts[k] = "\n".join(some(2) + short + ["", ""] * (k % 2) + some(1))
+    texts[12] = "\n".join(["again " * 10] * 200 + some(2) + ["again " * 10] * 70)
+    texts[13] = "\n".join(["", " ", ""] * 40 + passage + [""] * 130 + passage + [""] * 130)
+    texts[14], texts[15], texts[16] = "", "\n", texts[0]
+    for _ in range(120):  # few distinct lines in many orders
+        texts[len(texts)] = "\n".join(rng.choice(passage[:4] + short + ["", "x"]) for _ in range(rng.randint(1, 14)))
+    assert agrees(spark, texts) > 500 and agrees(spark, texts, 7) > 500
+
+
+def test_joins_on_hot_chunks_can_split(spark):
+    docs = spark.createDataFrame([(k, "one hot passage " * 20 + f"\nown {k} words " * (k % 7)) for k in range(600)], "doc_id long, text string").repartition(6)
+    found = line_dedup.saved(line_dedup.chunks(line_dedup.lines(line_dedup._keyed(docs)), 50), "t")
+    names = ["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in zip(names, ["1b", "1", "1b", "-1", "false"]):
+        spark.conf.set(n, v)
+    try:
+        again = line_dedup.saved(found.groupBy("hash").count().where("count > 1").select("hash"), "t")
+        joined = found.repartition(12).join(again, "hash")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.count()
+        plan = joined._jdf.queryExecution().executedPlan()
+        joined.collect()
+        assert "skew=true" in plan.toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
 
 
 def test_shifted_passages_are_cut(spark):
