@@ -1,5 +1,6 @@
 """Sessions, and the package on the executors' Python path."""
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -37,7 +38,11 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
+#: Folders made under spark.checkpoint.dir, which go when the program ends or earlier by discard().
+MADE: list = []
+
+
+def shared_dir(spark: SparkSession, what: str = "") -> str:
     """A new folder, named under spark.checkpoint.dir, that driver and executors share.
 
     Where the setting is absent a temporary folder serves, but only for a local master: on a cluster each
@@ -51,7 +56,26 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", top)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
     top = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    made = f"{top.rstrip('/')}/{uuid.uuid4().hex}{what and '-' + what}"
+    if not MADE:
+        atexit.register(_at_end)
+    MADE.append(made)
+    return made
+
+
+def discard(spark: SparkSession, since: int = 0, but: tuple = ()) -> None:
+    """Delete the folders made after the first ``since`` of MADE, except those named in ``but``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for made in [m for m in MADE[since:] if m not in but]:
+        path = jvm.org.apache.hadoop.fs.Path(made)
+        path.getFileSystem(conf).delete(path, True)
+        MADE.remove(made)
+
+
+def _at_end() -> None:
+    spark = SparkSession.getActiveSession()
+    if MADE and spark is not None and spark.sparkContext._jsc is not None:
+        discard(spark)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
