@@ -64,9 +64,10 @@ def shared_dir(spark: SparkSession, what: str = "") -> str:
 
 
 def discard(spark: SparkSession, since: int = 0, but: tuple = ()) -> None:
-    """Delete the folders made after the first ``since`` of MADE, except those named in ``but``."""
+    """Delete the folders made after the first ``since`` of MADE, except those named in ``but`` and, before the end, that of checkpoints."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for made in [m for m in MADE[since:] if m not in but]:
+    now = (spark.sparkContext.getCheckpointDir() or "") if since else ""
+    for made in [m for m in MADE[since:] if m not in but and not now.startswith(m)]:
         path = jvm.org.apache.hadoop.fs.Path(made)
         path.getFileSystem(conf).delete(path, True)
         MADE.remove(made)
