@@ -1,45 +1,20 @@
 """Shared folder, column checks and partition counts for the operators of this subpackage."""
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder, named under spark.checkpoint.dir, that driver and executors share.
-
-    Where the setting is absent a temporary folder serves, but only for a local master: on a cluster each
-    machine would have its own.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not top:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        top = "file://" + tempfile.mkdtemp(prefix="lineara-shared-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
-    top = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+from ..session import shared_dir
 
 
 def saved(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it back: its lineage ends there, and lost executors cost nothing twice."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}-{what}"
+    path = shared_dir(spark, what)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the shared folder."""
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def texts(docs: DataFrame, *more: str, text: str = "text") -> DataFrame:
     """doc_id as long, text as string with null read as empty, and the columns named; all others go."""
     cols = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")]

@@ -1,18 +1,26 @@
 """Operator 5: the main text of web pages by text-to-tag ratios.
 
 The standard library's parser reads a page as a stream of events, from which lines are built: a line is the text
-between two borders of block elements, with the tags seen since the line before. Lines in elements that say what they
-are (menus, forms, scripts, adverts, reader comments and so on, by tag, role, class or id) are marked. Each unmarked
-line has a text-to-tag ratio (letters outside links for each tag), the ratios are smoothed with a Gaussian along the
-page and parted into two clusters by a threshold that lies midway between their means. The lines above it are content.
-
-The region is then the smallest container (article, main, section, div, table cell or body) that holds nearly all of the
-content's letters, or the article or main that holds most of them, which is never parted; all unmarked lines in it are the main text, short ones too, except that where the region is the
-whole body lines of mostly links below the threshold are left out.
-
-Character references are decoded, white space in a line becomes one space, lines are joined by a newline. A null or
-empty page, or one without text, gives an empty text; a null page_id or url stays null; equal rows are separate pages;
-an empty table gives no rows. All columns but page_id, url and html are ignored.
+between two borders of block elements, with the tags seen since the line before. Tags, roles and whole names (class, id)
+only take out what is never main text: menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
+styles, embedded objects and lists of reader comments. Nothing else is taken out by its name.
+
+Each line has a text-to-tag ratio (letters outside links for each tag). The ratios are smoothed with a Gaussian along
+the page and parted into two clusters by a threshold midway between their means; lines above it are content (all, if one mean isn't twice the other), if their
+container also has a line that is above it by itself (smoothing fills gaps, but doesn't reach into the next box). Containers
+(article, main, section, div, table cell, body) are then rated: letters of content in them less a quarter of their other
+letters. The best one is the region, the deepest where several are as good. An article or main around it or in it that
+holds most of the content is never parted, and where the region has no heading the next container around it that has
+one, and nearly the same rating, is taken instead. All lines of the region are the main text, short ones too, with two
+exceptions where no article or main says what belongs together: stretches below the threshold that are mostly
+links are menus; and where neither a container nor a tag nor a name parts the page, the text begins with the first line
+of content, or headings right before it, and ends with the last.
+
+If over four fifths of the letters stand in elements taken out by name alone, the names are those of wrappers, and the page is read
+again without names. Character references are decoded, white space in a line becomes one space, lines are joined by a
+newline. A null or empty page, or one without text, gives an empty text; a null page_id or url stays null; equal rows are
+separate pages; an empty table gives no rows. All columns but page_id, url and html are ignored. Time and memory are in
+proportion to a page's length and number of tags, however deep they are nested; a page is read whole.
 """
 
 import re
@@ -28,44 +36,48 @@ from .common import arrow_schema
 FED = 1 << 16
 SIGMA = 1.5
 MOST = 0.6
-NEARLY = 0.95
+OTHER = 0.25
+AS_GOOD = 0.9
+APART = 2
+NAMED = 4
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template head title nav footer aside form button select textarea iframe object svg math dialog menu audio video canvas map datalist fieldset".split())
+SKIPPED = frozenset("script style noscript template head title nav footer aside form button select textarea iframe object svg dialog menu audio video canvas map datalist fieldset".split())
+#: Those without text that a reader sees.
+SILENT = frozenset("script style noscript template head title".split())
 CONTAINERS = frozenset("article main section div td th body".split())
 BLOCKS = CONTAINERS | frozenset("address blockquote caption dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 header hgroup hr html legend li ol p pre summary table tbody tfoot thead tr ul".split()) | SKIPPED
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar".split())
+#: Whole words of names: adverts, notices, sidebars, menus, footers.
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login"
-    r"|comments?|commentlist|discussion|disqus|replies|respond|reader-?comments|sidebars?|side|aside|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|toc|footer|foot|toolbar"
-    r"|related|recommended|share|sharing|social|pagination|pager|copyright|legal|disclaimer|skip|hidden|search|tags?)(?:$|[\s_-])",
-    re.I,
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|sponsor(?:ed|s)?|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|newsletter|sidebars?|nav|navbar|navigation|menus?|breadcrumbs?|footer)(?:$|[\s_-])", re.I
 )
-TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
+TOP = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|banner)(?:$|[\s_-])", re.I)
 #: Whole names of lists of reader comments.
 COMMENTS = re.compile(r"(?:^|\s)(?:(?:reader-?|user-?|post-)?comments?(?:-?(?:list|area|section|thread|body|wrapper))?|disqus(?:_thread|-thread)?|replies|respond)(?:$|\s)", re.I)
 
 
 class Lines(HTMLParser):
-    """Collects lines: [text parts, tags, letters in links, container]; marked parts of the page are left out."""
+    """Collects lines: (text, tags, letters in links, container, whether a heading); marked parts of the page are left out."""
 
     def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
         self.by_name = by_name  # whether classes and ids tell what an element is
-        self.comments = 0
-        self.open: list = []  # (tag, marked, comment, container) of the elements that matter
-        self.marked = 0
-        self.links = 0
-        self.parents = [-1]
+        self.open: list = []  # (tag, marked, by name, comment, container) of the elements that matter
+        self.at: dict = {}  # for each tag the places in open
+        self.marked = self.named = self.comments = self.silent = self.links = 0
+        self.within = 0  # open articles and mains
+        self.parents, self.articles = [-1], [False]
         self.container = 0
-        self.articles = [False]  # whether a container is an article or main
         self.lines: list = []
         self.parts: list = []
         self.tags = self.linked = 0
+        self.heading = False
+        self.left_out = self.left_by_name = 0  # letters in marked parts, and in those marked by name alone
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.linked, self.container))
+            self.lines.append((text, self.tags, self.linked, self.container, self.heading))
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -73,6 +85,7 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
+            self.heading = tag in ("h1", "h2")
         elif tag == "br":
             self.parts.append(" ")
         if tag in VOID:
@@ -80,27 +93,44 @@ class Lines(HTMLParser):
         if tag == "a":
             self.links += 1
         if tag == "body" and self.marked:  # a head that was never closed
-            self.open, self.marked, self.comments = [], 0, 0
-        inside = any(t in ("article", "main") for t, _, _, _ in self.open)
-        noise = int(tag in SKIPPED or tag == "header" and not inside)
-        said = dict(attrs) if attrs else {}
+            self._close(0)
+        inside, said = self.within > 0, dict(attrs) if attrs else {}
         name = f"{said.get('class') or ''} {said.get('id') or ''}" if self.by_name else ""
         comment = int(bool(COMMENTS.search(name)) and tag not in ("html", "body", "main", "article", "a", "p"))
+        noise = int(tag in SKIPPED or tag == "header" and not inside)
+        named = 0
         if tag in ("article", "main"):
-            noise = 0 if self.comments else -self.marked  # an article stands out from what wraps it
+            noise = 0 if self.comments or self.silent else -self.marked  # an article stands out from what wraps it
+            named = -self.named if noise else 0
         elif said and not noise and tag not in ("html", "body", "a"):
-            noise = int(said.get("role") in ROLES or "hidden" in said or said.get("aria-hidden") == "true" or bool(NOISE.search(name)) or not inside and bool(TOP.search(name)))
-            noise = noise if not (inside and tag in ("h1", "h2", "h3", "p", "header")) else 0
+            noise = int(said.get("role") in ROLES or "hidden" in said or said.get("aria-hidden") == "true")
+            if not noise and not (inside and tag in ("h1", "h2", "h3", "p", "header")):
+                noise = named = int(comment or bool(NOISE.search(name)) or not inside and bool(TOP.search(name)))
         if noise or tag in CONTAINERS or self.marked and tag in BLOCKS:
-            comment = comment if noise > 0 else 0
-            self.open.append((tag, noise, comment, self.container))
-            self.marked += noise
-            self.comments += comment
+            self.at.setdefault(tag, []).append(len(self.open))
+            change = (noise, named - comment if noise > 0 and named else named, comment if noise > 0 else 0, int(tag in SILENT), int(tag in ("article", "main")))
+            self.open.append((tag, change, self.container))
+            self._count(change, 1)
             if tag in CONTAINERS:
                 self.parents.append(self.container)
                 self.articles.append(tag in ("article", "main"))
                 self.container = len(self.parents) - 1
 
+    def _count(self, change: tuple, by: int) -> None:
+        noise, named, comment, silent, within = change
+        self.marked += by * noise
+        self.named += by * named
+        self.comments += by * comment
+        self.silent += by * silent
+        self.within += by * within
+
+    def _close(self, k: int) -> None:
+        """Close the open elements from the k-th on."""
+        while len(self.open) > k:
+            tag, change, self.container = self.open.pop()
+            self.at[tag].pop()
+            self._count(change, -1)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -110,22 +140,22 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
+            self.heading = False
         if tag == "a":
             self.links = max(0, self.links - 1)
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                self.container = self.open[k][3]
-                for _, noise, comment, _ in self.open[k:]:
-                    self.marked -= noise
-                    self.comments -= comment
-                del self.open[k:]
-                break
+        if self.at.get(tag):
+            self._close(self.at[tag][-1])
 
     def handle_data(self, data):
         if not self.marked:
             self.parts.append(data)
             if self.links:
                 self.linked += len(data)
+        elif not self.silent:
+            n = len(data.strip())
+            self.left_out += n
+            if self.named == self.marked:
+                self.left_by_name += n
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -137,7 +167,7 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """The value midway between the means of the clusters that it parts."""
+    """The value midway between the means of the clusters that it parts; the least value where the means aren't apart by APART."""
     at = float(values.mean())
     for _ in range(50):
         low, high = values[values < at], values[values >= at]
@@ -147,7 +177,16 @@ def threshold(values: np.ndarray) -> float:
         if abs(new - at) < 1e-9:
             break
         at = new
-    return at
+    return at if float(high.mean()) >= APART * float(low.mean()) else float(values.min())
+
+
+def contents(page: Lines, ratios: np.ndarray) -> np.ndarray:
+    """Which lines are content: smoothed ratios above the threshold, in a container that has such a line before smoothing too."""
+    even = smoothed(ratios)
+    at = threshold(even)
+    container = np.array([line[3] for line in page.lines])
+    own = np.bincount(container, ratios >= at, len(page.parents)) > 0
+    return (even >= at) & own[container]
 
 
 def read(html: str, by_name: bool = True) -> Lines:
@@ -159,52 +198,74 @@ def read(html: str, by_name: bool = True) -> Lines:
     return page
 
 
-def above(parents: list, c: int) -> set:
-    """A container and all that hold it."""
-    out = set()
-    while c >= 0:
-        out.add(c)
-        c = parents[c]
+def sums(page: Lines, values: np.ndarray) -> np.ndarray:
+    """For each container the sum over all lines in it."""
+    out = np.bincount([line[3] for line in page.lines], values, len(page.parents))
+    for c in range(len(page.parents) - 1, 0, -1):  # parents come before children
+        out[page.parents[c]] += out[c]
     return out
 
 
+def around(page: Lines, c: int):
+    """The containers around one, from the next on."""
+    while (c := page.parents[c]) >= 0:
+        yield c
+
+
+def region(page: Lines, content: np.ndarray, letters: np.ndarray) -> int:
+    """The container of the main text."""
+    length = np.array([len(line[0]) for line in page.lines], dtype=float)
+    held = sums(page, np.where(content, letters, 0))
+    rating = held - OTHER * sums(page, np.where(content, 0, length))
+    best = len(rating) - 1 - int(np.argmax(rating[::-1] >= rating.max() - 1e-9))  # a child comes after its parents
+    most = MOST * held[0]
+    up = [c for c in around(page, best)]
+    whole = [c for c in up if page.articles[c] and held[c] > most]
+    if whole:
+        return whole[0]
+    if not page.articles[best]:
+        inner = [c for c in range(len(held)) if page.articles[c] and held[c] > most and best in around(page, c)]
+        if inner:
+            return inner[0]
+        headings = sums(page, np.array([float(line[4]) for line in page.lines]))
+        if not headings[best]:
+            near = [c for c in up[:-1] if headings[c] and rating[c] >= AS_GOOD * rating[best]]
+            best = near[0] if near else best
+    return best
+
+
+def stretches(yes: np.ndarray):
+    """(start, end) of the runs of true values."""
+    edge = np.diff(np.concatenate([[0], yes.astype(np.int8), [0]]))
+    return zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = read(html)
-    if not page.lines:
-        page = read(html, by_name=False)  # a name that says noise may be that of a wrapper of all
+    if page.left_by_name > NAMED * sum(len(line[0]) for line in page.lines):
+        page = read(html, by_name=False)  # names that say noise are those of wrappers
     if not page.lines:
         return ""
-    letters = np.array([len(t) - min(len(t), n) for t, _, n, _ in page.lines], dtype=float)
-    ratios = smoothed(letters / np.maximum(1, [n for _, n, _, _ in page.lines]))
-    content = ratios >= threshold(ratios)
-    inside = np.zeros(len(page.parents))
-    for (_, _, _, c), n, yes in zip(page.lines, letters, content):
-        while yes and c >= 0:
-            inside[c] += n
-            c = page.parents[c]
-    root = 0
-    for c, n in enumerate(inside):  # the deepest that holds nearly all; parents come before children
-        if n >= NEARLY * inside[0] and n > 0:
-            root = c
-    c = root
-    while c >= 0:  # an article is kept whole
-        if page.articles[c] and inside[c] > MOST * inside[0]:
-            root = c
-        c = page.parents[c]
-    for c, yes in enumerate(page.articles):
-        if yes and inside[c] > MOST * inside[0] and root in above(page.parents, c):
-            root = c
-    kept, body = [], len(page.parents) == 1 or root <= 1
-    below = {root}
-    for c, p in enumerate(page.parents):  # parents come before children
-        if p in below:
-            below.add(c)
-    for (text, _, linked, c), yes in zip(page.lines, content):
-        if c in below and (yes or not body or 2 * linked <= len(text)):
-            kept.append(text)
-    return "\n".join(kept)
+    letters = np.array([len(line[0]) - min(len(line[0]), line[2]) for line in page.lines], dtype=float)
+    content = contents(page, letters / np.maximum(1, [line[1] for line in page.lines]))
+    root = region(page, content, letters)
+    inside = np.zeros(len(page.parents), dtype=bool)
+    inside[root] = True
+    for c in range(root + 1, len(inside)):
+        inside[c] = inside[page.parents[c]]
+    kept = inside[[line[3] for line in page.lines]]
+    if not any(page.articles[c] for c in (root, *around(page, root))):
+        if kept.all() and not page.left_out and content.any():
+            first, last = np.flatnonzero(content)[[0, -1]]
+            while first > 0 and page.lines[first - 1][4]:
+                first -= 1
+            kept[:first] = kept[last + 1 :] = False
+        for s, e in stretches(kept & ~content):
+            if sum(line[2] for line in page.lines[s:e]) > sum(len(line[0]) for line in page.lines[s:e]) / 2:
+                kept[s:e] = False
+    return "\n".join(line[0] for line, yes in zip(page.lines, kept) if yes)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -118,17 +118,64 @@ def test_main_text_of_articles_whose_names_say_comment():
     assert len(main_text.main_text(page).split("\n")) == 9
 
 
+def article_of(page):
+    article = page[page.index("<article>") + 9 : page.rindex("</article>")]
+    blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?p>|</?h1>", article)]
+    return "\n".join(b for b in blocks if b)
+
+
+def test_main_text_by_ratios_alone(monkeypatch):
+    """Pages in which neither a tag nor a name says what anything is; each step of the method counts."""
+    import duckdb
+
+    pages = [h for (h,) in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()]
+    bare = [re.sub(r"<(/?)(article|nav|footer)>", r"<\1div>", h).replace('<div class="ad">', "<div>") for h in pages]
+    flat = [f"<body><p><a>One</a> <a>Two</a></p><p>{'<b>x</b> ' * 40}</p><h1>Title {k}</h1>{paragraphs('Text', 6)}<p>Short.</p>{paragraphs('Text', 6)}<p>Tiny.</p><p><a>Home</a></p><p>(c)</p><p>A</p><p>B</p><p>C</p></body>" for k in range(5)]
+    right = lambda: sum(main_text.main_text(b) == article_of(h) for b, h in zip(bare, pages))
+    texts = lambda: list(map(main_text.main_text, bare + flat))
+    assert right() > 0.85 * len(pages)
+    whole = texts()
+    assert all(t.split("\n")[0].startswith("Title") and t.split("\n")[-1].startswith("Text 5") and "Short." in t for t in whole[-5:])
+    for step, without in (("threshold", lambda v: -1.0), ("smoothed", lambda r: r)):
+        with monkeypatch.context() as m:
+            m.setattr(main_text, step, without)
+            got = texts()
+            assert sum(a != b for a, b in zip(got, whole)) >= 5, step
+    with monkeypatch.context() as m:  # letters without tags
+        m.setattr(main_text, "contents", lambda page, ratios, f=main_text.contents: f(page, np.array([float(len(x[0])) for x in page.lines])))
+        assert sum(a != b for a, b in zip(texts(), whole)) >= 5
+
+
+def test_main_text_drops_nothing_else():
+    page = '<body><nav>a</nav><article><h1>T</h1><p>Let <math>x</math> be big and long enough text.</p><div class="tags">Tag words</div><div class="legal"><p>Clause one.</p></div><table class="toc"><tr><td>Part</td></tr></table><div class="alert">Mind this.</div><div class="ad">Buy</div><form>Name</form><aside>Side</aside></article></body>'
+    assert main_text.main_text(page) == "T\nLet x be big and long enough text.\nTag words\nClause one.\nPart\nMind this."
+    long = paragraphs("Long", 20_000)
+    assert main_text.main_text(f"<article>{long}</article>").count("\n") == 19_999
+
+
+@pytest.mark.parametrize("start", ["<body>", "<body><nav>", "<article>", "<body><div class=menu>"])
+def test_main_text_is_linear(start):
+    import time
+
+    took = []
+    for n in (4_000, 32_000):
+        begin = time.process_time()
+        main_text.main_text(start + "<div><p>" * n + "text")
+        took.append(time.process_time() - begin)
+    assert took[1] < 24 * took[0] + 0.5
+
+
 def test_pages(spark, sf):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     got = queries.op5_main_text(spark, sf).collect()
     assert len(got) == len(pages)
     for r in got:
-        page = pages[r.page_id].html
-        article = page[page.index("<article>") + 9 : page.rindex("</article>")]
-        blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?p>|</?h1>", article)]
-        assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+        assert r.text == article_of(pages[r.page_id].html) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
     few = spark.createDataFrame([(None, None, None), (1, "u", "")], "page_id long, url string, html string")
     assert [(r.text, r.n_chars) for r in main_text.extracted(few).collect()] == [("", 0), ("", 0)]
+    assert main_text.extracted(few.limit(0)).count() == 0
+    odd = spark.createDataFrame([(1, "u", PAGE, "clash", 3)] * 2, "page_id int, url string, html string, text string, n_chars int")
+    assert [(r.page_id, r.text[:9]) for r in main_text.extracted(odd).collect()] == [(1, "The title")] * 2
 
 
 def agrees(spark, sf, duck, name):
