@@ -2,9 +2,11 @@
 
 import hashlib
 import html
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lineara.llm import chat, language, main_text, private_data, quality, queries
@@ -46,9 +48,96 @@ def test_base_spans(spark, sf):
 
 
 def test_patterns_are_linear(field):
-    for text in ("1" * 200_000, "a" * 200_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "x1" * 100_000, "1 " * 50_000):
-        private_data.base_spans(text)
-        private_data.mentions(text)
+    import time
+
+    for made in ("1", "a", "1.", "a@", "+1", "x1", "1 ", "a1=", "4111111111111111 ", "a(at)b.c "):
+        took = []
+        for n in (20_000, 80_000):
+            begin = time.process_time()
+            private_data.find(made * n, field)
+            took.append(time.process_time() - begin)
+        assert took[1] < 12 * took[0] + 0.5, made
+
+
+def marginals_by_hand(unary, chain, skip, near, far):
+    """Label probabilities from the sum over all labellings."""
+    n, k = unary.shape
+    out = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        score = sum(unary[i, y] for i, y in enumerate(labels)) + sum(chain[labels[a], labels[b]] for a, b in near) + sum(skip[labels[a], labels[b]] for a, b in far)
+        for i, y in enumerate(labels):
+            out[i, y] += np.exp(score)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("near,far,most", [([(0, 1), (1, 2), (2, 3)], [], 1e-4), ([(0, 1)], [(1, 3), (1, 2)], 1e-4), ([(0, 1), (1, 2), (2, 3)], [(0, 3), (1, 3)], 0.1)])
+def test_messages_give_marginals(near, far, most):
+    rng, k = np.random.default_rng(3), len(private_data.LABELS)
+    for _ in range(4):
+        unary, chain, skip = rng.normal(0, 1.5, (4, k)), rng.normal(0, 0.6, (k, k)), rng.normal(0, 0.6, (k, k))
+        skip = (skip + skip.T) / 2
+        got = private_data._softmax(private_data.Graph(4, near, far).passed(unary, chain, skip, 300))
+        assert np.abs(got - marginals_by_hand(unary, chain, skip, near, far)).max() < most
+
+
+#: Written by hand, in other words and forms than those of training; spans that the patterns miss stand in double brackets.
+BY_HAND = [
+    "For questions dial [[phone:(212) 555-0187]] between 9 and 5. After hours use [[phone:2125550187]] as well; ticket 48213 is closed.",
+    "Our office line is +1 (415) 555-0134. Staff know it as [[phone:4155550134]] and it has been in use since 2019.",
+    "Write to [[email:jane.doe(at)example.org]] or, if that bounces, to jane.doe@example.org. Room 114, floor 3.",
+    "mail: [[email:support[at]shop.example.com]] -- order 9981273 shipped 2021-11-03",
+    'export API_KEY=[[secret:9f86d081884c7d659a2feaa0c55ad015]] before you run version 2.4.1 of the client.',
+    'The password = "[[secret:Xk29fLq81MzPw0Rt6Yc4]]" was committed in build 5521.',
+    "Two years later the same string [[secret:Xk29fLq81MzPw0Rt6Yc4]] turned up: secret [[secret:Xk29fLq81MzPw0Rt6Yc4]], page 12.",
+    "Charge card [[card:4111.1111.1111.1111]] for 25.00 today; the receipt of 4111 1111 1111 1111 is number 77120.",
+    "We took the amex [[card:3782/8224/6310/0051]] on 14/02/2020.",
+    "Commit 1b4f0e9851971998e732078544c96b36c3d01ced fixed issue 381 in 2018.",
+    "The file has sha 60303ae22b998861bce3b28f33eec1be758a213c and size 10482.",
+    "In 1987 some 23000 people lived there, 3.5 percent of them over 90.",
+    "ISBN 9783161484100, page 211, price 19.99, order 5566778.",
+    "Meet at 10:30 in room 204, bring form 1099 and 12 copies.",
+    "Her mobile: [[phone:646-555-0172]]. She said that 646-555-0172x is wrong and that [[phone:6465550172]] is right.",
+    "call [[phone:1-800-555-0199]] now and quote reference 20233381",
+    "bearer [[secret:ghp_16C7e42F292c6912E7710c838347Ae178B4a]] expires in 30 days",
+    "login root, auth [[secret:c3ab8ff13720e8ad9047dd39466b3c89]] and host 10.12.0.7; c3 and 8ff are bays",
+    "Later in the log, with no word about it: [[secret:c3ab8ff13720e8ad9047dd39466b3c89]] again, and the auth [[secret:c3ab8ff13720e8ad9047dd39466b3c89]] once more.",
+    "v1.2.3, v1.2.4 and 2.0.0 differ in 14 of 1024 bytes (1.4%).",
+    "Seats 12-14, rows 20-25, gates B7 and C12, flight XY1234, 18:45.",
+    "checksum d41d8cd98f00b204e9800998ecf8427e of part 7, total 1000000",
+    "Reached him on tel [[phone:303.555.0145]]; the number [[phone:303.555.0145]] was [[phone:3035550145]] on his card.",
+    "Gateway 192.168.4.20 answers, the copy in the sheet says [[ip:192-168-4-20]] and port 8080.",
+]
+
+
+def by_hand(field):
+    """(wanted, found) sets of added spans over all texts, as (text, kind, start, end)."""
+    wanted, found = set(), set()
+    for n, marked in enumerate(BY_HAND):
+        text, at = "", 0
+        for m in re.finditer(r"\[\[(\w+):(.*?)\]\](?!\])", marked):
+            text += marked[at : m.start()]
+            wanted.add((n, m[1], len(text), len(text) + len(m[2])))
+            text, at = text + m[2], m.end()
+        text += marked[at:]
+        found |= {(n, private_data.KINDS[k], s, e) for k, s, e in private_data.find(text, field)[1]}
+    return wanted, found
+
+
+def test_spans_of_texts_written_by_hand(field):
+    wanted, found = by_hand(field)
+    alone = by_hand(private_data.Field(field.weights, field.chain, 0 * field.skip))[1]
+    by_skip = (found & wanted) - alone
+    print("recall", len(wanted & found) / len(wanted), "precision", len(wanted & found) / len(found), "by skip links", len(by_skip) / len(found & wanted), wanted - found, found - wanted)
+    assert len(wanted & found) >= 0.9 * len(wanted) and len(wanted & found) >= 0.9 * len(found)
+    assert len(by_skip) >= 4
+
+
+def test_secrets_of_the_documents(field):
+    import duckdb
+
+    for doc_id, text in duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall():
+        tokens = {m.span(1) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', text)}
+        assert {(s, e) for k, s, e in private_data.find(text, field)[1] if private_data.KINDS[k] == "secret"} == tokens, doc_id
 
 
 def test_skip_links_carry_labels(field):
@@ -56,8 +145,7 @@ def test_skip_links_carry_labels(field):
     base, added = private_data.find(text, field)
     assert [text[s:e] for _, s, e in base] == ["bob.1@x.com", "+1 (988) 555-2485"]
     assert {(private_data.KINDS[k], text[s:e]) for k, s, e in added} == {("phone", "9885552485"), ("email", "bob.1(at)x.com")}
-    alone = private_data.find("nothing but 9885552485 here", field)[1]
-    assert alone == [] or private_data.KINDS[alone[0][0]] == "phone"
+    assert private_data.find("nothing but 9885552485 here", field)[1] == []
 
 
 def test_field_on_unseen_documents(field):
@@ -65,15 +153,22 @@ def test_field_on_unseen_documents(field):
     for _ in range(200):
         text, spans, labels = private_data._made_document(rng)
         if spans:
-            best = field.marginals(text, spans, {}).argmax(axis=1)
-            right, n = right + sum(int(a) == b for a, b in zip(best, labels)), n + len(labels)
-    assert right / n > 0.95
+            known = private_data.observed_in(spans, private_data.base_spans(text))
+            best = field.marginals(text, spans, known).argmax(axis=1)
+            right, n = right + sum(int(best[i]) == y for i, y in enumerate(labels) if i not in known), n + len(labels) - len(known)
+    assert right / n > 0.97
     for _ in range(100):
         words = " ".join(rng.choice(["in", "2024", "about", "12", "people", "paid", "3.50", "for", "v1.2.3", "at", "10:30"]) for _ in range(60))
         clean += len(private_data.find(words, field)[1])
     assert clean <= 2
 
 
+def test_private_data_of_odd_rows(odd, none):
+    got = private_data.private_data(odd).collect()
+    assert len(got) == 8 and all((r.n_email, r.n_ip, r.n_card, r.n_phone, r.spans) == (0, 0, 0, 0, "") for r in got)
+    assert sorted(r.doc_id is None for r in got)[-1] and private_data.private_data(none).count() == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>if (a<b) x="</p>";</script><style>p{}</style></head><body><header><h1>Site</h1><nav><a href=/>Home</a></nav></header>
 <div class="cookie-notice">We use cookies and more cookies on this site, accept them all please.</div><div id="sidebar"><p>Side story of some length that nobody wants to read here.</p></div>
 <article><h1>The  title &amp; more</h1><p>First   paragraph with <a href=x>a link</a> and <b>bold</b> text of good length, really.<br>Next line.<p>Short.</p>
