@@ -173,16 +173,33 @@ class FMIndex:
 
 
 class Phrases:
-    """The windows of some benchmark items, by their lengths, each once, with the items that have them."""
+    """The windows of some benchmark items: their words as numbers one after another, and where windows of each length begin."""
 
     def __init__(self, items: list, window: int):
-        by_length: dict = {}
-        for item_id, text in items:
+        numbers, ids, begins, at = Numbers(), [], {}, 0
+        self.names = [item_id for item_id, _ in items]
+        for k, (_, text) in enumerate(items):
             words = words_of(text or "")
             size = min(window, len(words))
-            for k in range(len(words) - size + 1) if size else ():
-                by_length.setdefault(size, {}).setdefault(tuple(words[k : k + size]), set()).add(item_id)
-        self.groups = [(size, list(found), [sorted(x) for x in found.values()]) for size, found in sorted(by_length.items())]
+            if size:
+                ids.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)) - 1)
+                n = len(words) - size + 1
+                begins.setdefault(size, []).append((np.arange(at, at + n), np.full(n, k, dtype=np.int32)))
+                at += len(words)
+        self.vocabulary = list(numbers)
+        self.ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
+        self.groups = [(size, *map(np.concatenate, zip(*parts))) for size, parts in sorted(begins.items())]
+
+    def among(self, numbers: dict, at_once: int = 1 << 16):
+        """Yields (windows in the numbers of a shard, their length, their items) of the windows whose words the shard all has."""
+        own = np.fromiter((numbers.get(w, 0) for w in self.vocabulary), dtype=np.int64, count=len(self.vocabulary))
+        text = own[self.ids]
+        absent = np.concatenate([[0], np.cumsum(text == 0)])
+        for size, begins, items in self.groups:
+            there = absent[begins + size] == absent[begins]
+            begins, items = begins[there], items[there]
+            for k in range(0, len(begins), at_once):
+                yield text[begins[k : k + at_once, None] + np.arange(size)], size, items[k : k + at_once]
 
 
 def scan(documents: list, phrases: Phrases) -> list:
@@ -197,20 +214,16 @@ def scan(documents: list, phrases: Phrases) -> list:
     index = FMIndex(text)
     begin = np.array([*starts, at])
     cover, found = np.zeros(at + 1, dtype=np.int64), [set() for _ in documents]
-    for size, windows, items in phrases.groups:
-        ids = np.array([[numbers.get(w, 0) for w in p] for p in windows], dtype=np.int64)
-        there = np.flatnonzero((ids > 0).all(axis=1))
-        if not len(there):
-            continue
-        lo, hi = index.search(ids[there])
+    for windows, size, items in phrases.among(numbers):
+        lo, hi = index.search(windows)
         n = hi - lo
         rows = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         places = index.locate(rows)
         np.add.at(cover, places, 1)
         np.add.at(cover, places + size, -1)
-        pairs = np.unique(np.stack([np.searchsorted(begin, places, "right") - 1, np.repeat(there, n)]), axis=1)
+        pairs = np.unique(np.stack([np.searchsorted(begin, places, "right") - 1, np.repeat(items, n)]), axis=1)
         for d, p in pairs.T.tolist():
-            found[d].update(items[p])
+            found[d].add(phrases.names[p])
     hit = np.cumsum(cover)[:-1] > 0
     edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
     spans: list = [[] for _ in documents]

@@ -1,13 +1,15 @@
 """Operator 9: language identification by a bit-sliced Bloom filter of character n-grams.
 
 Texts are read as letters in lower case, all else as single spaces. From labelled texts each language's n-grams are
-counted in Spark; an n-gram belongs to every language in which it is frequent and not much rarer than elsewhere. One
-Bloom filter holds them all: a slot is a bitmask of languages, and the AND of an n-gram's slots gives every language
-that contains it. A text's score for a language is the share of its n-grams (all of them, the whole text) with that
+counted in Spark; an n-gram belongs to every language in which it is frequent and not much rarer than where it is most
+frequent. One Bloom filter holds them all: a slot is a bitmask of languages (of as many 64-bit words as they need), and
+the AND of an n-gram's slots gives every language that contains it. A text's score for a language is the share of its n-grams (all of them, the whole text) with that
 language's bit, corrected for the bit's false-positive rate; the largest decides.
 
-The filter is fitted on at most ``max_docs`` labelled texts, chosen by a hash of doc_id, and holds at most
-``max_grams`` n-grams of a language, the most frequent; both bound what the driver gathers. At most 64 languages.
+The filter is fitted on about ``max_docs`` labelled texts of each language (all, where there are fewer), chosen by a hash of
+doc_id, so a rare language learns as much from a large table as from a small one, and holds at most ``max_grams`` n-grams
+of a language, the most frequent; both bound what the driver gathers. More than ``max_langs`` labels are refused, as
+no column of languages has them. Texts are read in parts, so memory doesn't grow with their length.
 
 A null text or one without letters is ``und`` with score 0; ties go to the language with more n-grams in training; if
 nothing could be learned all texts are ``und``; null labels are not learned from; a null doc_id is predicted like any
@@ -78,25 +80,30 @@ class Filter:
         self.langs, self.k = langs, PROBES
         n = sum(map(len, hashes))
         self.size = 1 << max(10, int(12 * n).bit_length())
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= max(1, len(langs)))
-        self.slots = np.zeros(self.size, dtype=kind)
-        for bit, h in enumerate(hashes):
-            for at in self._at(h):
-                np.bitwise_or.at(self.slots, at, kind(1 << bit))
-        fill = np.array([np.count_nonzero((self.slots >> kind(b)) & kind(1)) / self.size for b in range(len(langs))])
-        self.false = fill**PROBES
+        self.planes, fill = [], []
+        for first in range(0, max(1, len(langs)), 64):  # 64 languages in each plane of slots
+            part = hashes[first : first + 64]
+            kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= max(1, len(part)))
+            slots = np.zeros(self.size, dtype=kind)
+            for bit, h in enumerate(part):
+                for at in self._at(h):
+                    np.bitwise_or.at(slots, at, kind(1 << bit))
+            self.planes.append(slots)
+            fill += [np.count_nonzero(slots & kind(1 << b)) / self.size for b in range(len(part))]
+        self.false = np.array(fill) ** PROBES
 
     def _at(self, h: np.ndarray):
         step = (h >> np.uint64(32)) | np.uint64(1)
         for j in range(self.k):
             yield ((h + np.uint64(j) * step) & np.uint64(self.size - 1)).astype(np.int64)
 
-    def masks(self, h: np.ndarray) -> np.ndarray:
-        """For each n-gram the languages that contain it."""
-        out = None
+    def masks(self, h: np.ndarray) -> list:
+        """For each n-gram the languages that contain it, a mask in each plane."""
+        out: list = [None] * len(self.planes)
         for at in self._at(h):
-            got = self.slots[at]
-            out = got if out is None else out & got
+            for k, slots in enumerate(self.planes):
+                got = slots[at]
+                out[k] = got if out[k] is None else out[k] & got
         return out
 
     def predict(self, text: str) -> tuple[str, float]:
@@ -104,22 +111,27 @@ class Filter:
             return "und", 0.0
         counts, n = np.zeros(len(self.langs), dtype=np.int64), 0
         for h in grams(text):
-            masks = self.masks(h)
             n += len(h)
-            for b in range(len(self.langs)):
-                counts[b] += np.count_nonzero(masks & masks.dtype.type(1 << b))
+            for first, masks in enumerate(self.masks(h)):
+                for b in range(min(64, len(self.langs) - 64 * first)):
+                    counts[64 * first + b] += np.count_nonzero(masks & masks.dtype.type(1 << b))
         scores = np.clip((counts / max(1, n) - self.false) / (1 - self.false), 0, 1)
         best = int(np.argmax(scores))
         return self.langs[best], float(scores[best])
 
 
-def learn(docs: DataFrame, where: Column | None = None, max_docs: int = 20_000, max_grams: int = 100_000, min_count: int = 3, share: float = 0.2) -> Filter:
+def learn(docs: DataFrame, where: Column | None = None, max_docs: int = 5_000, max_grams: int = 100_000, min_count: int = 3, share: float = 0.4, max_langs: int = 1_000) -> Filter:
     """Fit the filter on labelled documents (text, lang, doc_id) for which ``where`` holds."""
     rows = docs.where("doc_id is not null and text is not null and lang is not null")
     rows = rows if where is None else rows.where(where)
-    n = rows.count()
-    if n > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(9)), F.lit(n)) < max_docs)
+    labelled = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(max_langs + 1).collect()}
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
+    many = {x: n for x, n in sizes.items() if n > max_docs}
+    if many:
+        of = F.coalesce(F.element_at(F.create_map(*[F.lit(y) for x in many.items() for y in x]), F.col("lang")), F.lit(1))
+        labelled = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), of) < max_docs)
     ddl = "gram long, lang string, n long"
     schema = arrow_schema(ddl)
 
@@ -144,15 +156,13 @@ def learn(docs: DataFrame, where: Column | None = None, max_docs: int = 20_000,
                             held = 0
         yield from counts()
 
-    counted = rows.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(count, ddl).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    counted = labelled.select("text", "lang").mapInArrow(count, ddl).groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     counted = counted.persist()
     try:
         totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-        langs = [r["lang"] for r in totals.orderBy(F.desc("total"), "lang").limit(65).collect()]
-        if len(langs) > 64:
-            raise ValueError("more than 64 languages")
-        rated = counted.join(F.broadcast(totals.limit(64)), "lang").withColumn("rate", F.col("n") / F.col("total"))
-        rated = rated.withColumn("all", F.sum("rate").over(Window.partitionBy("gram"))).where((F.col("n") >= min_count) & (F.col("rate") >= share * F.col("all")))
+        langs = [r["lang"] for r in totals.orderBy(F.desc("total"), "lang").collect()]
+        rated = counted.join(totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
+        rated = rated.withColumn("most", F.max("rate").over(Window.partitionBy("gram"))).where((F.col("n") >= min_count) & (F.col("rate") >= share * F.col("most")))
         kept = rated.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("place") <= max_grams)
         got = kept.select("lang", "gram").toPandas()
     finally:

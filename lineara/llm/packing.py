@@ -4,7 +4,9 @@ Each source is a queue of its documents' ids in order of doc_id. In each round e
 its share of a window of ``window`` ids in units of 1/512 id, and sends whole granules of ``granule`` ids as long as
 its credit lasts; what is left is its deficit and is carried to the next round. The stream of granules is cut into
 windows. What a source has sent after r rounds is a closed form of r, so the deficits at any window follow from the
-quanta alone: partitions need no state from each other, and each document finds its own places.
+quanta alone: partitions need no state from each other, and each document finds its own places. After any number of
+rounds a source is less than one granule behind its share (by default an eighth of a window): smaller granules
+keep every window closer to the targets and cut documents into more pieces.
 
 A source that runs dry sends nothing more; the others keep their proportions. Without targets the quanta follow the
 sources' own ids, so all run dry together. The stream's last part, shorter than a window, becomes sequences whose
@@ -30,7 +32,7 @@ ENCODED = "shard long, doc_id long, source string, queue_start long, n_tokens lo
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
-def encoded(docs: DataFrame, vocab: str, end_id: int, shards: int | None = None) -> DataFrame:
+def encoded(docs: DataFrame, vocab: str, end_id: int, shards: int | None = None, control: bool = True) -> DataFrame:
     """Ids of every document by ranges of doc_id, with its place in its source's part of the shard."""
     schema = arrow_schema(ENCODED)
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -38,7 +40,7 @@ def encoded(docs: DataFrame, vocab: str, end_id: int, shards: int | None = None)
     def encode(batches):
         from pyspark import TaskContext
 
-        shard, sent, encode = TaskContext.get().partitionId(), {}, encoder(vocab).encode
+        shard, sent, encode = TaskContext.get().partitionId(), {}, encoder(vocab, control).encode
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
@@ -61,7 +63,7 @@ def encoded(docs: DataFrame, vocab: str, end_id: int, shards: int | None = None)
 class RoundRobin:
     """Where the ids of each source's queue stand in the stream."""
 
-    def __init__(self, totals: list[int], weights: list[float], window: int = 2048, granule: int = 64):
+    def __init__(self, totals: list[int], weights: list[float], window: int = 2048, granule: int = 256):
         self.totals = np.array(totals, dtype=np.int64)
         self.window, self.granule = window, granule
         whole, w = window * UNIT, np.array(weights, dtype=float)
@@ -132,14 +134,15 @@ class RoundRobin:
         return piece, lo[piece] + ids - start, end - ids, sequence, offset
 
 
-def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int = 2048, granule: int = 64, targets: dict | None = None, shards: int | None = None, max_sources: int = 10_000) -> DataFrame:
+def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int = 2048, granule: int = 256, targets: dict | None = None, shards: int | None = None, max_sources: int = 10_000, control: bool = True) -> DataFrame:
     """One row for each piece of a document: where it starts in it, and its sequence and offset there.
 
     targets: the share of each source (null is None); without it, each source's share of all ids. The sources' totals
-    come to the driver: one row for each source, at most max_sources, else ValueError.
+    come to the driver: one row for each source, at most max_sources, else ValueError. control: whether control strings
+    in texts become their ids (see tokens).
     """
     spark = docs.sparkSession
-    table = saved(encoded(docs, vocab or vocabulary("word_bpe_49k.json"), end_id, shards), "encoded")
+    table = saved(encoded(docs, vocab or vocabulary("word_bpe_49k.json"), end_id, shards, control), "encoded")
     sums = table.groupBy("shard", "source").agg(F.sum("n_tokens").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     sums = saved(sums.select("shard", "source", "n", F.coalesce(before, F.lit(0)).alias("before")), "queues")

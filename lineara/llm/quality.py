@@ -2,17 +2,18 @@
 
 Each rule is evaluated once over the whole text: its measurements are kept as columns and its verdict as one bit of
 ``failed_bits``. A policy is a named, versioned set of rules, a mask over those bits, so policies are applied and
-compared on the ledger without the texts.
+compared on the ledger without the texts. The ledger is stored; ablations count documents by their failure bits.
 
 Words are runs of characters other than space and U+0009 to U+000D; lines are split at newlines. A null text is one
 without words, which fails the rule on few words; a null doc_id is kept as such; equal rows are judged alike; an empty
-table gives an empty ledger. All columns but doc_id and text are ignored.
+table gives an empty ledger. A very long text is one row's arrays of words and windows, so memory follows the longest
+text. All columns but doc_id and text are ignored.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import saved, texts
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -73,21 +74,43 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measured(docs).withColumn("failed_bits", bits)
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """The ledger of documents, written once; policies and ablations read it and never the texts."""
+    return saved(ledger(docs), "ledger")
+
+
 def judged(rows: DataFrame, policy: str = "v1") -> DataFrame:
-    """A ledger with kept: whether a document fails no rule of the policy."""
-    return rows.withColumn("kept", F.col("failed_bits").bitwiseAND(F.lit(mask(policy))) == 0)
+    """A ledger with the verdicts: kept by the policy, policies (bit k: kept by the k-th policy) and decisive_bits, the one
+    rule of the policy without which a document that fails would be kept (none or several: 0)."""
+    failed = F.col("failed_bits").bitwiseAND(F.lit(mask(policy)))
+    by_policy = sum((F.when(F.col("failed_bits").bitwiseAND(F.lit(mask(name))) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, name in enumerate(POLICIES)), F.lit(0).cast("long"))
+    alone = F.when(F.bit_count(failed) == 1, failed).otherwise(F.lit(0).cast("long"))
+    return rows.withColumns({"kept": failed == 0, "policies": by_policy, "decisive_bits": alone})
+
+
+def ablations(rows: DataFrame) -> DataFrame:
+    """policy, rule, failing, only_this, kept, kept_without: for each rule of each policy how many documents of a ledger fail it,
+    fail no other rule of the policy, are kept, and would be kept without it.
+
+    Documents are counted by their failure bits, of which there are at most 2 ** len(RULES) values; all else is bitwise
+    arithmetic on those few counts.
+    """
+    counts = rows.groupBy("failed_bits").agg(F.count(F.lit(1)).alias("n"))
+    names = list(RULES)
+    trials = [F.struct(F.lit(p).alias("policy"), F.lit(r).alias("rule"), F.lit(mask(p)).cast("long").alias("mask"), F.lit(1 << names.index(r)).cast("long").alias("bit")) for p, rules in POLICIES.items() for r in rules]
+    tried = counts.select("failed_bits", "n", F.inline(F.array(*trials)))
+    total = lambda condition: F.coalesce(F.sum(F.when(F.expr(condition), F.col("n"))), F.lit(0))
+    return tried.groupBy("policy", "rule").agg(
+        total("failed_bits & bit <> 0").alias("failing"), total("failed_bits & mask = bit").alias("only_this"), total("failed_bits & mask = 0").alias("kept"), total("failed_bits & mask & ~bit = 0").alias("kept_without"),
+    )
 
 
-def ablations(rows: DataFrame, policy: str = "v1") -> DataFrame:
-    """For each rule of the policy: failing documents, those that no other rule of it fails, and the kept ones without it.
+def with_ablations(verdicts: DataFrame, policy: str = "v1") -> DataFrame:
+    """Verdicts with n_regained: how many documents the policy would keep more without the rule that decides this one (none: 0).
 
-    One pass of bitwise sums over a ledger.
+    The ablations' rows, one for each rule, are all that is broadcast.
     """
-    bits = F.col("failed_bits").bitwiseAND(F.lit(mask(policy)))
     names = list(RULES)
-    sums = [F.count(F.lit(1)).alias("n"), F.count_if(bits == 0).alias("kept")]
-    for r in POLICIES[policy]:
-        b = 1 << names.index(r)
-        sums += [F.count_if(bits.bitwiseAND(F.lit(b)) != 0).alias(f"f_{r}"), F.count_if(bits == b).alias(f"o_{r}")]
-    rule = [F.struct(F.lit(r).alias("rule"), F.col(f"f_{r}").alias("failing"), F.col(f"o_{r}").alias("only_this"), (F.col("kept") + F.col(f"o_{r}")).alias("kept_without")) for r in POLICIES[policy]]
-    return rows.agg(*sums).select(F.inline(F.array(*rule)))
+    bit = F.element_at(F.create_map(*[F.lit(x) for k, r in enumerate(names) for x in (r, 1 << k)]), F.col("rule")).cast("long")
+    more = ablations(verdicts).where(F.col("policy") == policy).select(bit.alias("decisive_bits"), (F.col("kept_without") - F.col("kept")).alias("n_regained"))
+    return verdicts.join(F.broadcast(more), "decisive_bits", "left").withColumn("n_regained", F.coalesce("n_regained", F.lit(0).cast("long")))

@@ -53,7 +53,7 @@ def op9_language_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality.judged(quality.ledger(_table(spark, sf_dir, "documents")))
+    rows = quality.with_ablations(quality.judged(quality.stored(_table(spark, sf_dir, "documents"))))
     base = rows["failed_bits"].bitwiseAND(quality.mask("base")) != 0
     return rows.withColumn("base_failed", base)
 
@@ -125,6 +125,8 @@ ORACLE_SQL: dict = {
         b AS (
             SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (word_chars < 2 * n_words)::INT
                    + 8 * (word_chars > 25 * n_words)::INT + 16 * (n_symbols > n_words)::INT + 32 * (2 * n_dup_lines > n_lines)::INT AS BIGINT) AS failed_bits
-            FROM m)
-        SELECT *, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept FROM b""",
+            FROM m),
+        v AS (SELECT *, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, CAST((failed_bits & 3 = 0)::INT + 2 * (failed_bits = 0)::INT AS BIGINT) AS policies,
+                CASE WHEN bit_count(failed_bits) = 1 THEN failed_bits ELSE 0 END AS decisive_bits FROM b)
+        SELECT *, CASE WHEN decisive_bits = 0 THEN 0 ELSE count(*) OVER (PARTITION BY decisive_bits) END AS n_regained FROM v""",
 }

@@ -8,13 +8,15 @@ One BK-tree of the whole corpus has no size bound and so can't be broadcast. Ins
 such that fingerprints within the radius always share one: of ``blocks`` blocks of bits, at most ``radius`` can differ,
 so some ``agree`` = blocks - radius blocks are the same, and every choice of that many blocks is a key. The distinct
 fingerprints of a key are a shard: a BK-tree (children keyed by their distance to the parent) of at most ``tree_size``
-nodes, which all fingerprints of the key query, following only the edges within the radius of their own distance. A
-key with more fingerprints gets several trees, and its fingerprints query each. A tree gives not its pairs but a
+nodes, which all fingerprints of the key query, following only the edges within the radius of their own distance. The
+fingerprints of a key with more are keyed again by radius + 1 blocks of their other bits, of which those within the
+radius share one; a key that is still too large gets several trees, and its fingerprints query each. A tree gives not its pairs but a
 spanning forest of them, so its output never exceeds its input. Components come from alternating star contraction.
 
 Null texts are empty; texts without words have fingerprint zero and link like any other; a null doc_id has the
 fingerprint of its text and the component of equal fingerprints, but makes no links of its own; equal rows are equal
-documents; an empty table gives no rows. All columns but doc_id and text are ignored.
+documents; an empty table gives no rows. All columns but doc_id and text are ignored. A text's shingles are hashed in
+parts, so memory beyond the text itself follows its number of words.
 """
 
 import itertools
@@ -268,17 +270,32 @@ def _shards(radius: int, queries_at_once: int):
     return run
 
 
-def block_keys(radius: int, blocks: int) -> "F.Column":
-    """An array of keys; fingerprints (column fp, 64 bits) within the radius share at least one of them."""
-    size, over = divmod(64, blocks)
-    widths = [size + (k < over) for k in range(blocks)]
-    at = np.concatenate([[0], np.cumsum(widths)])
-    keys = []
+def _blocks(size: int, blocks: int) -> list[tuple[int, int]]:
+    """Place and width of blocks that part ``size`` bits."""
+    width, over = divmod(size, blocks)
+    widths = [width + (k < over) for k in range(blocks)]
+    return list(zip(np.concatenate([[0], np.cumsum(widths)[:-1]]).tolist(), widths))
+
+
+def _bits(places: list[int]) -> "F.Column":
+    """The bits of fp at these places, all others zero."""
+    mask = sum(1 << k for k in places)
+    return F.col("fp").bitwiseAND(F.lit(mask - (mask >> 63 << 64)).cast("long"))
+
+
+def block_keys(radius: int, blocks: int) -> tuple["F.Column", "F.Column"]:
+    """An array of keys, of which fingerprints (column fp, 64 bits) within the radius share at least one, and the same for those of one key.
+
+    The second array is of the keys that refine the key numbered ``pos`` (column): its bits outside the key are parted into
+    radius + 1 blocks, and two fingerprints within the radius agree in one of them.
+    """
+    parts, keys, finer = _blocks(64, blocks), [], F.lit(None)
     for n, chosen in enumerate(itertools.combinations(range(blocks), blocks - radius)):
-        mask = sum(((1 << widths[k]) - 1) << int(at[k]) for k in chosen)
-        mask -= (mask >> 63) << 64
-        keys.append(F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(mask).cast("long"))))
-    return F.array(*keys)
+        inside = [k for c in chosen for k in range(parts[c][0], sum(parts[c]))]
+        outside = [k for k in range(64) if k not in set(inside)]
+        keys.append(F.xxhash64(F.lit(n), _bits(inside)))
+        finer = F.when(F.col("pos") == n, F.array(*[F.xxhash64(F.col("key"), F.lit(m), _bits(outside[at : at + width])) for m, (at, width) in enumerate(_blocks(len(outside), radius + 1))])).otherwise(finer)
+    return F.array(*keys), finer
 
 
 def dealt(rows: DataFrame) -> DataFrame:
@@ -291,11 +308,23 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.inline(F.when(F.col("trees").isNull() | (F.col("trees") == 1), alone).otherwise(F.concat(asks, stands))))
 
 
-def tree_edges(points: DataFrame, keys: "F.Column", radius: int, tree_size: int, queries_at_once: int = 2048) -> DataFrame:
-    """Links (a, b) that connect all points (rep, fps, and what keys needs) within the radius that share a key."""
-    rows = points.select("rep", "fps", F.explode(keys).alias("key"))
-    large = points.select(F.explode(keys).alias("key")).groupBy("key").count().where(F.col("count") > tree_size)
+def tree_edges(points: DataFrame, keys: "F.Column", radius: int, tree_size: int, queries_at_once: int = 2048, finer: "F.Column | None" = None) -> DataFrame:
+    """Links (a, b) that connect all points (rep, fps, and what keys needs) within the radius that share a key.
+
+    The points of a key with more than ``tree_size`` of them are parted by finer keys, if there are any; what is larger
+    still is cut into trees, which all of its points query.
+    """
+    own = [c for c in points.columns if c != "keys"]
+    rows = points.select(*own, F.posexplode(keys).alias("pos", "key"))
+    sizes = lambda keyed: saved(keyed.groupBy("key").count().where(F.col("count") > tree_size), "large-keys")
     parts = lambda size: F.ceil(F.col("count") / F.lit(size)).cast("int")
+    # keys alone, without what they were made from
+    large = sizes(points.select(F.explode(keys).alias("key")))
+    if finer is not None and large.head(1):
+        marked = saved(rows.join(large, "key", "left"), "keyed")
+        parted = marked.where("count is not null").select(*own, F.explode(finer).alias("key"))
+        rows = marked.where("count is null").select(*own, "key").unionByName(parted)
+        large = sizes(parted)
     large = large.select("key", parts(tree_size).alias("trees"), parts(16 * tree_size).alias("slices"))
     rows = rows.join(large, "key", "left")
     rows = dealt(rows).select("key", "shard", "tree", "rep", "fps")
@@ -308,15 +337,17 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component: the smallest node that each node of the links (a, b) reaches.
 
     Alternating large and small stars: each round links every neighbour to the least one, first the larger neighbours
-    and then the smaller, until nothing changes. Each round is joins and sums, cut off by a checkpoint.
+    and then the smaller, until nothing changes. Each round is joins and sums, cut off by a checkpoint; the least
+    neighbours are checkpointed too, so both sides of a join come from files and adaptive execution can split the rows of
+    a node that very many links share.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges, before = checkpointed(edges), None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        stars = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = stars.groupBy("a").agg(F.min("b").alias("m"))
+        least = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        stars = checkpointed(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        low = checkpointed(stars.groupBy("a").agg(F.min("b").alias("m")))
         small = stars.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         edges = checkpointed(small.union(low.select("a", F.col("m").alias("b"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -329,7 +360,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     """doc_id, fingerprint (16 hex digits), component_id of every document; links within at most ``radius`` bits, all of them."""
     fps = saved(fingerprints(docs, shingle).select("doc_id", F.get("fps", F.lit(0)).alias("fp")), "fingerprints")
     points = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "points")
-    edges = tree_edges(points.withColumn("fps", F.array("fp")), block_keys(radius, blocks), radius, tree_size)
+    keys, finer = block_keys(radius, blocks)
+    edges = tree_edges(points.withColumn("fps", F.array("fp")), keys, radius, tree_size, finer=finer)
     found = components(edges)
     reps = points.join(found, points["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(reps, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

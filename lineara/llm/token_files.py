@@ -116,10 +116,11 @@ class ShardReader:
                     yield doc_id, tokens, (self.frame(k) for k in range(first, first + n))
 
 
-def write_tokens(docs: DataFrame, folder: str, vocab: str, end_id: int | None = 0, shards: int | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, vocab: str, end_id: int | None = 0, shards: int | None = None, control: bool = True) -> DataFrame:
     """Encode every text and write it to shard files in folder; returns the manifest, one row for each file.
 
     Documents are dealt by ranges of doc_id, so no shard depends on a hot source. One row for each shard comes back.
+    control: whether control strings in texts become their ids (see tokens).
     """
     spark, rows = docs.sparkSession, texts(docs)
     n = shards or partitions(rows)
@@ -129,7 +130,7 @@ def write_tokens(docs: DataFrame, folder: str, vocab: str, end_id: int | None =
     def write(batches):
         from pyspark import TaskContext
 
-        task, encode = TaskContext.get(), encoder(vocab).encode
+        task, encode = TaskContext.get(), encoder(vocab, control).encode
 
         def documents():
             for b in batches:
@@ -185,6 +186,6 @@ def read_tokens(spark: SparkSession, manifest: list) -> DataFrame:
 def token_files(docs: DataFrame, vocab: str | None = None, end_id: int = 0, shards: int | None = None) -> tuple[str, DataFrame]:
     """Write the files to a new shared folder and read them back; returns the folder and the documents' digests."""
     spark = docs.sparkSession
-    folder = f"{shared_dir(spark)}-tokens"
+    folder = shared_dir(spark, "tokens")
     manifest = write_tokens(docs, folder, vocab or vocabulary("byte_bpe_50k.json"), end_id, shards).collect()
     return folder, read_tokens(spark, [r.asDict() for r in manifest])

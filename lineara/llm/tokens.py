@@ -5,6 +5,9 @@ text is cut before each space or newline that a visible character follows, each
 tokenizers library, and the ids of the text are those of its chunks in order. Chunks where this cut would not be safe
 (further white space follows) are joined to the chunk before them. A vocabulary whose normalizer drops white space and
 lower-cases is cut at all white space, in lower-case ASCII. Both also part a word from a full stop or comma after it.
+
+A vocabulary's control strings ("<|endoftext|>") in a text become their ids, as the library's own call with its defaults
+gives them; the text is parted at them first, as the library does. With ``control=False`` they are text like any other.
 """
 
 import os
@@ -35,12 +38,17 @@ class ChunkEncoder:
     Two generations of at most ``limit`` chunks are kept; when the young one is full it becomes the old one.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 500_000, control: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().items() if control else []
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for _, t in added):
+            raise ValueError("control strings that depend on the text around them")
+        self.controls = {t.content: np.array([i], dtype="<u4").tobytes() for i, t in added}
+        self.control = re.compile("(" + "|".join(map(re.escape, sorted(self.controls, key=len, reverse=True))) + ")") if added else None
         names = sorted((i, t) for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items())
         self.lengths = np.zeros(names[-1][0] + 1, dtype=np.int64)  # bytes that each id stands for
         self.lengths[[i for i, _ in names]] = [len(t) - 4 * t.endswith("</w>") for _, t in names]
@@ -124,6 +132,14 @@ class ChunkEncoder:
             self.old, self.young = self.young, {}
 
     def encode(self, texts: list) -> list:
+        parts = [self.control.split(t) if self.control and self.control.search(t) else [t] for t in texts]
+        if len(parts) == sum(map(len, parts)):
+            return self._plain(texts)
+        got = iter(self._plain([p for pieces in parts for p in pieces[::2]]))
+        return [b"".join(self.controls[p] if k % 2 else next(got) for k, p in enumerate(pieces)) for pieces in parts]
+
+    def _plain(self, texts: list) -> list:
+        """The ids of texts without control strings."""
         out, k = [], 0
         while k < len(texts):
             n, e = 0, k
@@ -161,6 +177,6 @@ class ChunkEncoder:
         return out
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, control: bool = True) -> ChunkEncoder:
     """One encoder in a Python worker, kept over its tasks."""
-    return kept(("encoder", path), lambda: ChunkEncoder(path))
+    return kept(("encoder", path, control), lambda: ChunkEncoder(path, control=control))

@@ -36,7 +36,7 @@ def classes(ids, linked):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("tree_size,blocks", [(8192, 5), (2, 4)])
+@pytest.mark.parametrize("tree_size,blocks", [(8192, 5), (2, 4), (2, 5)])
 def test_components(spark, sf, tree_size, blocks):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     fps = {r.doc_id: fingerprint(r.text) for r in docs.collect()}

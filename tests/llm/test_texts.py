@@ -320,7 +320,47 @@ def test_bloom_masks():
     rng = np.random.default_rng(0)
     sets = [rng.integers(0, 1 << 63, 3000, dtype=np.uint64) for _ in range(3)]
     f = language.Filter(["a", "b", "c"], sets)
-    assert all((f.masks(s) >> b & 1).all() for b, s in enumerate(sets)) and (f.false < 0.01).all()
+    assert all((f.masks(s)[0] >> b & 1).all() for b, s in enumerate(sets)) and (f.false < 0.01).all()
+    names = [f"l{k}" for k in range(130)]
+    sets = [rng.integers(0, 1 << 63, 50, dtype=np.uint64) for _ in names]
+    f = language.Filter(names, sets)
+    assert len(f.planes) == 3 and all((f.masks(s)[b // 64] >> np.uint64(b % 64) & np.uint64(1)).all() for b, s in enumerate(sets)) and (f.false < 0.01).all()
+
+
+def test_more_languages_than_a_mask_has_bits(spark):
+    rng = random.Random(5)
+    made = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)] for _ in range(70)]
+    docs = spark.createDataFrame([(k, " ".join(rng.choice(made[k % 70]) for _ in range(60)), f"l{k % 70}") for k in range(280)], "doc_id long, text string, lang string")
+    got = language.identify(docs, language.learn(docs, docs["doc_id"] < 210)).where("doc_id >= 210").collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 69
+    with pytest.raises(ValueError, match="languages"):
+        language.learn(docs, max_langs=69)
+
+
+def naive_grams(text):
+    """Hashes of all n-grams, one at a time."""
+    letters = "".join(c.lower()[0] if c.isalpha() else " " for c in text)
+    letters = re.sub(" +", " ", f" {letters} ")
+    for n in language.ORDERS:
+        for k in range(len(letters) - n + 1):
+            h = n
+            for j, c in enumerate(letters[k : k + n]):
+                h = (h ^ ord(c)) * language.ODD[j] % 2**64
+                h ^= h >> 29
+            yield h
+
+
+def test_filter_decides_like_exact_sets(spark, sf, monkeypatch):
+    docs, held = spark.read.parquet(f"{sf}/documents.parquet"), {}
+    plain = language.Filter
+    monkeypatch.setattr(language, "Filter", lambda langs, hashes: held.update(zip(langs, (set(h.tolist()) for h in hashes))) or plain(langs, hashes))
+    model = language.learn(docs, language.fold(docs["doc_id"]) != 1)
+    monkeypatch.undo()
+    for r in docs.select("text").limit(60).collect():
+        found = list(naive_grams(r.text))
+        exact = {x: sum(h in s for h in found) / len(found) for x, s in held.items()}
+        best, (said, score) = max(exact.values()), model.predict(r.text)
+        assert abs(exact[said] - best) < 0.02 and abs(score - exact[said]) < 0.02
 
 
 def test_quality_ledger(spark, odd, none):
@@ -331,11 +371,29 @@ def test_quality_ledger(spark, odd, none):
     rows = quality.ledger(made)
     by = {r.doc_id: r for r in quality.judged(rows).collect()}
     assert by[1].n_repeat_words == 10 and not by[1].kept and by[2].failed_bits == 0 and by[2].kept
-    table = {r.rule: r for r in quality.ablations(rows).collect()}
+    table = {r.rule: r for r in quality.ablations(rows).where("policy = 'v1'").collect()}
     assert (table["repeated_windows"].failing, table["repeated_windows"].only_this, table["few_words"].failing, table["few_words"].kept_without) == (1, 0, 0, 1)
     assert quality.mask("base") == 3
 
 
+def test_ablations_by_policies_of_their_own(spark, none):
+    bits = [random.Random(k).choice([0, 0, 1, 2, 4, 3, 8, 32, 40, 63]) for k in range(500)]
+    rows = spark.createDataFrame(list(enumerate(bits)), "doc_id long, failed_bits long")
+    names = list(quality.RULES)
+    got = {(r.policy, r.rule): (r.failing, r.only_this, r.kept, r.kept_without) for r in quality.ablations(rows).collect()}
+    for policy, rules in quality.POLICIES.items():
+        fails = lambda b, but=None: any(b >> names.index(r) & 1 for r in rules if r != but)
+        for rule in rules:
+            kept, without = sum(not fails(b) for b in bits), sum(not fails(b, rule) for b in bits)
+            assert got[policy, rule] == (sum(b >> names.index(rule) & 1 for b in bits), without - kept, kept, without)
+    verdicts = quality.with_ablations(quality.judged(rows)).collect()
+    for r in verdicts:
+        alone = bits[r.doc_id] if bits[r.doc_id].bit_count() == 1 else 0
+        assert (r.kept, r.decisive_bits, r.policies) == (bits[r.doc_id] == 0, alone, (bits[r.doc_id] & 3 == 0) + 2 * (bits[r.doc_id] == 0))
+        assert r.n_regained == (bits.count(alone) if alone else 0)
+    assert quality.with_ablations(quality.judged(quality.stored(none))).count() == 0 == quality.ablations(quality.ledger(none)).count()
+
+
 def test_addresses_with_long_runs_of_zeros():
     zeros = "0" * 5000
     assert private_data.base_spans(f"{zeros}1.2.3.4 {zeros}256.2.3.4") == [(1, 0, 5007)]

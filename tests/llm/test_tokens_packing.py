@@ -12,20 +12,22 @@ from hypothesis import strategies as st
 from lineara.llm import packing, token_files, tokens
 from lineara.llm.common import shared_dir
 
-PIECES = [" ", "\n", "  ", "\t", "a", "B", "é", "Σ", "ς", "ss", ".", ",", "!!", "'s", "12", "\x00", " ", "　", "\x1c", "é", "İ", "ß", "🎉", "漢", "<|endoftext|>", "\r\n", "foo", " the"]
+PIECES = [" ", "\n", "  ", "\t", "a", "B", "é", "Σ", "ς", "ss", ".", ",", "!!", "'s", "12", "\x00", " ", "　", "\x1c", "é", "İ", "ß", "🎉", "漢", "<|endoftext|>", " <|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "\r\n", "foo", " the"]
 
 
-def whole(name):
+def whole(name, control=True):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.vocabulary(name))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not control
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_chunks_encode_as_whole_texts(name):
-    encoder, ids = tokens.ChunkEncoder(tokens.vocabulary(name), limit=300), whole(name)
+@pytest.mark.parametrize("control", [True, False])
+def test_chunks_encode_as_whole_texts(name, control):
+    encoder, ids = tokens.ChunkEncoder(tokens.vocabulary(name), limit=300, control=control), whole(name, control)
+    assert (len(ids("a <|endoftext|> b")) < 5) == control
 
     @settings(max_examples=150, deadline=None)
     @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30).map("".join), max_size=8))
