@@ -479,8 +479,9 @@ def exact_edges(docs: DataFrame, candidates: DataFrame, shingle: int, words: int
     rows = texts(docs).join(candidates, F.col("doc_id") == F.col("node")).select("component", F.col("node").alias("rep"), "text").dropDuplicates()
     rows = saved(rows.mapInArrow(run, ddl), "sets")
     weigh = lambda size: F.ceil(F.sum("size") / F.lit(size)).cast("int")
-    rows = rows.join(rows.groupBy("component").agg(weigh(held).alias("trees"), weigh(4 * held).alias("slices")), "component")
-    rows = dealt(rows).select("component", "shard", "tree", "rep", "fps", "shingles")
+    weights = saved(rows.groupBy("component").agg(weigh(held).alias("trees"), weigh(4 * held).alias("slices")), "group-weights")
+    rows = dealt(rows.join(weights, "component")).select("component", "shard", "tree", "rep", "fps", "shingles")
+    rows = rows.repartition(partitions(docs), "component", "shard")  # or else the join's partitioning would keep all shards of a group in one task
     return rows.groupBy("component", "shard").applyInArrow(_verified(radius, similarity), "a long, b long")
 
 
