@@ -111,13 +111,11 @@ def pieces(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def removals(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """For each document that loses lines, _id and _th with the spans (first, last) that go, apart and in order."""
-    runs = saved(followers(saved(chunks(lines(docs), min_words), "chunks")), "runs")
-    to = (F.col("first") + F.col("shift")).alias("first0")
-    own = saved(pieces(docs, runs), "pieces")
-    first = runs.select(*[F.col(a).alias(b) for a, b in zip(FIRST, KEY)], to.alias("first"), (F.col("last") + F.col("shift")).alias("last")).distinct()
-    first = saved(pieces(docs, first).select(*[F.col(b).alias(a) for a, b in zip(FIRST, KEY)], F.col("first").alias("first0"), (F.col("last") - F.col("first")).alias("more"), F.col("piece").alias("piece0")), "first-pieces")
-    runs = runs.join(own, [*KEY, "first", "last"]).withColumns({"first0": to, "more": F.col("last") - F.col("first")})
-    same = runs.join(first, [*FIRST, "first0", "more"]).where("piece = piece0")
+    runs = saved(followers(saved(chunks(lines(docs), min_words), "chunks")), "runs").withColumns({"first0": F.col("first") + F.col("shift"), "last0": F.col("last") + F.col("shift")})
+    followed = runs.select(*[F.col(a).alias(b) for a, b in zip(FIRST, KEY)], F.col("first0").alias("first"), F.col("last0").alias("last"))
+    texts = saved(pieces(docs, runs.select(*KEY, "first", "last").unionByName(followed)), "pieces")
+    first = texts.select(F.col("_id").alias("_id0"), F.col("_th").alias("_th0"), F.col("first").alias("first0"), F.col("last").alias("last0"), F.col("piece").alias("piece0"))
+    same = runs.join(texts, [*KEY, "first", "last"]).join(first, [*FIRST, "first0", "last0"]).where("piece = piece0")
     gone = _joined(same.select(*KEY, "first", "last"), KEY)
     return gone.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_gone"))
 
