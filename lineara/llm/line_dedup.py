@@ -32,6 +32,8 @@ from .common import saved
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["_id", "_th"]
 FIRST = ["_id0", "_th0"]
+#: Both sides of every join here grow with the corpus and have no bound, so none is broadcast, whatever its size is today.
+MERGED = "merge"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -79,10 +81,10 @@ def chunks(rows: DataFrame, min_words: int) -> DataFrame:
 def followers(found: DataFrame) -> DataFrame:
     """Runs of lines that recur: document, first and last line, and the document and first line of what they follow."""
     again = saved(found.groupBy("hash").count().where("count > 1").select("hash"), "recurring")
-    found = saved(found.join(again, "hash"), "recurring-chunks")
+    found = saved(found.join(again.hint(MERGED), "hash"), "recurring-chunks")
     place = F.struct(*KEY, "first")
     least = saved(found.groupBy("hash").agg(F.min(place).alias("least")), "first-chunks")
-    later = found.join(least, "hash").where(place != F.col("least"))
+    later = found.join(least.hint(MERGED), "hash").where(place != F.col("least"))
     later = later.select(*KEY, "first", "last", F.col("least._id").alias("_id0"), F.col("least._th").alias("_th0"), (F.col("least.first") - F.col("first")).alias("shift"))
     return _joined(later, [*KEY, *FIRST, "shift"])
 
@@ -104,7 +106,7 @@ def _with_lines(make) -> Column:
 def pieces(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """spans (KEY, first, last) of documents with their text, piece."""
     listed = spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("_s"))
-    texts = docs.select(*KEY, "text").join(listed, KEY).dropDuplicates(KEY)
+    texts = docs.select(*KEY, "text").join(listed.hint(MERGED), KEY).dropDuplicates(KEY)
     cut = lambda x: F.transform("_s", lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), F.array_join(F.slice(x, s["first"] + 1, s["last"] - s["first"] + 1), "\n").alias("piece")))
     return texts.select(*KEY, F.inline(_with_lines(cut)))
 
@@ -115,7 +117,7 @@ def removals(docs: DataFrame, min_words: int = 50) -> DataFrame:
     followed = runs.select(*[F.col(a).alias(b) for a, b in zip(FIRST, KEY)], F.col("first0").alias("first"), F.col("last0").alias("last"))
     texts = saved(pieces(docs, runs.select(*KEY, "first", "last").unionByName(followed)), "pieces")
     first = texts.select(F.col("_id").alias("_id0"), F.col("_th").alias("_th0"), F.col("first").alias("first0"), F.col("last").alias("last0"), F.col("piece").alias("piece0"))
-    same = runs.join(texts, [*KEY, "first", "last"]).join(first, [*FIRST, "first0", "last0"]).where("piece = piece0")
+    same = runs.join(texts.hint(MERGED), [*KEY, "first", "last"]).join(first.hint(MERGED), [*FIRST, "first0", "last0"]).where("piece = piece0")
     gone = _joined(same.select(*KEY, "first", "last"), KEY)
     return gone.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_gone"))
 
@@ -124,7 +126,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """docs with repeated passages of ``min_words`` words or more removed from text, and with n_lines and n_removed_lines."""
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
     rows = _keyed(docs.select(*own))
-    rows = rows.join(saved(removals(rows, min_words), "removals"), KEY, "left")
+    rows = rows.join(saved(removals(rows, min_words), "removals").hint(MERGED), KEY, "left")
     begins = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda g: g["last"] + 1))
     kept = lambda x: F.flatten(F.zip_with(begins, F.concat(F.transform("_gone", lambda g: g["first"]), F.array(F.size(x))), lambda a, b: F.slice(x, a + 1, b - a)))
     n = F.size(F.split("text", "\n"))
