@@ -132,7 +132,7 @@ class ChunkEncoder:
             self.old, self.young = self.young, {}
 
     def encode(self, texts: list) -> list:
-        parts = [self.control.split(t) if self.control and self.control.search(t) else [t] for t in texts]
+        parts = [self.control.split(t) if any(c in t for c in self.controls) else [t] for t in texts]
         if len(parts) == sum(map(len, parts)):
             return self._plain(texts)
         got = iter(self._plain([p for pieces in parts for p in pieces[::2]]))
