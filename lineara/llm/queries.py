@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import chat, fm_index, language, line_dedup, main_text, packing, private_data, quality, simhash, token_files
+from . import chat, fingerprints, fm_index, language, line_dedup, main_text, merkle, oracles, packing, private_data, quality, repair, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,19 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("base_failed", base)
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(*repair.repair(repair.damaged(_table(spark, sf_dir, "conversations"))))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(merkle.manifest(_table(spark, sf_dir, "documents")))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return fingerprints.compared(docs, fingerprints.learn(docs))
+
+
 QUERIES: dict = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
@@ -69,9 +82,14 @@ QUERIES: dict = {
     "op8_fm_decontamination": op8_fm_decontamination,
     "op9_language_bits": op9_language_bits,
     "op10_quality_ledger": op10_quality_ledger,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLE_SQL: dict = {
+    "op11_structure_repair": oracles.REPAIR,
+    "op12_merkle_manifest": oracles.MERKLE,
     "op6_chat_format": r"""
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
