@@ -38,6 +38,8 @@ class Parameters:
 
     projects: those allowed (none: any); short_name_projects: those whose summaries are named without species and
     accession; default_source: the annotation source of records that name none (none: such records are set aside).
+    driver: the DB-API module that opens the database server's databases, and mark, its sign for a parameter.
+    taxonomy_url: a service that is asked for taxa, whose answers are kept in taxonomy_dir. sql_dir: .sql files to run.
     """
 
     run_busco_core: bool = False
@@ -59,6 +61,11 @@ class Parameters:
     busco_dataset: str | None = None
     datasets_file: str | None = None
     cache_dir: str | None = None
+    taxonomy_url: str | None = None
+    taxonomy_dir: str | None = None
+    sql_dir: str | None = None
+    driver: str | None = None
+    mark: str = "?"
     database: Database = Database()
 
     def merged(self, *more: dict) -> "Parameters":
@@ -85,6 +92,10 @@ class Parameters:
         if self.csv_file and "://" not in self.csv_file and not os.path.exists(self.csv_file):
             found.append(f"{self.csv_file} doesn't exist")
         found += [f"{m} is no mode" for m in self.modes() if m not in constants.LABELS]
+        if self.sql_dir and not self.driver:
+            found.append("driver is required to run SQL files")
+        if self.taxonomy_url and not self.taxonomy_dir:
+            found.append("taxonomy_dir is required to keep a service's answers")
         if self.run_beta_metakeys and not self.team:
             found.append("team is required for the beta metakeys")
         if self.from_assemblies() and (self.run_omark or self.run_stats or self.run_beta_metakeys):

@@ -46,3 +46,5 @@ METAKEYS = {
     "version": "busco_version", "dataset": "busco_dataset", "score": "busco", "busco_mode": "busco_mode", "complete": "busco_completeness", "single_copy": "busco_single_copy",
     "duplicated": "busco_duplicated", "fragmented": "busco_fragmented", "missing": "busco_missing", "total": "busco_total", "erroneous": "busco_erroneus",
 }
+#: What a run reads of a database: its description, and the metakeys that a patch leaves as they are.
+RUN_KEYS = ENRICHMENT_KEYS + [head + key for head in ("assembly.", "genebuild.") for key in METAKEYS.values()]

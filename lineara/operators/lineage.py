@@ -56,3 +56,59 @@ def walk_up(edges: DataFrame, child: str, parent: str) -> DataFrame:
             return known
         more = far.join(known.withColumnsRenamed({"child": "via", "distance": "rest"}), "via")
         known, d = checkpointed(known.union(more.select("child", "ancestor", F.col("rest") + d))), 2 * d
+
+
+def tree(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """node, up: each node once, those that are only parents too; roots have a null up. Stored, since what uses it goes over it often.
+
+    A row with a null parent names a root, one with a null child is no link, equal rows count once. A node with two
+    parents raises ValueError.
+    """
+    links = edges.where(F.col(child).isNotNull()).select(F.col(child).alias("node"), F.col(parent).alias("up"))
+    both = links.unionByName(links.where("up IS NOT NULL").select(F.col("up").alias("node"), F.lit(None).cast(links.schema["up"].dataType).alias("up")))
+    nodes = checkpointed(both.groupBy("node").agg(F.max("up").alias("up"), F.min("up").alias("_least")))
+    if nodes.where("up <> _least").head(1):
+        raise ValueError(f"a {child} has several of {parent}")
+    return nodes.drop("_least")
+
+
+def climb(state: DataFrame, step, what: str) -> DataFrame:
+    """state (node, up and more) after its pointers have doubled until all have passed their root.
+
+    Each round joins the open rows, those whose pointer still leads to a node, with all rows once and calls
+    step(open, state, distance), which gives the open rows anew; the others stay. So the state never has more rows than
+    there are nodes, and a chain of n nodes takes log2(n) rounds, each ending in a checkpoint. A cycle never passes a
+    root: it raises ValueError when pointers are longer than there are nodes.
+    """
+    distance, nodes = 1, None
+    while True:
+        open_ = state.where("up IS NOT NULL")
+        if not open_.head(1):
+            return state
+        nodes = state.count() if nodes is None else nodes
+        if distance > nodes:
+            raise ValueError(f"{what} have a cycle")
+        state, distance = checkpointed(state.where("up IS NULL").unionByName(step(open_, state, distance))), 2 * distance
+
+
+def once(datasets: DataFrame) -> DataFrame:
+    """The map with one dataset for each taxon, the least."""
+    return datasets.groupBy("taxon_id").agg(F.min("dataset").alias("dataset"))
+
+
+def nearest_on_edges(edges: DataFrame, datasets: DataFrame, child: str, parent: str, include_self: bool = False) -> DataFrame:
+    """child, dataset, distance for every node of a tree given by its links; nulls where no ancestor is in the map.
+
+    Pointers double and carry a label: after k rounds a node knows the nearest mapped ancestor within 2^k steps. So no
+    row stands for a pair of a node and an ancestor.
+    """
+    nodes = tree(edges, child, parent)
+    labels = once(datasets).select(F.col("taxon_id").cast(nodes.schema["node"].dataType).alias("_at"), F.col("dataset"))
+    of = F.col("node") if include_self else F.col("up")
+    state = nodes.join(labels, of == F.col("_at"), "left").select("node", "up", "dataset", F.when(F.col("_at").isNotNull(), F.lit(0 if include_self else 1).cast("long")).alias("distance"))
+
+    def step(open_, state, distance):
+        far = state.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("dataset").alias("_dataset"), (F.col("distance") + distance).alias("_distance"))
+        return open_.join(far, "up").select("node", F.col("_up").alias("up"), F.coalesce("dataset", "_dataset").alias("dataset"), F.coalesce("distance", "_distance").alias("distance"))
+
+    return climb(checkpointed(state), step, f"{child} and {parent}").select(F.col("node").alias(child), "dataset", "distance")

@@ -51,6 +51,20 @@ def with_records(found: DataFrame, records: DataFrame) -> DataFrame:
     return joined.drop("_n", "_a")
 
 
+def with_record(found: DataFrame, records: DataFrame) -> DataFrame:
+    """found (db, gca and more) with recorded: whether the run has a record of theirs."""
+    mine, theirs = of_record(found["db"], found["gca"]), of_record(records["core"], records["gca"])
+    known = records.select(theirs[0].alias("_n"), theirs[1].alias("_a")).distinct().withColumn("recorded", F.lit(True))
+    joined = found.withColumn("_n", mine[0]).withColumn("_a", mine[1]).join(known, ["_n", "_a"], "left")
+    return joined.withColumn("recorded", F.coalesce("recorded", F.lit(False))).drop("_n", "_a")
+
+
+def in_folder(rows: DataFrame, records: DataFrame) -> DataFrame:
+    """rows of databases (db and more) with the publish_dir of their record."""
+    folders = records.where(F.col("core") != constants.NO_DATABASE).groupBy(F.col("core").alias("db")).agg(F.min("publish_dir").alias("publish_dir"))
+    return rows.join(folders, "db", "left")
+
+
 def summaries(records: DataFrame, found: DataFrame, project: str, short_name_projects: tuple = ()) -> DataFrame:
     """Filtered report texts with the names and folders they are published under. found: gca, db, mode, path, content."""
     name = naming.summary_name(F.lit(project), F.col("species"), F.col("gca"), F.col("mode"), short_name_projects)
@@ -78,7 +92,8 @@ def busco(manifest: DataFrame, meta: DataFrame, taxa: DataFrame, datasets: DataF
     """A run over databases or assemblies: tasks, reports, summaries, metakeys, documents, meta after the patch, scripts, quarantine.
 
     cache: earlier reports with what they depend on (CACHE_KEY, path, content). Tasks are what it lacks, and its reports
-    of the other tasks join those found.
+    of the other tasks join those found. A report without a record in the manifest is set aside (no_record): it gives
+    no summary, no metakey and no patch. Documents and scripts carry the publish_dir of their record.
     """
     params = params.checked()
     records = enrich.assembly_records(manifest) if params.from_assemblies() else manifest
@@ -88,14 +103,17 @@ def busco(manifest: DataFrame, meta: DataFrame, taxa: DataFrame, datasets: DataF
         once = cache.groupBy(*CACHE_KEY).agg(F.max(F.struct("path", "content")).alias("v"))
         known = wanted.join(once, CACHE_KEY).select("gca", F.col("core").alias("db"), "mode", F.col("v.path").alias("path"), F.col("v.content").alias("content"))
         found = found.select(*known.columns).unionByName(known)
-    eav, bad = report_metakeys(found)
+    judged = with_record(found, records)
+    known = judged.where("recorded").drop("recorded")
+    strays = judged.where("NOT recorded").select("db", "gca", F.lit("report").alias("stage"), F.lit("no_record").alias("reason"))
+    eav, bad = report_metakeys(known)
     key, value = ["db", "species_id", "meta_key"], ["meta_value"]
     out = {
-        "records": records, "tasks": tasks(records, taxa, datasets, params, cache), "reports": found, "summaries": summaries(records, found, params.project, params.short_name_projects),
-        "metakeys": eav, "documents": metakeys.to_json(usable(found)), "quarantine": quarantined(records).unionByName(bad),
+        "records": records, "tasks": tasks(records, taxa, datasets, params, cache), "reports": found, "summaries": summaries(records, known, params.project, params.short_name_projects),
+        "metakeys": eav, "documents": in_folder(metakeys.to_json(usable(known)), records), "quarantine": quarantined(records).unionByName(strays).unionByName(bad),
     }
     if params.apply_busco_metakeys:
-        out |= {"meta": merge.insert_ignore(meta, patch_of(eav), key, value), "scripts": metakeys.scripts(eav, "db")}
+        out |= {"meta": merge.insert_ignore(meta, patch_of(eav), key, value), "scripts": in_folder(metakeys.scripts(eav, "db"), records)}
     return out
 
 

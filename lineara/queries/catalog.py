@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config, constants, schemas
 from ..functions import naming
-from ..operators import enrich, lineage, merge, metakeys, reports
+from ..operators import enrich, intervals, lineage, merge, metakeys, reports, scripts
 from ..plans import pipelines
 from ..session import ship
 from . import fixtures as fx
@@ -92,9 +92,19 @@ def default_missing_row(spark, sf_dir):
     return rows.select("n_nationkey", "n_name", naming.or_missing(F.col("r_name"), F.lit(SOURCE)).alias("source"))
 
 
-@query(f"""SELECT db, gca, coalesce(nullif(scientific_name, ''), db) AS name FROM ({fx.values(fx.NAMES)}) t(db, scientific_name, production_name, source, gca, project, datatype)""")
+#: A record of each customer, in expressions that mean the same to Spark and to SQL: some have no database, some no name or an empty one.
+CUSTOMER_NAMES = [
+    "CASE WHEN c_nationkey % 5 = 0 THEN 'core' ELSE concat('db_', CAST(c_custkey AS STRING)) END AS db",
+    "CASE c_mktsegment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN NULL ELSE concat('Genus  ', lower(c_mktsegment)) END AS scientific_name",
+    "CASE WHEN c_nationkey > 12 THEN 'braker' END AS source", "concat('GCA_', CAST(c_custkey AS STRING), '.', CAST(c_nationkey AS STRING)) AS gca",
+    "CASE WHEN c_nationkey < 8 THEN 'beta' ELSE 'alpha' END AS project", "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'protein' WHEN 'FURNITURE' THEN 'other' ELSE 'genome' END AS datatype",
+]
+NAMES = f"SELECT {', '.join(CUSTOMER_NAMES)} FROM customer"
+
+
+@query(f"SELECT db, gca, coalesce(nullif(scientific_name, ''), db) AS name FROM ({NAMES})")
 def default_empty_value(spark, sf_dir):
-    rows = fx.frame(ship(spark), fx.NAMES, fx.NAMES_SCHEMA)
+    rows = table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_NAMES)
     return rows.select("db", "gca", naming.or_empty(F.col("scientific_name"), F.col("db")).alias("name"))
 
 
@@ -126,7 +136,7 @@ NAMED = f"""named AS (
            CASE WHEN db = 'core' THEN gca ELSE regexp_replace(coalesce(nullif(scientific_name, ''), db), '\\s', '_', 'g') || '/' || gca || '/' || coalesce(source, 'submitted') END AS publish_dir,
            CASE datatype WHEN 'genome' THEN 'genome_busco' WHEN 'protein' THEN 'protein_busco' ELSE '' END AS label,
            replace(replace(lower(gca), '.', 'v'), '_', '') AS slug
-    FROM ({fx.values(fx.NAMES)}) t(db, scientific_name, production_name, source, gca, project, datatype))"""
+    FROM ({NAMES}))"""
 
 
 @query(f"""WITH {NAMED} SELECT gca, publish_dir,
@@ -134,7 +144,7 @@ NAMED = f"""named AS (
     species || '_' || slug || '_omark_proteins_detailed_summary.txt' AS omark_name,
     CASE WHEN project = 'alpha' THEN '/out/' || db ELSE '/out' END AS project_dir FROM named""")
 def summary_name_by_project(spark, sf_dir):
-    rows = fx.frame(ship(spark), fx.NAMES, fx.NAMES_SCHEMA)
+    rows = table(spark, sf_dir, "customer").selectExpr(*CUSTOMER_NAMES)
     species = naming.species(F.col("db"), F.col("scientific_name"))
     return rows.select(
         "gca", naming.record_path(F.col("db"), F.col("gca"), F.col("scientific_name"), F.col("source"), SOURCE).alias("publish_dir"),
@@ -143,9 +153,10 @@ def summary_name_by_project(spark, sf_dir):
     )
 
 
-#: A sparse map as lineage datasets are: nations whose names have an N, and regions whose names begin with A (numbered from 1000).
+#: A sparse map as lineage datasets are: nations whose names end in 7, and regions whose names begin with A (numbered from
+#: 1000). So some customers have their nation's dataset, some fall back to their region's, and some have none.
 def nation_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").where("n_name LIKE '%N%'").select(F.col("n_nationkey").cast("string").alias("taxon_id"), F.col("n_name").alias("dataset"))
+    nations = table(spark, sf_dir, "nation").where("n_name LIKE '%7'").select(F.col("n_nationkey").cast("string").alias("taxon_id"), F.col("n_name").alias("dataset"))
     regions = table(spark, sf_dir, "region").where("r_name LIKE 'A%'").select((F.col("r_regionkey") + 1000).cast("string").alias("taxon_id"), F.col("r_name").alias("dataset"))
     return nations.unionByName(regions)
 
@@ -156,7 +167,7 @@ def customer_taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", F.array((F.col("n_regionkey") + 1000).cast("long"), F.col("n_nationkey").cast("long")).alias("parents"))
 
 
-MAP = """lineage AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS dataset FROM nation WHERE n_name LIKE '%N%'
+MAP = """lineage AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS dataset FROM nation WHERE n_name LIKE '%7'
     UNION ALL SELECT r_regionkey + 1000, r_name FROM region WHERE r_name LIKE 'A%'),
     taxa AS (SELECT c_custkey, [n_regionkey + 1000, n_nationkey] AS parents FROM customer JOIN nation ON c_nationkey = n_nationkey),
     up AS (SELECT c_custkey, unnest(parents) AS id, generate_subscripts(parents, 1) AS pos FROM taxa),
@@ -202,6 +213,47 @@ def taxonomy_walk_recursive(spark, sf_dir):
     return lineage.walk_up(tree, "child", "parent")
 
 
+def part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree: nodes of half the number are parents."""
+    return table(spark, sf_dir, "part").selectExpr("p_partkey", "nullif(p_partkey div 2, 0) AS parent")
+
+
+def part_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset for the smallest parts, about one in seventeen."""
+    return table(spark, sf_dir, "part").where("p_size <= 3").selectExpr("CAST(p_partkey AS STRING) AS taxon_id", "p_brand AS dataset")
+
+
+PART_MAP = """RECURSIVE t AS (SELECT p_partkey AS node, nullif(p_partkey // 2, 0) AS up FROM part),
+    m AS (SELECT p_partkey AS node, p_brand AS dataset FROM part WHERE p_size <= 3),
+    climb(node, here, distance) AS (SELECT node, up, CAST(1 AS BIGINT) FROM t UNION ALL
+        SELECT climb.node, t.up, distance + 1 FROM climb JOIN t ON t.node = climb.here WHERE climb.here NOT IN (SELECT node FROM m)),
+    near AS (SELECT climb.node, m.dataset, distance FROM climb JOIN m ON m.node = climb.here)"""
+
+
+@query(f"WITH {PART_MAP} SELECT t.node AS p_partkey, dataset, distance FROM t LEFT JOIN near USING (node)")
+def lineage_on_edges(spark, sf_dir):
+    """Every part with its nearest ancestor's dataset and how far that is, or nulls, from links alone."""
+    return lineage.nearest_on_edges(part_edges(spark, sf_dir), part_map(spark, sf_dir), "p_partkey", "parent")
+
+
+@query(f"WITH {PART_MAP} SELECT l_orderkey, l_linenumber, dataset FROM lineitem LEFT JOIN near ON node = l_partkey")
+def lineage_interval_lookup(spark, sf_dir):
+    """Very many lookups: each line item's part, by a range search in the tree's numbers."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    near = intervals.nearest(items, intervals.numbered(part_edges(spark, sf_dir), "p_partkey", "parent"), part_map(spark, sf_dir), "l_partkey")
+    return items.join(near, "l_partkey", "left").select("l_orderkey", "l_linenumber", "dataset")
+
+
+@query("""WITH RECURSIVE t AS (SELECT p_partkey AS node, nullif(p_partkey // 2, 0) AS up FROM part),
+    above(node, anc) AS (SELECT node, node FROM t UNION ALL SELECT above.node, t.up FROM above JOIN t ON t.node = above.anc WHERE t.up IS NOT NULL)
+    SELECT anc AS p_partkey, count(*) AS n_below, CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS BIGINT) AS cents_below FROM above JOIN part ON node = p_partkey GROUP BY anc""")
+def lineage_subtree_totals(spark, sf_dir):
+    """Of each part the number and price of all parts below it and itself: sums over its run of numbers, as differences of running sums."""
+    tree = intervals.numbered(part_edges(spark, sf_dir), "p_partkey", "parent")
+    cents = table(spark, sf_dir, "part").selectExpr("p_partkey AS node", "CAST(round(p_retailprice * 100) AS BIGINT) AS cents")
+    return intervals.totals(tree, cents, "node", "cents").selectExpr("node AS p_partkey", "n_below", "cents AS cents_below")
+
+
 @query("""SELECT doc_id, md5(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT contains(x, 'the')), chr(10))) AS text_md5 FROM documents""")
 def report_line_filter(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(reports.without_lines(F.col("text"), "the")).alias("text_md5"))
@@ -355,29 +407,80 @@ def completeness_counts(spark, sf_dir):
     return reports.completeness(table(spark, sf_dir, "orders"), ["o_custkey"], F.col("o_orderstatus"), {"F": "complete", "O": "fragmented"})
 
 
-@query(f"""WITH {KEYED},
-    meta(db, species_id, meta_key, meta_value) AS ({fx.values(fx.META)}),
-    manifest AS (SELECT DISTINCT db FROM meta),
+#: Metadata of each customer's database, in expressions that mean the same to Spark and to SQL; a null value is no row.
+CUSTOMER_META = {
+    "assembly.accession": "c_name", "species.taxonomy_id": "CAST(c_custkey AS STRING)", "species.scientific_name": "CASE c_mktsegment WHEN 'BUILDING' THEN '' WHEN 'MACHINERY' THEN NULL ELSE concat('Genus ', lower(c_mktsegment)) END",
+    "species.annotation_source": "CASE WHEN c_nationkey > 12 THEN 'braker' END", "assembly.busco": "CASE WHEN c_nationkey = 7 THEN 'kept as it was' END",
+}
+_DB = "concat('db_', CAST(c_custkey AS STRING))"
+_META = f"""meta AS (SELECT * FROM ({' UNION ALL '.join(f"SELECT {_DB} AS db, '{k}' AS meta_key, {v} AS meta_value FROM customer" for k, v in CUSTOMER_META.items())}) WHERE meta_value IS NOT NULL)"""
+
+
+def customer_run(spark: SparkSession, sf_dir: str) -> tuple[dict, DataFrame]:
+    """A run over the databases of all customers but those of one segment, whose reports come all the same; and the metadata before it."""
+    customers = table(spark, sf_dir, "customer")
+    names = customers.selectExpr(f"{_DB} AS db", "c_custkey", "c_mktsegment")
+    rows = customers.select(F.expr(_DB).alias("db"), F.inline(F.array(*[F.struct(F.lit(k).alias("meta_key"), F.expr(v).alias("meta_value")) for k, v in CUSTOMER_META.items()])))
+    meta = rows.where("meta_value IS NOT NULL").select("db", F.lit(1).alias("species_id"), "meta_key", "meta_value")
+    manifest = enrich.core_records(names.where("c_mktsegment <> 'HOUSEHOLD'").select(F.col("db").alias("core")), meta)
+    taxa = customer_taxa(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("taxon_id"), "parents")
+    params = config.Parameters(csv_file="s3://manifest", out_dir="/out", project="alpha", default_source=SOURCE, run_busco_core=True, apply_busco_metakeys=True)
+    return pipelines.busco(manifest, meta, taxa, nation_map(spark, sf_dir), customers.selectExpr(*CUSTOMER_REPORTS), params), meta
+
+
+CUSTOMER_RUN = f"""{PARSED.replace(f"SELECT * FROM ({fx.values(fx.REPORTS)}) t(gca, db, mode, path, content) UNION ALL ", "")}, {MAP}, {_META},
     wide AS (SELECT db, min(meta_value) FILTER (meta_key = 'assembly.accession') AS gca, min(meta_value) FILTER (meta_key = 'species.taxonomy_id') AS taxon_id,
         min(meta_value) FILTER (meta_key = 'species.scientific_name') AS name, min(meta_value) FILTER (meta_key = 'species.annotation_source') AS source FROM meta GROUP BY db),
-    taxa(taxon_id, parents) AS ({fx.values(fx.TAXA)}), lineage(id, dataset) AS ({fx.values(fx.LINEAGE)}),
-    near AS (SELECT taxon_id, arg_max(l.dataset, pos) AS busco_dataset FROM (SELECT taxon_id, CAST(unnest(parents) AS VARCHAR) AS id, generate_subscripts(parents, 1) AS pos FROM taxa) JOIN lineage l USING (id) GROUP BY taxon_id),
-    fresh AS (SELECT db, count(*) AS new_keys FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.db = k.db AND m.meta_key = k.meta_key) GROUP BY db)
-    SELECT w.db, w.gca, busco_dataset, regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g') || '/' || w.gca || '/' || coalesce(source, 'submitted') AS publish_dir,
-        lower(regexp_replace(coalesce(nullif(name, ''), w.db), '\\s', '_', 'g')) || '_' || replace(replace(lower(w.gca), '.', 'v'), '_', '') || '_' || r.mode || '_busco_short_summary.txt' AS summary_name,
-        score, reason, coalesce(new_keys, 0) AS new_keys
-    FROM manifest JOIN wide w USING (db) LEFT JOIN near USING (taxon_id) LEFT JOIN judged j USING (db) LEFT JOIN r USING (db) LEFT JOIN fresh USING (db)""")
+    mine AS (SELECT wide.* FROM wide JOIN customer ON db = {_DB} WHERE c_mktsegment <> 'HOUSEHOLD'),
+    keyed AS (
+    SELECT db, ordinal, CASE WHEN run_mode LIKE '%genome%' THEN 'assembly.' ELSE 'genebuild.' END || k AS meta_key, v AS meta_value FROM (
+        {' UNION ALL '.join(f"SELECT db, run_mode, {n} AS ordinal, '{k}' AS k, CAST({c} AS VARCHAR) AS v FROM judged WHERE reason IS NULL" for n, (c, k) in enumerate(_KEYS))})
+    WHERE v IS NOT NULL AND db IN (SELECT db FROM mine)),
+    fresh AS (SELECT db, count(*) AS new_keys FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.db = k.db AND m.meta_key = k.meta_key) GROUP BY db)"""
+
+
+@query(f"""WITH {CUSTOMER_RUN},
+    named AS (SELECT *, regexp_replace(coalesce(nullif(name, ''), db), '\\s', '_', 'g') AS folder FROM mine)
+    SELECT w.db, w.gca, near.dataset AS busco_dataset, folder || '/' || w.gca || '/' || coalesce(source, 'submitted') AS publish_dir,
+        lower(folder) || '_' || replace(replace(lower(w.gca), '.', 'v'), '_', '') || '_' || r.mode || '_busco_short_summary.txt' AS summary_name,
+        score, CASE WHEN name IS NULL THEN 'no_scientific_name' ELSE reason END AS reason, coalesce(new_keys, 0) AS new_keys
+    FROM named w LEFT JOIN near ON c_custkey = CAST(taxon_id AS BIGINT) LEFT JOIN judged j ON j.db = w.db LEFT JOIN r ON r.db = w.db LEFT JOIN fresh ON fresh.db = w.db
+    UNION ALL SELECT db, gca, NULL, NULL, NULL, NULL, 'no_record', 0 FROM r WHERE db NOT IN (SELECT db FROM mine)""")
 def pipeline_end_to_end(spark, sf_dir):
-    """A run over databases: for each its dataset, where its summary goes, its score or why there is none, and new metakeys."""
-    meta, found = fx.frame(ship(spark), fx.META, schemas.META), fx.reports(spark)
-    manifest = enrich.core_records(meta.select(F.col("db").alias("core")).distinct(), meta)
-    records = lineage.assigned(pipelines.described(manifest, meta, SOURCE), fx.frame(spark, fx.TAXA, schemas.TAXA), fx.frame(spark, fx.LINEAGE, schemas.LINEAGE))
-    named = pipelines.summaries(records, found, "alpha").select("db", "summary_name")
-    parsed = reports.classified(reports.parse(found)).select("db", "score", "reason")
-    eav, _ = pipelines.report_metakeys(found)
-    fresh = merge.new_rows(meta, eav, ["db", "meta_key"], ["meta_value"]).groupBy("db").agg(F.count("*").alias("new_keys"))
-    rows = records.withColumnRenamed("core", "db").select("db", "gca", "busco_dataset", "publish_dir")
-    return rows.join(named, "db", "left").join(parsed, "db", "left").join(fresh, "db", "left").withColumn("new_keys", F.coalesce("new_keys", F.lit(0).cast("long")))
+    """A run over databases: for each its dataset, where its summary goes, its score, why it was set aside if it was, and its new metakeys; and reports without a record."""
+    out, meta = customer_run(spark, sf_dir)
+    named, scores = out["summaries"].select("db", "summary_name"), reports.parse(out["reports"]).select("db", "score")
+    fresh = merge.new_rows(meta, out["metakeys"], ["db", "meta_key"], ["meta_value"]).groupBy("db").agg(F.count("*").alias("new_keys"))
+    why = out["quarantine"].groupBy("db").agg(F.min_by("reason", "stage").alias("reason"))
+    records = out["tasks"].groupBy(F.col("core").alias("db"), "gca", "busco_dataset", "publish_dir").agg(F.count("*").alias("modes")).drop("modes")
+    rows = records.join(named, "db", "left").join(scores, "db", "left").join(why, "db", "left").join(fresh, "db", "left").withColumn("new_keys", F.coalesce("new_keys", F.lit(0).cast("long")))
+    none = F.lit(None).cast("string")
+    strays = out["quarantine"].where("reason = 'no_record'").select("db", "gca", none.alias("busco_dataset"), none.alias("publish_dir"), none.alias("summary_name"), none.alias("score"), "reason", F.lit(0).cast("long").alias("new_keys"))
+    return rows.unionByName(strays)
+
+
+@query(f"""WITH {CUSTOMER_RUN} SELECT db, 1 AS species_id, meta_key, meta_value FROM meta
+    UNION ALL SELECT db, 1, meta_key, meta_value FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM meta m WHERE m.db = k.db AND m.meta_key = k.meta_key)""")
+def run_meta_after_patch(spark, sf_dir):
+    """The metadata of all databases after a run's patch: nothing is overwritten, and databases that are in no manifest stay as they are."""
+    return customer_run(spark, sf_dir)[0]["meta"]
+
+
+#: Statements of each customer with what a cut at semicolons would break, in expressions that mean the same to Spark and
+#: to SQL: chr(39) and chr(34) are quotes.
+CUSTOMER_STATEMENTS = [
+    f"concat('USE ', {_DB})",
+    "concat('INSERT INTO meta VALUES (1, ', chr(39), 'k;', c_name, chr(39), ', ', chr(39), 'a;', chr(10), lower(c_mktsegment), chr(39), chr(39), ';', chr(39), chr(39), 'b', chr(39), ')')",
+    "concat('-- note; of ', c_name, chr(10), 'UPDATE meta SET meta_value = ', chr(34), c_mktsegment, ';', chr(34), ' WHERE species_id = ', CAST(c_nationkey AS STRING), ' /* ', c_name, '; */')",
+]
+
+
+@query(f"SELECT db, CAST(unnest([0, 1, 2]) AS INT) AS ordinal, unnest([{', '.join(CUSTOMER_STATEMENTS)}]) AS statement FROM (SELECT *, {_DB} AS db FROM customer)")
+def sql_statements(spark, sf_dir):
+    """A script of each customer cut into its statements, at the semicolons outside quotes and comments."""
+    script = f"concat({CUSTOMER_STATEMENTS[0]}, ';', chr(10), chr(10), {CUSTOMER_STATEMENTS[1]}, '; ', {CUSTOMER_STATEMENTS[2]}, ';', chr(10), '-- the end;')"
+    texts = table(spark, sf_dir, "customer").selectExpr(f"{_DB} AS db", f"{script} AS script")
+    return scripts.statements(texts, ["db"], "script")
 
 
 @query("SELECT page_id, url, regexp_matches(url, '\\.example\\.com/') AS in_host, url LIKE '%#top' AS at_top FROM pages WHERE url LIKE '%/en/%'")
@@ -391,7 +494,10 @@ def last_write_wins(spark, sf_dir):
     return enrich.last_by(table(spark, sf_dir, "conversations"), "conv_id", F.col("text"), F.col("turn"), "last_text").select("conv_id", F.md5("last_text").alias("text_md5"))
 
 
-@query("""SELECT s, list_contains(l, 'genome') AS is_member, contains(s, 'genome') AS is_substring FROM (VALUES ('genome', ['genome']), ('genome,protein', ['genome,protein']), ('euk_genome_min', ['euk_genome_min']), ('protein', ['protein', 'genome'])) t(s, l)""")
+_MODES = "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'genome' WHEN 'BUILDING' THEN 'genome,protein' WHEN 'FURNITURE' THEN 'euk_genome_min' ELSE 'protein' END"
+
+
+@query(f"SELECT c_custkey, list_contains(string_split(s, ','), 'genome') AS is_member, contains(s, 'genome') AS is_substring FROM (SELECT c_custkey, {_MODES} AS s FROM customer)")
 def string_membership_vs_substring(spark, sf_dir):
-    rows = fx.frame(ship(spark), [("genome", ["genome"]), ("genome,protein", ["genome,protein"]), ("euk_genome_min", ["euk_genome_min"]), ("protein", ["protein", "genome"])], "s string, l array<string>")
-    return rows.select("s", naming.has_member(F.col("l"), "genome").alias("is_member"), naming.has_substring(F.col("s"), "genome").alias("is_substring"))
+    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey", f"{_MODES} AS s")
+    return rows.select("c_custkey", naming.has_member(F.split("s", ","), "genome").alias("is_member"), naming.has_substring(F.col("s"), "genome").alias("is_substring"))

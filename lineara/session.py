@@ -79,6 +79,19 @@ def _at_end() -> None:
         discard(spark)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df written to the shared folder and read back, for what is used more than once or must not be done twice."""
+    path = shared_dir(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a checkpoint in the shared folder."""
     if not df.sparkSession.sparkContext.getCheckpointDir():

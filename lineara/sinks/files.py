@@ -1,6 +1,4 @@
-"""Results as files and as rows of a database."""
-
-from collections.abc import Callable
+"""Results as files."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,66 +59,3 @@ def write_scripts(scripts: DataFrame, path: str, db: str = "db") -> None:
 def append_cache(df: DataFrame, path: str) -> None:
     """New results into a cache of results."""
     df.write.mode("append").parquet(path)
-
-
-def _on_databases(rows: DataFrame, columns: list[str], connect: Callable, partitions: int, work: Callable) -> DataFrame:
-    """work(cursor, rows of a database) in one transaction for each database: db, statements, error."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                connection, n, error = None, 0, None
-                try:
-                    connection = connect(row["db"])
-                    n = work(connection.cursor(), row["rows"])
-                    connection.commit()
-                except Exception as e:  # any database's error is a row of the result; the others go on
-                    n, error = 0, str(e)
-                    if connection is not None:
-                        connection.rollback()
-                finally:
-                    if connection is not None:
-                        connection.close()
-                out.append((row["db"], n, error))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.string()))], names=["db", "statements", "error"])
-
-    grouped = rows.groupBy("db").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
-    return grouped.repartition(partitions, "db").mapInArrow(run, "db string, statements long, error string")
-
-
-def insert_meta(patch: DataFrame, connect: Callable, table: str = "meta", partitions: int = 20, mark: str = "?") -> DataFrame:
-    """Put db, species_id, meta_key, meta_value into the databases' meta tables where the key is absent; all of a database's rows in one transaction.
-
-    An existing key is never updated and a second run adds nothing. Gives db, statements and the error, if any; nothing
-    is done before the result is asked for.
-    """
-    statement = (
-        f"INSERT INTO {table} (species_id, meta_key, meta_value) SELECT {mark}, {mark}, {mark} FROM (SELECT 1 AS one) t "
-        f"WHERE NOT EXISTS (SELECT 1 FROM {table} WHERE species_id = {mark} AND meta_key = {mark})"
-    )
-
-    def work(cursor, rows):
-        for r in rows:
-            cursor.execute(statement, (r["species_id"], r["meta_key"], r["meta_value"], r["species_id"], r["meta_key"]))
-        return len(rows)
-
-    return _on_databases(patch, ["species_id", "meta_key", "meta_value"], connect, partitions, work)
-
-
-def execute_scripts(statements: DataFrame, connect: Callable, partitions: int = 20) -> DataFrame:
-    """Run db, ordinal, statement (see metakeys.split_script) in order, in one transaction for each database: db, statements, error.
-
-    The connection is the database's own, so a statement that only chooses the database is left out, and empty ones too.
-    """
-
-    def work(cursor, rows):
-        texts = [r["statement"].strip().rstrip(";") for r in rows]
-        texts = [t for t in texts if t and not t.upper().startswith("USE ")]
-        for t in texts:
-            cursor.execute(t)
-        return len(texts)
-
-    return _on_databases(statements, ["ordinal", "statement"], connect, partitions, work)

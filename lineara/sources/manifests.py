@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import naming
-from ..operators import reports
 
 
 def read_core_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """core: each line after the header, trimmed; blank lines are dropped."""
-    files = spark.read.text(path, wholetext=True)
-    lines = reports.lines_after_header(files, [], "value")
+    """core: each line after the header, trimmed; blank lines are dropped.
+
+    A file's header is the line that begins its first block; other blocks begin behind it, so large files are read by
+    many tasks.
+    """
+    lines = spark.read.option("header", True).option("enforceSchema", True).option("sep", "\x00").option("quote", "").schema("line string").csv(path)
     return lines.select(naming.trimmed(F.col("line")).alias("core")).where("core <> ''")
 
 

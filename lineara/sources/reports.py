@@ -19,3 +19,9 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """path, length of files such as sequences; their contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     return files.select("path", "length")
+
+
+def read_scripts(spark: SparkSession, path: str) -> DataFrame:
+    """db (the file's name), path and script of all .sql files below path."""
+    files = read_files(spark, path, "*.sql")
+    return files.select(F.regexp_extract("name", r"^(.*)\.sql$", 1).alias("db"), "path", F.col("content").alias("script"))

@@ -1,10 +1,12 @@
-"""Taxonomy reports: from files, or from a web service by a Spark data source."""
+"""Taxonomy reports: from files, or from a web service for the ids of a frame."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators import lineage
+from ..session import exists, stored
+
+ANSWER = "taxon_id string, content string, error string"
 
 
 def read_taxa(spark: SparkSession, path: str) -> DataFrame:
@@ -14,46 +16,60 @@ def read_taxa(spark: SparkSession, path: str) -> DataFrame:
     return lineage.parents_of(files).select("taxon_id", "parents")
 
 
-class TaxonomySource(DataSource):
-    """Format "taxonomy": options url, ids (comma-separated), timeout in seconds, partitions. Gives taxon_id, content, error.
+def asked(ids: DataFrame, url: str, timeout: float = 10, partitions: int = 4, rate: float = 3, retries: int = 3, wait: float = 1) -> DataFrame:
+    """ANSWER for each distinct taxon_id of ids, from url/ID/dataset_report.
 
-    A request that fails gives a row with an error and no content; the others go on.
+    partitions tasks ask at most ``rate`` times a second each. What the service may answer later (no connection, 429,
+    5xx) is asked again up to ``retries`` times, after wait, 2 * wait, 4 * wait seconds; any other refusal is final. An
+    id without an answer has its error, and the others go on. Ids go from the frame to the tasks, not by the driver.
     """
 
-    @classmethod
-    def name(cls) -> str:
-        return "taxonomy"
+    def ask(batches):
+        import time
+        from urllib.error import HTTPError
+        from urllib.parse import quote
+        from urllib.request import urlopen
 
-    def schema(self) -> str:
-        return "taxon_id string, content string, error string"
+        import pyarrow as pa
 
-    def reader(self, schema) -> DataSourceReader:
-        return TaxonomyReader(self.options)
+        due = time.monotonic()
 
+        def answer(taxon):
+            nonlocal due
+            error = None
+            for attempt in range(retries + 1):
+                time.sleep(max(0.0, due - time.monotonic()) + (wait * 2 ** (attempt - 1) if attempt else 0))
+                due = time.monotonic() + 1 / rate
+                try:
+                    with urlopen(f"{url.rstrip('/')}/{quote(taxon, safe='')}/dataset_report", timeout=timeout) as got:
+                        return taxon, got.read().decode("utf-8"), None
+                except HTTPError as e:
+                    error = str(e)
+                    if e.code != 429 and e.code < 500:
+                        break
+                except (OSError, ValueError) as e:
+                    error = str(e)
+            return taxon, None, error
 
-class TaxonomyReader(DataSourceReader):
-    def __init__(self, options):
-        self.url, self.timeout = options["url"].rstrip("/"), float(options.get("timeout", "10"))
-        self.ids = [x.strip() for x in options["ids"].split(",") if x.strip()]
-        self.n = int(options.get("partitions", "4"))
+        for batch in batches:
+            rows = [answer(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], names=["taxon_id", "content", "error"])
 
-    def partitions(self):
-        return [InputPartition(self.ids[k :: self.n]) for k in range(min(self.n, len(self.ids)))]
+    wanted = ids.select(F.col("taxon_id").cast("string").alias("taxon_id")).where("taxon_id IS NOT NULL").distinct()
+    return wanted.repartition(partitions, "taxon_id").mapInArrow(ask, ANSWER)
 
-    def read(self, partition):
-        from urllib.error import URLError
-        from urllib.request import urlopen
 
-        for taxon in partition.value:
-            try:
-                with urlopen(f"{self.url}/{taxon}/dataset_report", timeout=self.timeout) as answer:
-                    yield taxon, answer.read().decode("utf-8"), None
-            except (URLError, OSError, ValueError) as e:
-                yield taxon, None, str(e)
+def lookup(ids: DataFrame, url: str, answers: str, **how) -> DataFrame:
+    """taxon_id, parents, error for each distinct taxon_id of ids; answers is a table that keeps what the service said.
 
-
-def read_taxa_service(spark: SparkSession, url: str, ids: list[str], timeout: float = 10, partitions: int = 4) -> DataFrame:
-    """taxon_id, parents, error from a web service."""
-    spark.dataSource.register(TaxonomySource)
-    rows = spark.read.format("taxonomy").options(url=url, ids=",".join(ids), timeout=str(timeout), partitions=str(partitions)).load()
-    return lineage.parents_of(rows).select("taxon_id", "parents", "error")
+    Only ids that the table lacks are asked for (see asked() for how), at once, and once: their answers are stored
+    before anything reads them, and those without an error join the table.
+    """
+    spark = ids.sparkSession
+    wanted = stored(ids.select(F.col("taxon_id").cast("string").alias("taxon_id")).where("taxon_id IS NOT NULL").distinct(), "taxon-ids")
+    known = spark.read.schema("taxon_id string, content string").parquet(answers) if exists(spark, answers) else spark.createDataFrame([], "taxon_id string, content string")
+    fresh = stored(asked(wanted.join(known.select("taxon_id"), "taxon_id", "left_anti"), url, **how), "taxon-answers")
+    fresh.where("error IS NULL").select("taxon_id", "content").write.mode("append").parquet(answers)
+    kept = spark.read.schema("taxon_id string, content string").parquet(answers).groupBy("taxon_id").agg(F.max("content").alias("content"))
+    told = wanted.join(kept, "taxon_id").select("taxon_id", "content", F.lit(None).cast("string").alias("error"))
+    return lineage.parents_of(told.unionByName(fresh.where("error IS NOT NULL"))).select("taxon_id", "parents", "error")

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from lineara import config, constants, schemas
 from lineara.functions import naming
 from lineara.operators import enrich, lineage, merge, metakeys, reports
+from lineara.operators import scripts as script_operators
 from lineara.plans import pipelines
 from lineara.plans import run as plan_run
 from lineara.queries import fixtures as fx
-from lineara.sinks import files
+from lineara.sinks import databases, files
 from lineara.sources import lineage as lineage_source
 from lineara.sources import manifests, meta, taxonomy
 from lineara.sources import reports as report_source
@@ -141,11 +142,6 @@ def test_sources_and_sinks(spark, tmp_path):
     assert len(text) == 1 and text[0].value.startswith("USE db_min;\n\nINSERT IGNORE INTO meta") and text[0].value.count("INSERT") == 11
 
 
-def test_taxonomy_source_reports_errors(spark):
-    got = taxonomy.read_taxa_service(spark, "http://127.0.0.1:9", ["1", "2"], timeout=1).collect()
-    assert {r.taxon_id for r in got} == {"1", "2"} and all(r.parents is None and r.error for r in got)
-
-
 def test_runs(spark, tmp_path):
     there = tmp_path / "m.csv"
     there.write_text("x\n")
@@ -200,11 +196,11 @@ def test_databases(spark, tmp_path):
     assert meta.read_meta_databases(names.where("db IS NULL"), connect).count() == 0
     patch = spark.createDataFrame([("db_a", 1, "k", "it's"), ("db_a", 1, "other", "new"), ("db_none", 1, "k", "v")], schemas.META)
     for _ in range(2):
-        got = {r.db: (r.statements, r.error) for r in files.insert_meta(patch, connect).collect()}
-        assert got["db_a"] == (2, None) and got["db_none"][0] == 0 and "meta" in got["db_none"][1]
+        got = {r.db: (r.statements, r.error) for r in databases.insert_meta(patch, connect).collect()}
+        assert got["db_a"] == (1 - _, None) and got["db_none"][0] == 0 and "meta" in got["db_none"][1]
     assert sorted(connect("db_a").execute("SELECT meta_key, meta_value FROM meta").fetchall()) == [("assembly.accession", "GCA of db_a"), ("k", "it's"), ("other", "x")]
     scripts = spark.createDataFrame([("db_b", "USE db_b;\n\nINSERT INTO meta VALUES (1, 'a', 'b');\nUPDATE meta SET meta_value = 'c' WHERE meta_key = 'a';"), ("db_a", "USE db_a;\n\nDELETE FROM meta;\nNO SQL;")], "db string, script string")
-    got = {r.db: (r.statements, r.error is None) for r in files.execute_scripts(metakeys.split_script(scripts, ["db"], "script"), connect).collect()}
+    got = {r.db: (r.statements, r.error is None) for r in databases.execute_scripts(script_operators.statements(scripts, ["db"], "script"), connect).collect()}
     assert got == {"db_b": (2, True), "db_a": (0, False)}
     assert connect("db_b").execute("SELECT meta_value FROM meta WHERE meta_key = 'a'").fetchall() == [("c",)]
     assert connect("db_a").execute("SELECT count(*) FROM meta").fetchone() == (3,), "a script that fails changes nothing"
@@ -228,7 +224,7 @@ def test_whole_runs(spark, tmp_path):
     assert (out["busco_files"], out["omark_files"], out["stats_files"], out["busco_documents"], out["busco_scripts"]) == (2, 2, 1, 2, 2)
     summary = tmp_path / "out/Apis_mellifera/GCA_000002.2/given/statistics/apis_mellifera_gca000002v2_genome_busco_short_summary.txt"
     assert "lineage dataset" in summary.read_text() and constants.DROPPED_LINE not in summary.read_text()
-    document = (tmp_path / "out/metakeys/db_min_busco_genome_metakey.json").read_text()
+    document = (tmp_path / "out/Apis_mellifera/GCA_000002.2/given/db_min_busco_genome_metakey.json").read_text()
     assert document.startswith('{\n    "assembly.busco_version": "5.7.1",') and json.loads(document)["core_db"] == "db_min"
     assert not list((tmp_path / "out").rglob("*.part"))
     assert connect("db_min").execute("SELECT count(*) FROM meta").fetchone() == (12,)

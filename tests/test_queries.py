@@ -19,7 +19,7 @@ def test_entry_module(spark):
 
     assert set(catalog.QUERIES) <= set(entry.queries())
     assert set(catalog.ORACLE_SQL) <= set(entry.oracle_sql())
-    assert entry.entry(spark).count() == 6
+    assert entry.entry(spark).count() > 100
 
 
 def test_broadcasts_are_left_to_the_planner(spark, sf):
