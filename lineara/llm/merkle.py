@@ -4,10 +4,10 @@ A row is a leaf, the hash of its five columns. Leaves of a source ascend by doc_
 their hash until one is left, the source's subroot; subroots, by source, become the root in the same way. A leaf's proof
 is what stands left and right of it and of its ancestors.
 
-Ranks come without a global sort. doc_ids are read as digits of 16 bits; for each level of digits a histogram counts rows
-by prefix, and prefix sums among the children of one prefix (65,536 at most) add up to what is before a bucket; a row's
-place inside its bucket is found there. If a bucket holds more than CROWDED rows, since a doc_id has many texts, digits
-of the leaf hash follow. Rows equal in all columns are counted before anything is shuffled and spread out afterwards.
+Ranks come without a global sort. doc_ids are read as four digits of 10 to 16 bits; for each level of digits a histogram
+counts rows by prefix, and prefix sums among the children of one prefix (65,536 at most) add up to what is before a
+bucket of 1,024 ids; a row's place inside its bucket is found there. If a bucket holds more than CROWDED rows, since a
+doc_id has many texts, digits of the leaf hash follow. Rows equal in all columns are counted before anything is shuffled and spread out afterwards.
 
 The digits of a rank in base FAN are a leaf's key in the trie. Nodes that share all but the last LEVELS digits, 729 at
 most, are reduced in one row, then what is left by the next LEVELS, so ten million documents take three shuffles and
@@ -26,7 +26,7 @@ from .common import saved
 
 FAN, LEVELS = 3, 6
 BLOCK = FAN**LEVELS
-CROWDED = 1 << 20
+CROWDED = 1 << 16
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -58,15 +58,18 @@ def leaves(docs: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "grp", "leaf", "told").agg(F.count(F.lit(1)).alias("copies"))
 
 
+#: Where the digits of a doc_id begin, in bits from the right; the lowest ten bits are found inside a bucket.
+SHIFTS = [48, 32, 20, 10]
+
+
 def _digits(crowded: bool) -> list[Column]:
-    """Digits of a row's place, the greatest first: of doc_id but its last one, and if buckets are crowded that one and the leaf's."""
+    """Digits of a row's place, the greatest first: of doc_id but the lowest bits, and if buckets are crowded those and the leaf's."""
     doc_id = F.col("doc_id")
-    part = lambda shift: F.shiftright(doc_id, shift).bitwiseAND(F.lit(65535))
-    first = F.shiftright(doc_id, 48) + 32769
-    digits = [first, part(32), part(16)]
-    if crowded:
-        digits += [part(0), *[F.conv(F.substring("leaf", at, 4), 16, 10).cast("long") for at in (1, 5)]]
-    return [F.coalesce(d, F.lit(0).cast("long")) if k < 3 + crowded else d for k, d in enumerate(digits)]
+    digits = [F.shiftright(doc_id, SHIFTS[0]) + 32769]  # a null's is 0, and comes first
+    for above, shift in zip(SHIFTS, SHIFTS[1:] + [0] * crowded):
+        digits.append(F.shiftright(doc_id, shift).bitwiseAND(F.lit((1 << above - shift) - 1)))
+    digits = [F.coalesce(d, F.lit(0).cast("long")) for d in digits]
+    return digits + [F.conv(F.substring("leaf", at, 4), 16, 10).cast("long") for at in (1, 5)] if crowded else digits
 
 
 def ranked(rows: DataFrame) -> DataFrame:
