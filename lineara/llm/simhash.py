@@ -400,35 +400,91 @@ def _sketches(shingle: int, words: int, bands: int, rows: int):
     return run
 
 
-def linked(points: np.ndarray, sets: list, asking: np.ndarray, nodes: np.ndarray, radius: int, similarity: float, at_once: int = 256) -> np.ndarray:
-    """For each of the points one that stands for its set: nodes and asking points whose exact Jaccard similarity reaches ``similarity``.
+class Prefixes:
+    """The sets of one shard with their shingles numbered from the rarest, and lists of the nodes by the shingles of their prefixes.
 
-    The nodes' BK-tree gives the pairs within the radius; each is decided by its sets of shingles, unless links already join it.
+    Two sets whose similarity is high enough share a shingle among the rarest few of each (the prefix), and the first one
+    they share stands so early in both that enough can follow it.
     """
-    forest, sizes = Forest(len(points)), np.array([len(s) for s in sets], dtype=np.int64)
-    if not len(nodes):
+
+    def __init__(self, sets: list, nodes: np.ndarray, similarity: float):
+        self.similarity, self.sizes = similarity, np.array([len(s) for s in sets], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        _, number, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
+        rank = np.empty(len(count), dtype=np.int64)
+        rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+        ranks = rank[number]
+        self.ranks = ranks[np.lexsort((ranks, owner))]  # of each set, the rarest first
+        self.present = np.zeros(len(count), dtype=bool)
+        self.lengths = self.sizes - np.ceil(similarity * self.sizes - 1e-9).astype(np.int64) + 1
+        place = np.arange(len(owner)) - self.starts[owner]
+        is_node = np.zeros(len(sets), dtype=bool)
+        is_node[nodes] = True
+        listed = np.flatnonzero(is_node[owner] & (place < self.lengths[owner]))
+        listed = listed[np.argsort(self.ranks[listed], kind="stable")]
+        self.tokens, self.nodes, self.places = self.ranks[listed], owner[listed], place[listed]
+
+    def prefix(self, k: int) -> np.ndarray:
+        return self.ranks[self.starts[k] : self.starts[k] + self.lengths[k]]
+
+    def needed(self, a, b):
+        """The shared shingles that sets of these sizes need."""
+        return np.ceil(self.similarity / (1 + self.similarity) * (self.sizes[a] + self.sizes[b]) - 1e-9)
+
+    def alike(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Which of the other sets are similar to set k: all are decided by one pass over their shingles."""
+        own = self.ranks[self.starts[k] : self.starts[k] + self.sizes[k]]
+        self.present[own] = True
+        n = self.sizes[others]
+        first = np.cumsum(n) - n
+        at = np.repeat(self.starts[others] - first, n) + np.arange(n.sum())
+        shared = np.add.reduceat(self.present[self.ranks[at]].astype(np.int64), first)
+        self.present[own] = False
+        return shared >= self.needed(k, others)
+
+
+def linked(sets: list, asking: np.ndarray, nodes: np.ndarray, similarity: float, at_once: int = 256) -> np.ndarray:
+    """For each of the sets one that stands for it: nodes and asking sets that similarities of at least ``similarity`` connect.
+
+    Neighbours in the lists of the rarest shingles are compared first, which joins most copies at the cost of a few
+    comparisons a set. Then each asking set is compared with what its prefix finds, unless it is joined to it already;
+    shingles that only its own joined sets have are passed over. So a group of unlike sets costs about its size, and so
+    does one of copies; every similar pair of an asking set and a node is decided.
+    """
+    forest = Forest(len(sets))
+    if not len(nodes) or not len(asking):
         return forest.up
-    bk = BKTree(points[nodes])
-    for k in range(0, len(asking), at_once):
-        part = asking[k : k + at_once]
-        found = list(bk.search(points[part], radius))
-        if not found:
+    index = Prefixes(sets, nodes, similarity)
+    empty = np.intersect1d(np.flatnonzero(index.sizes == 0), np.union1d(asking, nodes))
+    if len(np.intersect1d(empty, nodes)):
+        forest.union(np.full(len(empty), np.intersect1d(empty, nodes)[0]), empty)
+    asks = np.zeros(len(sets), dtype=bool)
+    asks[asking] = True
+    for depth in range(4):
+        near = np.flatnonzero((index.tokens[1:] == index.tokens[:-1]) & (index.places[1:] == depth))
+        for a, b in zip(index.nodes[near].tolist(), index.nodes[near + 1].tolist()):
+            if (asks[a] or asks[b]) and forest.up[a] != forest.up[b] and index.alike(a, np.array([b]))[0]:
+                forest.union(np.array([a]), np.array([b]))
+    begin = np.flatnonzero(np.append(True, index.tokens[1:] != index.tokens[:-1])) if len(index.tokens) else np.zeros(0, np.int64)
+    known, end = index.tokens[begin], np.append(begin[1:], len(index.tokens))
+    for k, x in enumerate(asking.tolist()):
+        if not len(known) or not index.sizes[x]:
             continue
-        a, b = part[np.concatenate([q for q, _ in found])], nodes[np.concatenate([n for _, n in found])]
-        alike = np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9
-        a, b = a[alike], b[alike]
-        while True:
-            apart = forest.up[a] != forest.up[b]
-            a, b = a[apart], b[apart]
-            if not len(a):
-                break
-            first = np.zeros(len(a), dtype=bool)
-            first[np.unique(a, return_index=True)[1]] = True
-            x, y = a[first], b[first]
-            same = np.fromiter((similar(sets[i], sets[j], similarity) for i, j in zip(x.tolist(), y.tolist())), dtype=bool, count=len(x))
-            if same.any():
-                forest.union(x[same], y[same])
-            a, b = a[~first], b[~first]
+        if k % at_once == 0:
+            low, high = (f.reduceat(forest.up[index.nodes], begin) for f in (np.minimum, np.maximum))
+        prefix = index.prefix(x)
+        at = np.minimum(np.searchsorted(known, prefix), len(known) - 1)
+        mine = np.flatnonzero((known[at] == prefix) & ~((low[at] == high[at]) & (forest.up[low[at]] == forest.up[x])))
+        lists = at[mine]
+        n = end[lists] - begin[lists]
+        rows = np.repeat(begin[lists] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found = index.nodes[rows]
+        room = np.minimum(index.sizes[x] - np.repeat(mine, n), index.sizes[found] - index.places[rows])
+        found = np.unique(found[(room >= index.needed(x, found)) & (forest.up[found] != forest.up[x])])
+        if len(found):
+            found = found[index.alike(x, found)]
+            forest.union(np.full(len(found), x), found)
     return forest.up
 
 
@@ -442,30 +498,28 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
 
-def _verified(radius: int, similarity: float):
-    """For applyInArrow over rows (component, shard, tree, rep, fps, shingles) of one shard; tree as in _shards."""
+def _verified(similarity: float):
+    """For applyInArrow over rows (component, shard, tree, rep, shingles) of one shard; tree as in _shards."""
     schema = arrow_schema("a long, b long")
 
     def run(table: pa.Table) -> pa.Table:
         reps, tree = np.asarray(table.column("rep")), np.asarray(table.column("tree"))
-        points = np.asarray(table.column("fps").combine_chunks().flatten()).view(np.uint64).reshape(len(reps), -1)
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("shingles").to_pylist()]
         nodes, asking = np.flatnonzero(tree > 0), np.flatnonzero(tree < 2)
-        nodes = nodes[np.argsort(reps[nodes], kind="stable")]
-        up = linked(points, sets, asking, nodes, radius, similarity)
+        up = linked(sets, asking, nodes, similarity)
         moved = np.flatnonzero(up != np.arange(len(up)))
         return pa.table([pa.array(reps[moved]), pa.array(reps[up[moved]])], schema=schema)
 
     return run
 
 
-def exact_edges(docs: DataFrame, candidates: DataFrame, shingle: int, words: int, radius: int, similarity: float, held: int) -> DataFrame:
+def exact_edges(docs: DataFrame, candidates: DataFrame, shingle: int, similarity: float, held: int) -> DataFrame:
     """Links (a, b) that connect all documents of a candidate group (node, component) whose exact similarity is high enough.
 
-    Each document's set of shingles is made again and goes to its own group once. A group of more than ``held`` shingles
-    is cut into trees of about that many, and all of its documents ask each tree.
+    Each document's set of shingles is made again and goes to its own group once. A group of more than ``held`` shingles,
+    or ``held`` / 256 documents, is cut into parts of about that many, and all of its documents ask each part.
     """
-    ddl = "component long, rep long, fps array<long>, shingles binary, size long"
+    ddl = "component long, rep long, shingles binary, size long"
     schema = arrow_schema(ddl)
 
     def run(batches):
@@ -473,16 +527,31 @@ def exact_edges(docs: DataFrame, candidates: DataFrame, shingle: int, words: int
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
                 sets = [shingle_set(t, shingle) for t in part.column(2).to_pylist()]
-                fps = np.array([majority([s], words) for s in sets], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(fps), pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) + 16 for s in sets], pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) + 256 for s in sets], pa.int64())], schema=schema)
 
     rows = texts(docs).join(candidates, F.col("doc_id") == F.col("node")).select("component", F.col("node").alias("rep"), "text").dropDuplicates()
     rows = saved(rows.mapInArrow(run, ddl), "sets")
     weigh = lambda size: F.ceil(F.sum("size") / F.lit(size)).cast("int")
     weights = saved(rows.groupBy("component").agg(weigh(held).alias("trees"), weigh(4 * held).alias("slices")), "group-weights")
-    rows = dealt(rows.join(weights, "component")).select("component", "shard", "tree", "rep", "fps", "shingles")
+    rows = dealt(rows.join(weights, "component")).select("component", "shard", "tree", "rep", "shingles")
     rows = rows.repartition(partitions(docs), "component", "shard")  # or else the join's partitioning would keep all shards of a group in one task
-    return rows.groupBy("component", "shard").applyInArrow(_verified(radius, similarity), "a long, b long")
+    return rows.groupBy("component", "shard").applyInArrow(_verified(similarity), "a long, b long")
+
+
+def refined(points: DataFrame, most: int) -> DataFrame:
+    """points (rep, fps, keys) in which a key that more than ``most`` of them share gives way to its pairs with each of their other keys.
+
+    Two documents that share such a key and any other still share a pair; of twenty keys a pair at a similarity of 0.8
+    that shares one shares no other with probability 0.00005.
+    """
+    slim = points.select("rep", F.posexplode("keys").alias("pos", "key"))
+    large = saved(slim.groupBy("key").count().where(F.col("count") > most), "large-keys")
+    if not large.head(1):
+        return points
+    hot = slim.join(large, "key").groupBy("rep").agg(F.collect_set("pos").alias("hot"))
+    pairs = lambda key, at: F.transform(F.filter("keys", lambda _, j: j != at), lambda other: F.xxhash64(F.lit(2), key, other))
+    finer = F.flatten(F.transform("keys", lambda key, at: F.when(F.array_contains("hot", at), pairs(key, at)).otherwise(F.array(key))))
+    return saved(points.join(hot, "rep", "left").select("rep", "fps", F.when(F.col("hot").isNull(), F.col("keys")).otherwise(finer).alias("keys")), "refined-points")
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 4, bands: int = 20, rows: int = 4, tree_size: int = 4096, held: int = 2_000_000) -> DataFrame:
@@ -491,8 +560,13 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
     Fingerprints and keys are made of distinct shingles and only find candidates; links are decided by the sets themselves.
     A pair of similarity s shares one of the MinHash keys with probability 1 - (1 - s ** rows) ** bands: 0.99997 at 0.8. Its
     64 * words fingerprint bits differ in a share acos(2s / (1 + s)) / pi, 0.15 at 0.8, or up to 3/16 where sets are as
-    small as 4 and 5 shingles; the BK-trees' radius is that and four deviations more. What such candidates reach is a
-    candidate group, in which every pair within the radius is decided. Equal sets are one point.
+    small as 4 and 5 shingles; the BK-trees' radius is that and four deviations more. At such a radius a tree's search
+    passes over little, so a key with more than ``tree_size`` sets is refined before trees are built. What candidates
+    reach is a candidate group, in which every pair is decided. Equal sets are one point.
+
+    Null texts are empty, and texts without a word are alike; texts may be of any length (their sets are made in parts);
+    a null doc_id joins no group, but has the component of equal sets; equal rows are equal documents; an empty table
+    gives no rows; further columns are ignored.
     """
     import math
 
@@ -500,9 +574,9 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
     radius = math.ceil(64 * words * share + 4 * math.sqrt(64 * words * share * (1 - share)))
     fps = saved(texts(docs).mapInArrow(_sketches(shingle, words, bands, rows), SKETCH), "fingerprints")
     points = saved(fps.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps"), F.first("keys").alias("keys")).where("rep is not null"), "points")
-    near = tree_edges(points.select("rep", "fps", "keys"), F.col("keys"), radius, tree_size, 256)
+    near = tree_edges(refined(points.select("rep", "fps", "keys"), tree_size), F.col("keys"), radius, tree_size, 256)
     candidates = components(near)
     candidates = candidates.union(candidates.select("component", "component")).distinct()
-    found = components(exact_edges(docs, candidates, shingle, words, radius, similarity, held))
+    found = components(exact_edges(docs, candidates, shingle, similarity, held))
     reps = points.join(found, points["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(reps, "digest", "left").select("doc_id", "component_id")

@@ -271,3 +271,82 @@ def test_spans_cover_the_words(spark):
     docs = spark.createDataFrame([(1, "Ünd One, two; THREE four! five"), (2, "one two")], "doc_id long, text string")
     bench = spark.createDataFrame([("q", "one two three")], "item_id string, text string")
     assert {r.doc_id: r.text for r in fm_index.cleaned(docs, bench).collect()} == {1: "Ünd  four! five", 2: "one two"}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def random_sets(rng, n):
+    """Copies with edits, sets about the limit, sets of one shingle, equal and empty ones."""
+    out = []
+    while len(out) < n:
+        base = rng.integers(0, 1 << 62, int(rng.choice([0, 1, 3, 4, 10, 60, 300])), dtype=np.uint64)
+        for _ in range(int(rng.integers(1, 9))):
+            s = base.copy()
+            change = rng.random(len(s)) < rng.choice([0, 0.02, 0.1, 0.12, 0.3])
+            s[change] = rng.integers(0, 1 << 62, int(change.sum()), dtype=np.uint64)
+            out.append(np.unique(s))
+    return out[:n]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_linked_decides_all_pairs(seed):
+    rng = np.random.default_rng(seed)
+    sets = random_sets(rng, 150)
+    kind = rng.integers(0, 3, len(sets)) if seed else np.ones(len(sets), dtype=int)  # 0 asks, 1 both, 2 a node
+    asking, nodes = np.flatnonzero(kind < 2), np.flatnonzero(kind > 0)
+    plain = [set(s.tolist()) for s in sets]
+    want = classes(range(len(sets)), [(a, b) for a in asking.tolist() for b in nodes.tolist() if a != b and jaccard(plain[a], plain[b]) >= 0.8])
+    got = simhash.linked(sets, asking, nodes, 0.8, at_once=16)
+    assert got.tolist() == [want[k] for k in range(len(sets))]
+
+
+@pytest.mark.parametrize("kind", ["single", "template", "copies"])
+def test_a_group_is_decided_quickly(kind):
+    """4,000 documents of one candidate group: unlike ones of one shingle, ones that share three quarters, and copies with edits."""
+    import time
+
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    own = lambda n: rng.integers(0, 1 << 62, n, dtype=np.uint64)
+    make = {"single": lambda: own(1), "template": lambda: np.concatenate([shared[:255], own(45)]), "copies": lambda: np.concatenate([shared[rng.random(300) > 0.03], own(5)])}[kind]
+    sets = [np.unique(make()) for _ in range(4000)]
+    t = time.perf_counter()
+    up = simhash.linked(sets, np.arange(4000), np.arange(4000), 0.8)
+    assert time.perf_counter() - t < 30
+    assert len(np.unique(up)) == (1 if kind == "copies" else 4000)
+
+
+def test_similar_documents_on_a_whole_table(spark):
+    """All pairs of sf0.01 by their exact sets: links, components and recall."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: frozenset(simhash.shingle_set(r.text or "", 5).tolist()) for r in docs.collect()}
+    by = collections.defaultdict(set)
+    for i, s in sets.items():
+        for h in s or [None]:
+            by[h].add(i)
+    pairs = {(a, b) for group in by.values() if len(group) < 400 for a in group for b in group if a < b and jaccard(sets[a], sets[b]) >= 0.8}
+    want = classes(sorted(sets), pairs)
+    assert len(pairs) > 50
+    for tree_size in (4096, 4):
+        got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs, tree_size=tree_size).collect()}
+        assert got == want
+
+
+def test_hot_keys_are_refined_and_lose_nothing(spark):
+    """A passage that all share makes keys that all share; pairs of keys part them, and the near pairs are still found."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    common, rows_ = " ".join(word() for _ in range(60)), []
+    for k in range(150):
+        mine = [word() for _ in range(60)]
+        rows_.append((2 * k, common + " " + " ".join(mine)))
+        mine[30] = word()
+        rows_.append((2 * k + 1, common + " " + " ".join(mine)))
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.similar_documents(docs, tree_size=16).collect()}
+    assert got == {k: k // 2 * 2 for k in range(300)}
+    points = spark.createDataFrame([(k, [0], [5, k + 100, k + 1000]) for k in range(20)], "rep long, fps array<long>, keys array<long>")
+    keys = {x["rep"]: x["keys"] for x in simhash.refined(points, 10).collect()}
+    assert all(len(v) == 4 and 5 not in v for v in keys.values()) and simhash.refined(points, 100) is points
