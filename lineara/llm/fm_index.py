@@ -8,12 +8,14 @@ built over these numbers, with a zero after each document:
 * the Burrows-Wheeler transform in a wavelet matrix of packed bits, which counts a word before a row,
 * the text positions of every SAMPLE-th place, from which the others are reached by walking back.
 
-All windows of the benchmark (``window`` consecutive words of an item; a shorter item is one window) are searched
-backwards at once; rows found are located, and the places are merged into removal spans.
+All distinct windows of the benchmark (``window`` consecutive words of an item; a shorter item is one window) are searched
+backwards at once, each once however many items have it; rows found are located in bounded parts, and the places are
+merged into removal spans.
 
 The benchmark's windows go to every task, so their size is checked: more than ``max_words`` words of items are refused
 and have to be searched in parts. Null texts have no words; a null doc_id stays null; null or wordless items have no
-windows; equal rows are separate documents; items with the same id count once, and null ids hit but aren't listed; empty
+windows; equal rows are separate documents; items with the same id count once, and null ids hit but aren't listed; ids are
+listed in the order of strings, and one that holds a comma looks like two in report()'s joined list; empty
 tables give no rows, or documents without hits. Other columns are ignored; cleaned() keeps
 them, but for ones named as its results.
 """
@@ -172,8 +174,27 @@ class FMIndex:
         return out
 
 
+def distinct(ids: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of ids stand for equal ones, and for each window the number of the one that stands for it.
+
+    Hashes group them and words decide: windows of one hash that differ from the first of it stand for themselves.
+    """
+    hashes = np.zeros(len(begins), dtype=np.uint64)
+    for k in range(size):
+        hashes = (hashes ^ ids[begins + k].astype(np.uint64)) * np.uint64(0x9E3779B185EBCA87)
+        hashes ^= hashes >> np.uint64(29)
+    _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+    same = np.ones(len(begins), dtype=bool)
+    for k in range(size):
+        same &= ids[begins + k] == ids[begins[first[of]] + k]
+    own = np.flatnonzero(~same)
+    of[own] = len(first) + np.arange(len(own))
+    return np.concatenate([first, own]), of
+
+
 class Phrases:
-    """The windows of some benchmark items: their words as numbers one after another, and where windows of each length begin."""
+    """The distinct windows of some benchmark items: their words as numbers one after another, where windows of each
+    length begin, and the items that have each window."""
 
     def __init__(self, items: list, window: int):
         numbers, ids, begins, at = Numbers(), [], {}, 0
@@ -184,26 +205,44 @@ class Phrases:
             if size:
                 ids.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)) - 1)
                 n = len(words) - size + 1
-                begins.setdefault(size, []).append((np.arange(at, at + n), np.full(n, k, dtype=np.int32)))
+                begins.setdefault(size, []).append((np.arange(at, at + n), np.full(n, k, dtype=np.int64)))
                 at += len(words)
         self.vocabulary = list(numbers)
         self.ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-        self.groups = [(size, *map(np.concatenate, zip(*parts))) for size, parts in sorted(begins.items())]
+        self.groups = []  # size, begins of distinct windows, where the items of each begin, items
+        for size, parts in sorted(begins.items()):
+            places, owners = map(np.concatenate, zip(*parts))
+            first, of = distinct(self.ids, places, size)
+            pairs = np.unique(of * len(items) + owners)
+            self.groups.append((size, places[first], np.searchsorted(pairs, np.arange(len(first) + 1) * len(items)), pairs % len(items)))
 
     def among(self, numbers: dict, at_once: int = 1 << 16):
-        """Yields (windows in the numbers of a shard, their length, their items) of the windows whose words the shard all has."""
+        """Yields (windows in the numbers of a shard, their length, the items of each as a function) of the windows whose words the shard all has."""
         own = np.fromiter((numbers.get(w, 0) for w in self.vocabulary), dtype=np.int64, count=len(self.vocabulary))
         text = own[self.ids]
         absent = np.concatenate([[0], np.cumsum(text == 0)])
-        for size, begins, items in self.groups:
-            there = absent[begins + size] == absent[begins]
-            begins, items = begins[there], items[there]
-            for k in range(0, len(begins), at_once):
-                yield text[begins[k : k + at_once, None] + np.arange(size)], size, items[k : k + at_once]
+        for size, begins, starts, items in self.groups:
+            there = np.flatnonzero(absent[begins + size] == absent[begins])
+            for k in range(0, len(there), at_once):
+                part = there[k : k + at_once]
+                yield text[begins[part, None] + np.arange(size)], size, lambda w, part=part, starts=starts, items=items: items[starts[part[w]] : starts[part[w] + 1]].tolist()
+
+
+def occurrences(lo: np.ndarray, hi: np.ndarray, at_once: int = 1 << 18):
+    """Yields (number of the window, row) for all rows of all windows, ``at_once`` at a time, however many one window has."""
+    ends = np.cumsum(hi - lo)
+    for k in range(0, int(ends[-1]) if len(ends) else 0, at_once):
+        at = np.arange(k, min(k + at_once, int(ends[-1])))
+        w = np.searchsorted(ends, at, "right")
+        yield w, hi[w] - (ends[w] - at)
 
 
 def scan(documents: list, phrases: Phrases) -> list:
-    """For each text: n_words, hit words as merged [start, end) word spans, and ids of items found."""
+    """For each text: n_words, hit words as merged [start, end) word spans, and ids of items found.
+
+    Each distinct window is searched once and its places are found in bounded parts; what it says of a document goes to
+    the window's items once for each part.
+    """
     numbers, parts, starts, at = Numbers(), [], [], 0
     for document in documents:
         got = words_of(document)
@@ -215,15 +254,13 @@ def scan(documents: list, phrases: Phrases) -> list:
     begin = np.array([*starts, at])
     cover, found = np.zeros(at + 1, dtype=np.int64), [set() for _ in documents]
     for windows, size, items in phrases.among(numbers):
-        lo, hi = index.search(windows)
-        n = hi - lo
-        rows = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        places = index.locate(rows)
-        np.add.at(cover, places, 1)
-        np.add.at(cover, places + size, -1)
-        pairs = np.unique(np.stack([np.searchsorted(begin, places, "right") - 1, np.repeat(items, n)]), axis=1)
-        for d, p in pairs.T.tolist():
-            found[d].add(phrases.names[p])
+        for w, rows in occurrences(*index.search(windows)):
+            places = index.locate(rows)
+            np.add.at(cover, places, 1)
+            np.add.at(cover, places + size, -1)
+            pairs = np.unique((np.searchsorted(begin, places, "right") - 1) * len(windows) + w)
+            for d, k in zip((pairs // len(windows)).tolist(), (pairs % len(windows)).tolist()):
+                found[d].update(phrases.names[p] for p in items(k))
     hit = np.cumsum(cover)[:-1] > 0
     edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
     spans: list = [[] for _ in documents]

@@ -350,3 +350,53 @@ def test_hot_keys_are_refined_and_lose_nothing(spark):
     points = spark.createDataFrame([(k, [0], [5, k + 100, k + 1000]) for k in range(20)], "rep long, fps array<long>, keys array<long>")
     keys = {x["rep"]: x["keys"] for x in simhash.refined(points, 10).collect()}
     assert all(len(v) == 4 and 5 not in v for v in keys.values()) and simhash.refined(points, 100) is points
+
+
+def repeats(n_items, n_words=50_000):
+    """A text of two words in turn, and many items of one short text, with one item of another."""
+    return [" ".join(["alpha", "beta"] * (n_words // 2))], [(f"i{k}", "beta alpha") for k in range(n_items)] + [("other", "alpha beta alpha"), ("none", "beta beta")]
+
+
+def test_equal_items_are_searched_once():
+    import time
+    import tracemalloc
+
+    took, peak = {}, {}
+    for n in (20, 200):
+        docs, items = repeats(n)
+        t = time.perf_counter()
+        phrases = fm_index.Phrases(items, 10)
+        got = fm_index.scan(docs, phrases)
+        took[n] = time.perf_counter() - t
+        assert got == [(50_000, [(0, 49_999)], {f"i{k}" for k in range(n)} | {"other"})]
+        tracemalloc.start()
+        fm_index.scan(docs, phrases)
+        peak[n] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert took[200] < 2 * took[20] + 0.2 and peak[200] < 1.2 * peak[20]
+
+
+def test_windows_are_told_apart(monkeypatch):
+    """Also those whose hashes are equal."""
+    rng = np.random.default_rng(0)
+    ids = rng.integers(0, 3, 500).astype(np.int32)
+    begins = np.arange(496)
+    for broken in (False, True):
+        if broken:
+            unique = np.unique
+            monkeypatch.setattr(np, "unique", lambda x, **how: unique(x % np.uint64(7) if x.dtype == np.uint64 else x, **how))
+        first, of = fm_index.distinct(ids, begins, 4)
+        monkeypatch.undo()
+        for k in range(496):
+            assert (ids[k : k + 4] == ids[begins[first[of[k]]] : begins[first[of[k]]] + 4]).all()
+        assert broken or len(first) == len({tuple(ids[k : k + 4]) for k in range(496)})
+
+
+def test_occurrences_come_in_parts():
+    lo, hi = np.array([5, 9, 2, 100]), np.array([8, 9, 4, 130])
+    want = [(w, r) for w in range(4) for r in range(lo[w], hi[w])]
+    for at_once in (1, 4, 7, 1000):
+        parts = list(fm_index.occurrences(lo, hi, at_once))
+        assert all(len(w) <= at_once for w, _ in parts)
+        assert [(int(a), int(b)) for w, r in parts for a, b in zip(w, r)] == want
+    assert list(fm_index.occurrences(lo[:0], hi[:0])) == []
