@@ -1,5 +1,7 @@
 """Whole runs over all records at once. Scores come from programs outside; here they are a frame of reports."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -7,6 +9,8 @@ from .. import constants
 from ..config import Parameters
 from ..functions import naming
 from ..operators import enrich, lineage, merge, metakeys, reports
+from ..session import stored
+from ..sources import sequences
 
 PATH_KEYS = {constants.ACCESSION: "gca", constants.TAXONOMY_ID: "taxon_id", constants.SCIENTIFIC_NAME: "scientific_name", constants.PRODUCTION_NAME: "production_name", constants.ANNOTATION_SOURCE: "annotation_source"}
 #: What a scorer's result depends on.
@@ -88,10 +92,11 @@ def patch_of(eav: DataFrame) -> DataFrame:
     return eav.select("db", F.lit(1).alias("species_id"), "meta_key", "meta_value")
 
 
-def busco(manifest: DataFrame, meta: DataFrame, taxa: DataFrame, datasets: DataFrame, found: DataFrame, params: Parameters, cache: DataFrame | None = None) -> dict[str, DataFrame]:
+def busco(manifest: DataFrame, meta: DataFrame, taxa: DataFrame, datasets: DataFrame, found: DataFrame, params: Parameters, cache: DataFrame | Callable | None = None) -> dict[str, DataFrame]:
     """A run over databases or assemblies: tasks, reports, summaries, metakeys, documents, meta after the patch, scripts, quarantine.
 
-    cache: earlier reports with what they depend on (CACHE_KEY, path, content). Tasks are what it lacks, and its reports
+    cache: earlier reports with what they depend on (CACHE_KEY, path, content), or a function that gives those of a
+    frame's keys. Tasks are what it lacks, and its reports
     of the other tasks join those found. A report without a record in the manifest is set aside (no_record): it gives
     no summary, no metakey and no patch. Documents and scripts carry the publish_dir of their record.
     """
@@ -100,6 +105,7 @@ def busco(manifest: DataFrame, meta: DataFrame, taxa: DataFrame, datasets: DataF
     records = described(records, meta, params.default_source)
     wanted = tasks(records, taxa, datasets, params)
     if cache is not None:
+        cache = stored(cache(wanted), "cached-reports") if callable(cache) else cache
         once = cache.groupBy(*CACHE_KEY).agg(F.max(F.struct("path", "content")).alias("v"))
         known = wanted.join(once, CACHE_KEY).select("gca", F.col("core").alias("db"), "mode", F.col("v.path").alias("path"), F.col("v.content").alias("content"))
         found = found.select(*known.columns).unionByName(known)
@@ -125,10 +131,18 @@ def omark(manifest: DataFrame, meta: DataFrame, found: DataFrame, default_source
     return rows.select("db", "gca", "publish_dir", naming.omark_name(F.col("species"), F.col("gca")).alias("summary_name"), "content")
 
 
-def protein_inputs(manifest: DataFrame, meta: DataFrame) -> DataFrame:
-    """gca, dbname, path of each database's dumped proteins, and an empty dataset where none was assigned."""
+def protein_inputs(manifest: DataFrame, meta: DataFrame, dumped: DataFrame | None = None) -> DataFrame:
+    """gca, dbname, path of each database's dumped proteins, and an empty dataset where none was assigned.
+
+    dumped: the sequences themselves (see sources.sequences), found by the names of their files; then proteins and
+    residues are their numbers, null where there is no file or no sequence in it.
+    """
     records = described(manifest, meta)
-    return records.select("gca", F.col("core").alias("dbname"), naming.translations_name(F.col("production_name")).alias("path"), F.lit(None).cast("string").alias("busco_dataset"))
+    rows = records.select("gca", F.col("core").alias("dbname"), naming.translations_name(F.col("production_name")).alias("path"), F.lit(None).cast("string").alias("busco_dataset"))
+    if dumped is None:
+        return rows
+    counted = sequences.counts(dumped).select(F.element_at(F.split("path", "/"), -1).alias("path"), F.col("records").alias("proteins"), "residues")
+    return rows.join(counted.groupBy("path").agg(F.sum("proteins").alias("proteins"), F.sum("residues").alias("residues")), "path", "left").select(*rows.columns, "proteins", "residues")
 
 
 def statistics(manifest: DataFrame, meta: DataFrame, statements: DataFrame, target: DataFrame, apply: bool, default_source: str | None = None) -> dict[str, DataFrame]:

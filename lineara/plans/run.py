@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from .. import constants, schemas
 from ..config import Parameters
 from ..operators import enrich, metakeys, scripts
-from ..session import exists, stored
-from ..sinks import databases, files
+from ..session import stored
+from ..sinks import caches, databases, publication
 from ..sources import lineage as lineage_source
 from ..sources import manifests, taxonomy
 from ..sources import meta as meta_source
@@ -20,15 +20,11 @@ from . import pipelines
 def _published(rows: DataFrame, out_dir: str) -> int:
     """Summaries under their own names, in the statistics folder of their record."""
     folder = F.concat("publish_dir", F.lit("/" + constants.STATISTICS_FOLDER))
-    return files.write_named(rows, out_dir, folder, F.col("summary_name"), F.col("content"))
+    return publication.publish(rows, out_dir, folder, F.col("summary_name"), F.col("content"))["files"]
 
 
-def _cache(spark: SparkSession, params: Parameters) -> DataFrame | None:
-    if not params.cache_dir:
-        return None
-    if not exists(spark, params.cache_dir):
-        return spark.createDataFrame([], schemas.CACHE)
-    return spark.read.schema(schemas.CACHE).parquet(params.cache_dir)
+def _cache(spark: SparkSession, params: Parameters) -> caches.Cache | None:
+    return caches.Cache(spark, params.cache_dir, pipelines.CACHE_KEY, schemas.CACHE) if params.cache_dir else None
 
 
 def inputs(spark: SparkSession, params: Parameters, meta: DataFrame | None, taxa: DataFrame | None, datasets: DataFrame | None) -> tuple:
@@ -79,14 +75,14 @@ def run(
     if params.run_busco_core or params.run_busco_ncbi:
         cache = _cache(spark, params)
         found = none if reports is None else reports
-        frames = pipelines.busco(manifest, meta, taxa, datasets, found, params, cache)
+        frames = pipelines.busco(manifest, meta, taxa, datasets, found, params, cache and cache.lookup)
         out |= {"busco": frames, "busco_files": _published(frames["summaries"], params.out_dir)}
-        if params.cache_dir:
+        if cache is not None:
             new = frames["tasks"].withColumnRenamed("core", "db").join(found, ["gca", "db", "mode"]).select("gca", "busco_dataset", "mode", "path", "content")
-            files.append_cache(new, params.cache_dir)
+            cache.append(new)
         if params.apply_busco_metakeys:
-            out["busco_documents"] = files.write_named(frames["documents"], params.out_dir, F.col("publish_dir"), F.col("name"), metakeys.indented("document"))
-            out["busco_scripts"] = files.write_named(frames["scripts"], params.out_dir, F.col("publish_dir"), F.concat("db", F.lit(".sql")), F.col("script"))
+            out["busco_documents"] = publication.publish(frames["documents"], params.out_dir, F.col("publish_dir"), F.col("name"), metakeys.indented("document"))["files"]
+            out["busco_scripts"] = publication.publish(frames["scripts"], params.out_dir, F.col("publish_dir"), F.concat("db", F.lit(".sql")), F.col("script"))["files"]
             if connect is not None:
                 out["busco_applied"] = applied(frames["metakeys"], "busco")
     if params.run_omark:
@@ -96,7 +92,7 @@ def run(
         if wanted and rows is not None:
             frames = pipelines.statistics(manifest, meta, rows, meta, apply, params.default_source)
             folder = F.concat("publish_dir", F.lit("/" + constants.STATISTICS_FOLDER))
-            out |= {kind: frames, f"{kind}_files": files.write_named(frames["scripts"], params.out_dir, folder, F.concat("db", F.lit(f"_{kind}.sql")), F.col("script"))}
+            out |= {kind: frames, f"{kind}_files": publication.publish(frames["scripts"], params.out_dir, folder, F.concat("db", F.lit(f"_{kind}.sql")), F.col("script"))["files"]}
             if apply and connect is not None:
                 out[f"{kind}_applied"] = applied(rows, kind)
     if params.sql_dir:

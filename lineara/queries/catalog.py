@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from .. import config, constants, schemas
 from ..functions import naming
-from ..operators import enrich, intervals, lineage, merge, metakeys, reports, scripts
+from ..operators import enrich, history, intervals, lineage, merge, metakeys, reports, scripts
 from ..plans import pipelines
 from ..session import ship
+from ..sources import sequences
 from . import fixtures as fx
 
 #: The source of records that name none, in these queries.
@@ -390,6 +391,31 @@ def assembly_run_summaries(spark, sf_dir):
     return rows.select("db", "gca", "publish_dir", "summary_name", F.md5("content").alias("content_md5"))
 
 
+@query("""SELECT o_custkey AS db, o_orderpriority AS meta_key, arg_max(o_orderstatus, o_orderkey) AS meta_value FROM orders GROUP BY ALL""")
+def patch_history_last_write(spark, sf_dir):
+    """Orders as a history of patches, one after another: what the last write of each key leaves."""
+    rows = table(spark, sf_dir, "orders").selectExpr("o_custkey AS db", "o_orderpriority AS meta_key", "o_orderstatus AS meta_value", "o_orderkey")
+    return history.last_write(rows, ["db", "meta_key"], ["meta_value"], [F.col("o_orderkey")])
+
+
+@query("""SELECT o_custkey AS db, o_orderpriority AS meta_key, arg_min(o_orderstatus, o_orderkey) AS meta_value FROM orders GROUP BY ALL""")
+def patch_history_insert_ignore(spark, sf_dir):
+    """The same history where known keys are never updated."""
+    rows = table(spark, sf_dir, "orders").selectExpr("o_custkey AS db", "o_orderpriority AS meta_key", "o_orderstatus AS meta_value", "o_orderkey")
+    return history.first_write(rows, ["db", "meta_key"], ["meta_value"], [F.col("o_orderkey")])
+
+
+@query("""SELECT conv_id, CAST(unnest(range(n)) AS INT) AS ordinal, unnest(ids) AS id, unnest(roles) AS description, md5(unnest(said)) AS residues_md5, unnest(sizes) AS length FROM (
+    SELECT conv_id, count(*) AS n, list('t' || turn ORDER BY turn) AS ids, list(role ORDER BY turn) AS roles, list(regexp_replace(text, '\s+', '', 'g') ORDER BY turn) AS said,
+           list(length(regexp_replace(text, '\s+', '', 'g')) ORDER BY turn) AS sizes FROM conversations WHERE NOT contains(text, '>') GROUP BY conv_id)""")
+def sequence_records(spark, sf_dir):
+    """A text in the format of sequence files for each conversation, with its turns as records, read back into records."""
+    turns = table(spark, sf_dir, "conversations").where("NOT contains(text, '>')")
+    line = F.concat(F.lit(">t"), F.col("turn").cast("string"), F.lit(" "), "role", F.lit("\n"), "text", F.lit("\n"))
+    texts = reports.concatenated(turns, "conv_id", line, F.col("turn"))
+    return sequences.records(texts, ["conv_id"], "content").select("conv_id", "ordinal", "id", "description", F.md5("residues").alias("residues_md5"), "length")
+
+
 @query("SELECT c_custkey, mode FROM customer CROSS JOIN (VALUES ('genome'), ('protein')) m(mode)")
 def fanout_modes(spark, sf_dir):
     return enrich.fan_out(table(spark, sf_dir, "customer").select("c_custkey"), config.Parameters().modes())

@@ -38,8 +38,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-#: Folders made under spark.checkpoint.dir, which go when the program ends or earlier by discard().
+#: Folders made under spark.checkpoint.dir, which go when the program ends or earlier by discard(), and what deletes them
+#: when the session has been stopped by then: the JVM outlives it.
 MADE: list = []
+HADOOP: list = []
+#: Spark's folders of checkpoints, which only the end of the program deletes.
+CHECKPOINTS: list = []
+
+
+def _remember(sc) -> None:
+    if not HADOOP:
+        atexit.register(_at_end)
+    HADOOP[:] = [sc._jvm, sc._jsc.hadoopConfiguration()]
 
 
 def shared_dir(spark: SparkSession, what: str = "") -> str:
@@ -57,26 +67,31 @@ def shared_dir(spark: SparkSession, what: str = "") -> str:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
     top = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
     made = f"{top.rstrip('/')}/{uuid.uuid4().hex}{what and '-' + what}"
-    if not MADE:
-        atexit.register(_at_end)
+    _remember(spark.sparkContext)
     MADE.append(made)
     return made
 
 
+def _delete(made: str) -> None:
+    jvm, conf = HADOOP
+    path = jvm.org.apache.hadoop.fs.Path(made)
+    path.getFileSystem(conf).delete(path, True)
+
+
 def discard(spark: SparkSession, since: int = 0, but: tuple = ()) -> None:
-    """Delete the folders made after the first ``since`` of MADE, except those named in ``but`` and, before the end, that of checkpoints."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    now = (spark.sparkContext.getCheckpointDir() or "") if since else ""
+    """Delete the folders made after the first ``since`` of MADE, except those named in ``but`` and that of checkpoints, which Spark goes on writing to."""
+    now = spark.sparkContext.getCheckpointDir() or ""
     for made in [m for m in MADE[since:] if m not in but and not now.startswith(m)]:
-        path = jvm.org.apache.hadoop.fs.Path(made)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(made)
         MADE.remove(made)
 
 
 def _at_end() -> None:
-    spark = SparkSession.getActiveSession()
-    if MADE and spark is not None and spark.sparkContext._jsc is not None:
-        discard(spark)
+    for made in MADE + CHECKPOINTS:
+        try:
+            _delete(made)
+        except Exception:  # the JVM is gone, or the folder system: nothing is left to ask
+            return
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -93,7 +108,11 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the shared folder."""
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
+    """df with its lineage cut by a checkpoint in the shared folder. Spark's own folder there, one for each application, goes with the others at the end."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
+    elif sc.getCheckpointDir() not in CHECKPOINTS:
+        _remember(sc)
+        CHECKPOINTS.append(sc.getCheckpointDir())
     return df.checkpoint()

@@ -15,7 +15,7 @@ from lineara.plans import run as plan_run
 from lineara.queries import fixtures as fx
 from lineara.sinks import databases, files
 from lineara.sources import lineage as lineage_source
-from lineara.sources import manifests, meta, taxonomy
+from lineara.sources import manifests, meta, sequences, taxonomy
 from lineara.sources import reports as report_source
 from lineara.streaming import manifests as streams
 
@@ -171,6 +171,10 @@ def test_runs(spark, tmp_path):
     assert (joined.content, joined.summary_name) == ("onetwo", "apis_mellifera_gca0000022_omark_proteins_detailed_summary.txt".replace("gca0000022", "gca000002v2"))
     inputs = {r.dbname: r.path for r in pipelines.protein_inputs(manifest, meta_rows).collect()}
     assert inputs["db_min"] == "apis_mellifera_translations.fa" and inputs["db_met"] == "db_met_translations.fa"
+    (tmp_path / "dump").mkdir()
+    (tmp_path / "dump/apis_mellifera_translations.fa").write_text(">a\nMK\nL\n>b x\nM\n")
+    counted = {r.dbname: (r.proteins, r.residues) for r in pipelines.protein_inputs(manifest, meta_rows, sequences.read_sequences(spark, str(tmp_path / "dump"))).collect()}
+    assert counted["db_min"] == (2, 4) and counted["db_met"] == (None, None) and len(counted) == len(inputs)
     stats = spark.createDataFrame([("db_min", "s.k", "1"), ("db_met", "assembly.busco", "new")], "db string, meta_key string, meta_value string")
     applied = pipelines.statistics(manifest, meta_rows, stats, meta_rows, True)
     assert applied["published"].count() == 2 == applied["scripts"].count() and applied["meta"].count() == meta_rows.count() + 1
