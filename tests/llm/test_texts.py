@@ -248,6 +248,44 @@ def test_main_text_drops_nothing_else():
     assert main_text.main_text(f"<article>{long}</article>").count("\n") == 19_999
 
 
+NAMES = ["promoter", "promotion", "cookies", "menu", "modal", "consent", "notices", "note notice", "sponsor", "navigation"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("as_id", [False, True])
+def test_main_text_keeps_sections_of_articles_whatever_they_are_called(name, as_id):
+    said = f'id="{name}"' if as_id else f'class="{name}"'
+    section = f"<section {said}><h2>On {name}</h2>{paragraphs('Part', 3)}<p>So it is.</p></section>"
+    for tag in ("article", "main"):
+        page = f"<body><nav>x</nav><{tag}><h1>T</h1>{paragraphs('Line', 4)}{section}{paragraphs('After', 2)}</{tag}><footer>f</footer></body>"
+        got = main_text.main_text(page).split("\n")
+        assert len(got) == 1 + 4 + 5 + 2 and got[5] == f"On {name}"
+    bare = page.replace(section, f"<section {said}>{paragraphs('Part', 3)}</section>")
+    assert len(main_text.main_text(bare).split("\n")) == 1 + 4 + 3 + 2
+
+
+def test_main_text_of_adverts_and_menus_in_articles():
+    inside = '<div class="promo"><p>Buy <a>this</a> now</p></div><section class="ads"><h2>Sponsored</h2><p>A text of quite some words to make you buy all of it.</p></section><section class="menu"><a>One thing</a> <a>Another thing</a></section>'
+    page = f"<body><article><h1>T</h1>{paragraphs('Line', 4)}{inside}{paragraphs('After', 2)}</article></body>"
+    assert main_text.main_text(page).split("\n") == ["T", *main_text.main_text(f"<article>{paragraphs('Line', 4)}{paragraphs('After', 2)}</article>").split("\n")]
+
+
+@pytest.mark.parametrize("n", [3, 6, 40, 400])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_main_text_has_no_notice_of_any_length(n, tag):
+    box = f'<div class="cookie-consent cookies"><h2>Cookies</h2>{paragraphs("Cookie", n)}</div>'
+    for page in (f"<body>{box}<{tag}><h1>Short</h1><p>A short text.</p></{tag}></body>", f"<body><{tag}><h1>Short</h1><p>A short text.</p></{tag}>{box}</body>", f"<body>{box}<p>A short text.</p></body>"):
+        assert main_text.main_text(page).replace("Short\n", "") == "A short text."
+
+
+def test_main_text_of_wrappers_with_names():
+    """Names of what holds the whole page say nothing; those of elements in it do."""
+    for wrap in ('<div class="menu-open sidebar">', '<div id="modal"><div class="nav">'):
+        inner = f"<h1>T</h1>{paragraphs('Line', 5)}<div class='cookies'>{paragraphs('Cookie', 20)}</div>"
+        got = main_text.main_text(f"<body>{wrap}{inner}</div></div><p>(c) us</p></body>")
+        assert got.split("\n")[0] == "T" and "Line 4" in got and "Cookie" not in got
+
+
 @pytest.mark.parametrize("start", ["<body>", "<body><nav>", "<article>", "<body><div class=menu>"])
 def test_main_text_is_linear(start):
     import time
