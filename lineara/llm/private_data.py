@@ -5,7 +5,8 @@ adds spans for mentions that the patterns miss: a telephone number without its p
 groups of its own, and a further kind, secret (access tokens, keys and passwords of letters and digits).
 
 A document's nodes are its mentions: words with a digit or an at sign, neighbouring pieces of one number joined. Each
-node has features of its shape, of its neighbours' shapes and of the words before it. Nodes next to each other are
+node has features of its shape, of its neighbours' shapes, of how it is set (in quotes, after a name and a sign, how mixed
+its characters are) and of the words before it. Nodes next to each other are
 linked in a chain, and mentions with the same last digits or the same spelling are linked to the next such mention however
 far away it is; these skip links share one table of potentials, so what one mention's surroundings say holds for all of
 them. Nodes on base spans are observed. Loopy sum-product message passing gives each node's label; a label of a node
@@ -18,6 +19,7 @@ empty; a null doc_id stays null; equal rows give equal results; an empty table g
 text are ignored.
 """
 
+import functools
 import hashlib
 import random
 import re
@@ -154,9 +156,22 @@ def cues(text: str, start: int, end: int) -> list:
     return found
 
 
+ASSIGNED = re.compile(r"[^\W\d]\s{0,2}[=:]\s{0,2}[\"']?\Z")
+
+
+def setting(text: str, start: int, end: int) -> list:
+    """What a mention looks like as a value: in quotes, after a name and a sign, both; and how mixed its characters are."""
+    quoted = text[start - 1 : start] in ("'", '"') and text[end : end + 1] == text[start - 1 : start]
+    assigned = bool(ASSIGNED.search(text, max(0, start - 6), start)) or "=" in text[start:end]
+    core = re.sub(r"^.*[=:]", "", text[start:end]).strip("\"'")
+    share = np.unique(np.frombuffer(core.encode(), np.uint8), return_counts=True)[1] / max(1, len(core.encode()))
+    mixed = float(-(share * np.log2(share)).sum()) if len(core) >= 12 and any(map(str.isalpha, core)) and any(map(str.isdigit, core)) else 0.0
+    return [float(quoted), float(assigned), float(quoted and assigned), *(float(mixed >= b) for b in (2.5, 3.0, 3.4, 3.8)), float(assigned and mixed >= 3.0), float(quoted and assigned and mixed >= 3.0)]
+
+
 def nodes_of(text: str, spans: list) -> np.ndarray:
-    """Features of each mention: its shape and cues, the number of digits of those before and after it, and a constant."""
-    own = np.array([shape(text[s:e]) for s, e in spans])
+    """Features of each mention: its shape, setting and cues, the number of digits of those before and after it, and a constant."""
+    own = np.array([shape(text[s:e]) + setting(text, s, e) for s, e in spans])
     said = np.array([cues(text, s, e) for s, e in spans])
     blank = np.zeros((1, 10))
     return np.hstack([own, said, np.vstack([blank, own[:-1, :10]]), np.vstack([own[1:, :10], blank]), np.ones((len(own), 1))])
@@ -278,12 +293,15 @@ def _made_document(rng: random.Random) -> tuple:
             a, b, c = num(3), num(3), num(4)
             return [f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"1-{a}-{b}-{c}", f"{a}{b}{c}", f"1{a}{b}{c}"]
         made = pick([some(hexes, 40), some(hexes, 32), some(mixed, rng.randint(16, 44)), pick(["sk-", "ghp_", "AK"]) + some(mixed, rng.randint(16, 36))])
-        return [made, f'"{made}"', f"{pick(['token', 'key', 'secret', 'password'])}={made}"] if any(c.isdigit() for c in made) else entity(5)
+        name = pick([word(), word(), f"{word()}_{word()}", word().upper(), pick(CUES["secret"].split())])
+        return [made, f'"{made}"', f"{name}={made}", f'{name} = "{made}"', f"{name}: '{made}'", f'{name}="{made}"'] if any(c.isdigit() for c in made) else entity(5)
 
     def other() -> tuple:
         plain = [
             num(rng.randint(1, 6)), f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"{rng.randint(0, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 9)}", f"{num(2)}:{num(2)}", f"{word().upper()}{num(4)}{word().upper()}",
             f"{num(3)}.{num(2)}", f"{num(2)}/{num(2)}/{num(4)}", f"@{word()}", f"{word()}{num(2)}", f"({num(4)})", f"{num(4)}-{num(4)}", f"+{num(2)}%", f"{word()}={num(4)}",
+            f'{word()} = "{word()}{num(2)}"', f"{word()} = {num(rng.randint(1, 9))}", f'{word()}: "{num(4)}-{num(2)}-{num(2)}"', f'{word()} = "{some(hexes, 6)}"', f"{word()}: {num(3)}.{num(2)}", f'{word()} = "{num(rng.randint(4, 12))}"',
+            f'{pick(["sha", "commit", "md5", "checksum", "hash", "ref"])}{pick([" = ", ": ", "="])}{some(hexes, pick([32, 40]))}', f'{pick(["sha", "commit", "md5", "checksum", "hash"])} = "{some(hexes, pick([32, 40]))}"',
         ]
         long = [num(rng.randint(7, 12)), num(10), num(rng.randint(14, 18)), some(hexes, 40), some(hexes, 32), some(mixed, rng.randint(8, 14))]
         if rng.random() < 0.6:
@@ -358,6 +376,12 @@ def train(documents: int = TRAINING, seed: int = 7, steps: int = STEPS) -> Field
     return Field(*params)
 
 
+@functools.cache
+def trained() -> Field:
+    """The field with all its settings as they are, fitted once in a program."""
+    return train()
+
+
 def find(text: str, field: Field, certain: float = 0.9) -> tuple[list, list]:
     """Base spans, and the spans that the field adds."""
     if not SOME.search(text):
@@ -391,7 +415,7 @@ def private_data(docs: DataFrame, certain: float = 0.9) -> DataFrame:
     """Counts of the base spans by kind, their digest, and all spans of every document."""
     ddl = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
     schema = arrow_schema(ddl)
-    shared = docs.sparkSession.sparkContext.broadcast(train())
+    shared = docs.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches):
         field = shared.value

@@ -140,6 +140,42 @@ def test_secrets_of_the_documents(field):
         assert {(s, e) for k, s, e in private_data.find(text, field)[1] if private_data.KINDS[k] == "secret"} == tokens, doc_id
 
 
+@pytest.mark.parametrize("name", ["value", "nonce", "session", "tok"])
+def test_secrets_behind_names_that_no_list_has(field, name):
+    """What stands after a name and a sign is told by how it is set and how mixed it is."""
+    import duckdb
+
+    assert not any(name in words.split() for words in private_data.CUES.values())
+    hit, n, other = 0, 0, 0
+    for (text,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.1/documents.parquet' WHERE regexp_matches(text, '(?i)token = \"[0-9a-f]{40}\"')").fetchall():
+        text = re.sub(r'(?i)\btoken = "', name + ' = "', text)
+        want = {m.span(1) for m in re.finditer(rf'\b{name} = "([0-9a-f]{{40}})"', text)}
+        found = {(s, e) for k, s, e in private_data.find(text, field)[1] if private_data.KINDS[k] == "secret"}
+        hit, n, other = hit + len(want & found), n + len(want), other + len(found - want)
+    assert n > 100 and hit >= 0.85 * n and other == 0
+
+
+def test_values_that_are_no_secrets(field):
+    text = 'color = "ff00aa" and width = 1200, date: "2024-10-11", name = "report12", sha = "60303ae22b998861bce3b28f33eec1be758a213c", size: 10482'
+    assert private_data.find(text, field)[1] == []
+
+
+def test_training_is_done_once(monkeypatch):
+    calls = []
+    private_data.trained.cache_clear()
+    monkeypatch.setattr(private_data, "train", lambda: calls.append(1) or "field")
+    assert private_data.trained() == private_data.trained() == "field" and calls == [1]
+    private_data.trained.cache_clear()
+
+
+def test_private_data_of_repeated_rows_with_spans(spark):
+    text = "mail bob.1@x.com from 10.0.0.1, token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\""
+    df = spark.createDataFrame([(1, text, 5, "x")] * 3 + [(None, text, 5, "y")], "doc_id long, text string, n_email int, spans string")
+    got = {tuple(r)[1:] for r in private_data.private_data(df).collect()}
+    assert len(got) == 1 and next(iter(got))[:2] == (1, 1) and "secret:" in next(iter(got))[5]
+    assert sum(r.doc_id is None for r in private_data.private_data(df).collect()) == 1
+
+
 def test_skip_links_carry_labels(field):
     text = "call +1 (988) 555-2485 today, later 9885552485 and bob.1@x.com or bob.1(at)x.com, in 2024 some 1234567 rows"
     base, added = private_data.find(text, field)
