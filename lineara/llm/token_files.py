@@ -11,7 +11,8 @@ A shard file holds the documents of one range of doc_id in ascending order:
 
 A reader takes the footer, the seek table and the index, then only the frames of the documents it wants.
 
-Null doc_ids come first and stay null; null texts count as empty; rows with the same doc_id are separate documents;
+Null doc_ids come first and stay null; null texts count as empty; rows with the same doc_id are separate documents, which,
+like those without one, are dealt over files by the hashes of their texts;
 an empty table gives no documents. All columns but doc_id and text are ignored.
 """
 
@@ -23,6 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import arrow_schema, partitions, shared_dir, texts
 from .tokens import encoder, vocabulary
@@ -143,7 +145,7 @@ def write_tokens(docs: DataFrame, folder: str, vocab: str, end_id: int | None =
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (task.partitionId(), path, *got)], schema=schema)
 
     _make(spark, folder)
-    return rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, MANIFEST)
+    return rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text").mapInArrow(write, MANIFEST)
 
 
 def _make(spark: SparkSession, folder: str) -> None:
