@@ -13,7 +13,7 @@ sources' own ids, so all run dry together. The stream's last part, shorter than
 lengths are powers of two, so no sequence needs padding.
 
 Null texts are empty; a null source is a queue of its own; rows with one doc_id are separate documents; null doc_ids come
-first; an empty table gives no pieces.
+first; rows of one doc_id, or of none, are dealt over shards by their texts' hashes; an empty table gives no pieces.
 """
 
 import zlib
@@ -56,7 +56,7 @@ def encoded(docs: DataFrame, vocab: str, end_id: int, shards: int | None = None,
                 )
 
     rows = texts(docs, "source").withColumn("source", F.col("source").cast("string"))
-    rows = rows.repartitionByRange(shards or partitions(rows), "doc_id").sortWithinPartitions("doc_id", "text", "source")
+    rows = rows.repartitionByRange(shards or partitions(rows), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text", "source")
     return rows.mapInArrow(encode, ENCODED)
 
 

@@ -154,3 +154,15 @@ def test_targets(spark):
     docs = spark.createDataFrame([(k, "word " * 400, "ab"[k % 2]) for k in range(40)], "doc_id long, text string, source string")
     first = [p for p in packing.pack(docs, window=512, granule=8, targets={"a": 3, "b": 1}).collect() if p.sequence_id == 3]
     assert abs(sum(p.length for p in first if p.source == "a") - 384) <= 16
+
+
+def test_rows_without_ids_are_dealt_over_shards(spark, tmp_path):
+    docs = spark.createDataFrame([(None if k % 3 else 7, f"words of row {k} " * 20, "ab"[k % 2]) for k in range(600)], "doc_id long, text string, source string")
+    shards = packing.encoded(docs, packing.vocabulary("word_bpe_49k.json"), 1, 4).groupBy("shard").count().collect()
+    assert len(shards) == 4 and max(r["count"] for r in shards) < 300
+    assert sum(p.length for p in packing.pack(docs, shards=4).collect()) == sum(p.n_tokens for p in packing.encoded(docs, packing.vocabulary("word_bpe_49k.json"), 1, 4).collect())
+    manifest = token_files.write_tokens(docs, f"file://{tmp_path}/t", packing.vocabulary("byte_bpe_50k.json"), 0, 4).collect()
+    assert len(manifest) == 4
+    got = token_files.token_files(docs)[1].orderBy("start").collect()
+    assert len(got) == 600 and [r.doc_id for r in got] == [None] * 400 + [7] * 200
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
