@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_schema, partitions, saved, texts
+from .common import arrow_schema, kept, partitions, saved, texts
 from .tokens import encoder, vocabulary
 
 UNIT = 512
@@ -157,6 +157,7 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int
     schema = arrow_schema(PIECES)
 
     def pieces(batches):
+        kept("queues", lambda: None)  # the encoder that this worker may hold isn't needed any more
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)

@@ -38,7 +38,7 @@ class ChunkEncoder:
     Two generations of at most ``limit`` chunks are kept; when the young one is full it becomes the old one.
     """
 
-    def __init__(self, path: str, limit: int = 500_000, control: bool = True):
+    def __init__(self, path: str, limit: int = 250_000, control: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
