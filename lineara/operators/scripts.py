@@ -1,50 +1,26 @@
 """SQL scripts to statements, in Spark expressions."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: What can change how a script is read, each alone; all between is one piece. No alternative repeats a group, so texts
-#: of any length are matched without recursion.
-TOKEN = r"""(?s)\\(?:[^*]|\*(?!/))|--(?=\s|\z)|/\*|\*/|[;'"`#\n]|[^\\;'"`#\n/*-]++|."""
-CODE, LINE, BLOCK = "", "-", "*"
-
-
-def _reads(mode: Column, token: Column) -> Column:
-    """The mode after a token: code, inside a quote of its kind, in a comment to the line's end, or in a block comment.
-
-    A doubled quote closes and opens again, which comes to the same; after a backslash a quote is text, but for
-    backticks, which know no escapes.
-    """
-    opened = F.when(token.isin("'", '"', "`"), token).when(token.isin("--", "#"), LINE).when(token == "/*", BLOCK).otherwise(CODE)
-    quoted = F.when((token == mode) | ((mode == "`") & token.endswith("`")), CODE).otherwise(mode)
-    return (
-        F.when(mode == CODE, opened).when(mode == LINE, F.when(token.endswith("\n"), CODE).otherwise(LINE)).when(mode == BLOCK, F.when(token == "*/", CODE).otherwise(BLOCK)).otherwise(quoted)
-    )
+#: What a script is read by. All repeats are possessive, which the engine runs as loops, so texts of any length are matched
+#: in one pass without recursion.
+COMMENT = r"(?:#|--(?=\s|\z))[^\n]*+|/\*(?:[^*]++|\*(?!/))*+(?:\*/|\z)"
+QUOTED = "|".join([rf"{q}(?:[^{q}\\]++|\\.)*+(?:{q}|\\?+\z)" for q in "'\""] + [r"`[^`]*+(?:`|\z)"])
+PIECE = rf"[^;'\"`#\\/-]++|\\.|{COMMENT}|{QUOTED}|[\\/-]"
+#: Group 1 is a piece that has code: after white space and comments something stands before the semicolon.
+STATEMENT = rf"(?s)\s*+(?:(?=(?:\s++|{COMMENT})*+[^;])((?:{PIECE})++)|(?:{PIECE})*+);?+"
+BLANK = " \t\n\r\x0b\x0c"
 
 
 def statements(df: DataFrame, ids: list[str], script: str) -> DataFrame:
     """ids, ordinal, statement: a script cut at the semicolons that stand outside quotes and comments, numbered from 0.
 
     Statements are trimmed and keep their comments; pieces without code (blank, or only comments) are left out, and a
-    last one needs no semicolon. A quote or comment that is never closed runs to the end. Null scripts give no rows.
-    One pass over the tokens finds the cuts; the pieces are then joined from runs of tokens, so the work is linear in
-    the text. Commands that change the delimiter are not known.
+    last one needs no semicolon. A quote or comment that is never closed runs to the end. A doubled quote closes and opens
+    again, which comes to the same; after a backslash a quote or semicolon is text, but for backticks, which know no
+    escapes; a block comment ends at the first */ after its opening. Null scripts give no rows. One pass of one pattern
+    finds the statements, so the work is linear in the text. Commands that change the delimiter are not known.
     """
-    tokens = F.regexp_extract_all(F.col(script), F.lit(TOKEN), F.lit(0))
-    start = F.struct(F.lit(CODE).alias("mode"), F.lit(0).alias("at"), F.lit(False).alias("code"), F.array().cast("array<struct<to:int,code:boolean>>").alias("cuts"))
-
-    def read(acc: Column, token: Column) -> Column:
-        ends = (acc["mode"] == CODE) & (token == ";")
-        mode = _reads(acc["mode"], token)
-        code = acc["code"] | ((acc["mode"] == CODE) & (mode != LINE) & (mode != BLOCK) & (F.trim(F.translate(token, "\t\n\r\x0b\x0c", "     ")) != ""))
-        cut = F.array(F.struct((acc["at"] + 1).alias("to"), acc["code"].alias("code")))
-        return F.struct(mode.alias("mode"), (acc["at"] + 1).alias("at"), (code & ~ends).alias("code"), F.when(ends, F.concat(acc["cuts"], cut)).otherwise(acc["cuts"]).alias("cuts"))
-
-    last = F.array(F.struct((F.col("_read.at") + 1).alias("to"), F.col("_read.code").alias("code")))
-    rows = df.select(*ids, tokens.alias("_tokens")).where("_tokens IS NOT NULL")
-    rows = rows.withColumn("_read", F.aggregate("_tokens", start, read)).withColumn("_cuts", F.concat("_read.cuts", last))
-    first = lambda i: F.when(i == 0, 1).otherwise(F.get("_cuts", i - 1)["to"] + 1)
-    piece = lambda c, i: F.struct(c["code"].alias("code"), F.array_join(F.slice("_tokens", first(i), c["to"] - first(i)), "").alias("text"))
-    found = F.filter(F.transform("_cuts", piece), lambda p: p["code"])
-    trimmed = F.transform(found, lambda p: F.regexp_replace(F.regexp_replace(p["text"], r"^\s++", ""), r"\s++$", ""))
-    return rows.select(*ids, F.posexplode(trimmed).alias("ordinal", "statement"))
+    found = F.array_remove(F.regexp_extract_all(F.col(script), F.lit(STATEMENT), F.lit(1)), "")
+    return df.select(*ids, F.posexplode(found).alias("ordinal", "statement")).withColumn("statement", F.rtrim("statement", F.lit(BLANK)))
