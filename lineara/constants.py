@@ -29,12 +29,13 @@ MODE_WITH_ERRONEOUS = "euk_genome_min"
 VERSION = r"BUSCO version is: ((\d+\.\d+.\d+))"
 DATASET = r"The lineage dataset is: ([\w_]+)"
 MODE = r"BUSCO was run in mode: ([\w_]+)"
+#: A number is tried from its first digit only, and without giving digits back.
 COUNTS = {
-    "complete": r"(\d+)\s+Complete BUSCOs \(C\)",
-    "single_copy": r"(\d+)\s+Complete and single-copy BUSCOs \(S\)",
-    "duplicated": r"(\d+)\s+Complete and duplicated BUSCOs \(D\)",
-    "fragmented": r"(\d+)\s+Fragmented BUSCOs \(F\)",
-    "missing": r"(\d+)\s+Missing BUSCOs \(M\)",
+    "complete": r"(?<!\d)(\d++)\s++Complete BUSCOs \(C\)",
+    "single_copy": r"(?<!\d)(\d++)\s++Complete and single-copy BUSCOs \(S\)",
+    "duplicated": r"(?<!\d)(\d++)\s++Complete and duplicated BUSCOs \(D\)",
+    "fragmented": r"(?<!\d)(\d++)\s++Fragmented BUSCOs \(F\)",
+    "missing": r"(?<!\d)(\d++)\s++Missing BUSCOs \(M\)",
 }
 #: Group 0 is the score, group 6 the total.
 SCORE = r"C:(\d+\.\d+)%\[S:(\d+\.\d+)%.*,D:(\d+\.\d+)%\],F:(\d+\.\d+)%.*,M:(\d+\.\d+)%,n:(\d+)"

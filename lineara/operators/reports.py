@@ -29,16 +29,26 @@ def found(content: Column, pattern: str, group: int = 1) -> Column:
 
 
 def parse(reports: DataFrame, content: str = "content") -> DataFrame:
-    """reports with the fields of their texts; a field is null where the text lacks it."""
-    text = F.col(content)
-    rows = reports.withColumn("version", found(text, constants.VERSION)).withColumn("dataset", found(text, constants.DATASET))
-    rows = rows.withColumn("run_mode", found(text, constants.MODE)).withColumn("busco_mode", normal_mode(F.col("run_mode")))
-    for name, pattern in constants.COUNTS.items():
-        rows = rows.withColumn(name, found(text, pattern).try_cast("int"))
+    """reports with the fields of their texts; a field is null where the text lacks it.
+
+    The patterns run in a generator of one row, which no filter on the fields is pushed below: each pattern reads each text once,
+    and the parts of a score come from its own match.
+    """
+    text, field = F.col(content), lambda name: F.nullif(F.col(f"_{name}"), F.lit(""))
+    patterns = {"version": constants.VERSION, "dataset": constants.DATASET, "run_mode": constants.MODE} | constants.COUNTS
+    read = [F.regexp_extract(text, pattern, 1).alias(f"_{name}") for name, pattern in patterns.items()]
+    read.append(F.regexp_extract(text, constants.SCORE, 0).alias("_score"))
+    read.append(F.when(F.contains(text, F.lit(constants.MODE_WITH_ERRONEOUS)), F.regexp_extract(text, constants.SCORE_ERRONEOUS, 0)).alias("_with_erroneous"))
+    rows = reports.select("*", F.inline(F.array(F.struct(*read))))
+    for name in ("version", "dataset", "run_mode"):
+        rows = rows.withColumn(name, field(name))
+    rows = rows.withColumn("busco_mode", normal_mode(F.col("run_mode")))
+    rows = rows.withColumns({name: field(name).try_cast("int") for name in constants.COUNTS})
     erroneous = F.col("run_mode") == constants.MODE_WITH_ERRONEOUS
-    pick = lambda g: F.when(erroneous, found(text, constants.SCORE_ERRONEOUS, g)).otherwise(found(text, constants.SCORE, g))
-    rows = rows.withColumn("score", pick(0)).withColumn("total", pick(6).try_cast("int"))
-    return rows.withColumn("erroneous", F.when(erroneous, found(text, constants.SCORE_ERRONEOUS, 7)))
+    rows = rows.withColumn("score", F.when(erroneous, field("with_erroneous")).otherwise(field("score")))
+    rows = rows.withColumn("total", found(F.col("score"), constants.SCORE, 6).try_cast("int"))
+    rows = rows.withColumn("erroneous", F.when(erroneous, found(F.col("score"), constants.SCORE_ERRONEOUS, 7)))
+    return rows.drop(*[f"_{name}" for name in (*patterns, "score", "with_erroneous")])
 
 
 def normal_mode(mode: Column) -> Column:

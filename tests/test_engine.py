@@ -50,6 +50,15 @@ def test_nearest_ancestor(spark):
     assert rows(lineage.nearest_dataset(more, map_, "taxon_id")) == rows(lineage.nearest_dataset(taxa, map_, "taxon_id"))
 
 
+def test_each_pattern_reads_a_text_once(spark):
+    """No filter on the fields is pushed below the patterns, which then ran again for each of its terms on texts made anew."""
+    texts = fx.reports(spark).withColumn("content", F.concat("content", F.lit(" ")))
+    plan = metakeys.to_eav(reports.classified(reports.parse(texts)), ["db"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(content") == 1
+    for pattern in (constants.MODE, constants.SCORE + ", 0", constants.SCORE_ERRONEOUS + ", 0", *constants.COUNTS.values()):
+        assert plan.count(pattern) == 1, pattern
+
+
 def test_taxonomy_without_reports(spark):
     got = lineage.parents_of(spark.createDataFrame([('{"reports":[]}',), ("{}",), ("no json",), (None,), ('{"reports":[{"taxonomy":{"parents":[1,2]}}]}',)], "content string")).collect()
     assert [r.parents for r in got] == [None, None, None, None, [1, 2]]
