@@ -538,20 +538,49 @@ def exact_edges(docs: DataFrame, candidates: DataFrame, shingle: int, similarity
     return rows.groupBy("component", "shard").applyInArrow(_verified(similarity), "a long, b long")
 
 
-def refined(points: DataFrame, most: int) -> DataFrame:
-    """points (rep, fps, keys) in which a key that more than ``most`` of them share gives way to its pairs with each of their other keys.
+def rare_prefixes(docs: DataFrame, reps: DataFrame, shingle: int, similarity: float, common: int = 64) -> DataFrame:
+    """rep, tokens: the rarest shingles of each document rep, so many that sets of this similarity share one of them.
 
-    Two documents that share such a key and any other still share a pair; of twenty keys a pair at a similarity of 0.8
-    that shares one shares no other with probability 0.00005.
+    Any one order of all shingles gives that; here those that over ``common`` of the sets have come last, by their number, so
+    that passages which many documents share are in no prefix. Texts of one doc_id have the tokens of all of them.
+    """
+    ddl = "rep long, own long, shingles array<long>"
+    schema = arrow_schema(ddl)
+
+    def run(batches):
+        import xxhash
+
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                sets = [shingle_set(t, shingle) for t in part.column(1).to_pylist()]
+                own = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
+
+    rows = texts(docs).join(reps, F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates()
+    sets = saved(rows.mapInArrow(run, ddl), "prefix-sets")
+    flat = sets.select("rep", "own", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = saved(flat.groupBy("s").count().where(F.col("count") > common), "common-shingles")
+    ordered = flat.join(often, "s", "left").groupBy("rep", "own", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("c"), "s"))).alias("v"))
+    length = (F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-9)) + 1).cast("int")
+    return ordered.select("rep", F.explode(F.slice(F.col("v")["s"], F.lit(1), length)).alias("s")).groupBy("rep").agg(F.collect_set("s").alias("tokens"))
+
+
+def refined(docs: DataFrame, points: DataFrame, most: int, shingle: int, similarity: float) -> DataFrame:
+    """points (rep, fps, keys) in which a key that more than ``most`` of them share gives way to the documents' rarest shingles.
+
+    Of documents that share such a key those of this similarity share one of these too, so none of their links is lost.
     """
     slim = points.select("rep", F.posexplode("keys").alias("pos", "key"))
     large = saved(slim.groupBy("key").count().where(F.col("count") > most), "large-keys")
     if not large.head(1):
         return points
-    hot = slim.join(large, "key").groupBy("rep").agg(F.collect_set("pos").alias("hot"))
-    pairs = lambda key, at: F.transform(F.filter("keys", lambda _, j: j != at), lambda other: F.xxhash64(F.lit(2), key, other))
-    finer = F.flatten(F.transform("keys", lambda key, at: F.when(F.array_contains("hot", at), pairs(key, at)).otherwise(F.array(key))))
-    return saved(points.join(hot, "rep", "left").select("rep", "fps", F.when(F.col("hot").isNull(), F.col("keys")).otherwise(finer).alias("keys")), "refined-points")
+    hot = saved(slim.join(large, "key").groupBy("rep").agg(F.collect_set("pos").alias("hot")), "large-key-points")
+    finer = rare_prefixes(docs, hot.select("rep"), shingle, similarity)
+    marked = points.join(hot, "rep", "left").join(finer, "rep", "left")
+    cold = F.filter("keys", lambda _, at: ~F.array_contains("hot", at))
+    keys = F.concat(cold, F.transform(F.coalesce("tokens", F.array().cast("array<long>")), lambda t: F.xxhash64(F.lit(2), t)))
+    return saved(marked.select("rep", "fps", F.when(F.col("hot").isNull(), F.col("keys")).otherwise(keys).alias("keys")), "refined-points")
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 4, bands: int = 20, rows: int = 4, tree_size: int = 4096, held: int = 2_000_000) -> DataFrame:
@@ -561,8 +590,8 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
     A pair of similarity s shares one of the MinHash keys with probability 1 - (1 - s ** rows) ** bands: 0.99997 at 0.8. Its
     64 * words fingerprint bits differ in a share acos(2s / (1 + s)) / pi, 0.15 at 0.8, or up to 3/16 where sets are as
     small as 4 and 5 shingles; the BK-trees' radius is that and four deviations more. At such a radius a tree's search
-    passes over little, so a key with more than ``tree_size`` sets is refined before trees are built. What candidates
-    reach is a candidate group, in which every pair is decided. Equal sets are one point.
+    passes over little, so a key with more than ``tree_size`` sets gives way to its documents' rarest shingles before trees
+    are built, by which no link of documents that share the key is lost, however many there are. What candidates reach is a candidate group, in which every pair is decided. Equal sets are one point.
 
     Null texts are empty, and texts without a word are alike; texts may be of any length (their sets are made in parts);
     a null doc_id joins no group, but has the component of equal sets; equal rows are equal documents; an empty table
@@ -574,7 +603,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
     radius = math.ceil(64 * words * share + 4 * math.sqrt(64 * words * share * (1 - share)))
     fps = saved(texts(docs).mapInArrow(_sketches(shingle, words, bands, rows), SKETCH), "fingerprints")
     points = saved(fps.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps"), F.first("keys").alias("keys")).where("rep is not null"), "points")
-    near = tree_edges(refined(points.select("rep", "fps", "keys"), tree_size), F.col("keys"), radius, tree_size, 256)
+    near = tree_edges(refined(docs, points.select("rep", "fps", "keys"), tree_size, shingle, similarity), F.col("keys"), radius, tree_size, 256)
     candidates = components(near)
     candidates = candidates.union(candidates.select("component", "component")).distinct()
     found = components(exact_edges(docs, candidates, shingle, similarity, held))

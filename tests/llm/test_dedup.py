@@ -400,3 +400,21 @@ def test_occurrences_come_in_parts():
         assert all(len(w) <= at_once for w, _ in parts)
         assert [(int(a), int(b)) for w, r in parts for a, b in zip(w, r)] == want
     assert list(fm_index.occurrences(lo[:0], hi[:0])) == []
+
+
+def test_similar_documents_of_a_large_key(spark):
+    """Links of documents that share a single key are found whether or not many share it."""
+    rng, pairs = np.random.default_rng(5), []
+    while not pairs:
+        words = [f"w{x}" for x in rng.integers(0, 10**9, 50)]
+        other = list(words)
+        other[int(rng.integers(8, 40))] = "changed"  # 5 of 46 shingles: 41 / 51
+        a, b = (simhash.shingle_set(" ".join(x), 5) for x in (words, other))
+        assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) > 0.8
+        if (simhash.min_keys(a, 20, 4) == simhash.min_keys(b, 20, 4)).sum() == 1:
+            pairs.append((" ".join(words), " ".join(other)))
+    rows = [(2 * k + side, text) for k, pair in enumerate(pairs) for side, text in enumerate(pair)] + [(100, "x"), (101, ""), (102, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {0: 0, 1: 0} | {100: 100, 101: 101, 102: 101}
+    for tree_size in (4096, 1):
+        assert {r.doc_id: r.component_id for r in simhash.similar_documents(docs, tree_size=tree_size).collect()} == want
