@@ -38,7 +38,7 @@ class ChunkEncoder:
     Two generations of at most ``limit`` chunks are kept; when the young one is full it becomes the old one.
     """
 
-    def __init__(self, path: str, limit: int = 250_000, control: bool = True):
+    def __init__(self, path: str, limit: int = 400_000, control: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -103,16 +103,17 @@ class ChunkEncoder:
 
     def _learn(self, wanted: set) -> None:
         """Have the ids of the chunks wanted among the young; None where a chunk has to be joined to the one before."""
-        new, young, whole = [], self.young, []
-        for w in wanted.difference(young):
-            if w in self.old:
-                young[w] = self.old[w]
-            elif self._unsafe(w):
-                young[w] = None
-            elif w[-1:] in (".", ",") and self._letters(w[:-1].lstrip(" \n")):
-                whole.append(w)
-            else:
-                new.append(w)
+        young, old, whole = self.young, self.old, []
+        missing = [w for w in wanted if w not in young]
+        young.update([(w, old[w]) for w in missing if w in old])
+        missing = [w for w in missing if w not in young]
+        if not self.normal:
+            unsafe = [w for w in missing if self._unsafe(w)]
+            young.update(dict.fromkeys(unsafe))
+            missing = [w for w in missing if w not in young] if unsafe else missing
+        new = [w for w in missing if w[-1:] not in (".", ",")]
+        for w in (w for w in missing if w[-1:] in (".", ",")):
+            (whole if self._letters(w[:-1].lstrip(" \n")) else new).append(w)
         stems = {w[:-1] for w in whole}.difference(young)
         for w in (w for w in stems if w in self.old):
             young[w] = self.old[w]

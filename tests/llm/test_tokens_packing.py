@@ -166,3 +166,13 @@ def test_rows_without_ids_are_dealt_over_shards(spark, tmp_path):
     got = token_files.token_files(docs)[1].orderBy("start").collect()
     assert len(got) == 600 and [r.doc_id for r in got] == [None] * 400 + [7] * 200
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+
+
+def test_chunks_that_come_again_are_kept():
+    """600,000 chunks are encoded once, not again when they come a second time."""
+    coder = tokens.ChunkEncoder(tokens.vocabulary("word_bpe_49k.json"))
+    plain, encoded = coder._ids, []
+    coder._ids = lambda chunks: encoded.append(len(chunks)) or plain(chunks)
+    texts = [" ".join(f"w{k}" for k in range(at, at + 10_000)) for at in range(0, 600_000, 10_000)]
+    assert coder.encode(texts) == coder.encode(texts)
+    assert sum(encoded) == 600_000
