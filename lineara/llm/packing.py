@@ -20,12 +20,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import arrow_schema, kept, partitions, saved, texts
-from .tokens import encoder, vocabulary
+from .tokens import batches, encoder, vocabulary
 
 UNIT = 512
 ENCODED = "shard long, doc_id long, source string, queue_start long, n_tokens long, ids binary"
@@ -37,13 +38,13 @@ def encoded(docs: DataFrame, vocab: str, end_id: int, shards: int | None = None,
     schema = arrow_schema(ENCODED)
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def encode(batches):
+    def encode(rows):
         from pyspark import TaskContext
 
         shard, sent, encode = TaskContext.get().partitionId(), {}, encoder(vocab, control).encode
-        for b in batches:
-            for k in range(0, b.num_rows, 512):
-                part = b.slice(k, 512)
+        for b in rows:
+            for k, e in batches(pc.binary_length(b.column(1)).to_pylist()):
+                part = b.slice(k, e - k)
                 doc_ids, sources = part.column(0), part.column(2).to_pylist()
                 ids = [x + end for x in encode(part.column(1).to_pylist())]
                 n, starts = [len(x) // 4 for x in ids], []
@@ -156,9 +157,9 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int
     robin, number = RoundRobin([r["n"] for r in totals], weights, window, granule), {s: k for k, s in enumerate(names)}
     schema = arrow_schema(PIECES)
 
-    def pieces(batches):
+    def pieces(rows):
         kept("queues", lambda: None)  # the encoder that this worker may hold isn't needed any more
-        for b in batches:
+        for b in rows:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
                 raw, sources = part.column("ids").to_pylist(), part.column("source").to_pylist()
@@ -167,8 +168,8 @@ def pack(docs: DataFrame, vocab: str | None = None, end_id: int = 1, window: int
                 piece, lo, length, sequence, offset = robin.sequences(lo, length, at)
                 doc = doc[piece]
                 crc = [zlib.crc32(raw[d][4 * x : 4 * (x + m)]) for d, x, m in zip(doc.tolist(), lo.tolist(), length.tolist())]
-                rows = [part.column("doc_id").take(pa.array(doc)), *map(pa.array, (lo, length, crc, n[doc], sequence, offset)), part.column("source").take(pa.array(doc))]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(rows, schema)], schema=schema)
+                made = [part.column("doc_id").take(pa.array(doc)), *map(pa.array, (lo, length, crc, n[doc], sequence, offset)), part.column("source").take(pa.array(doc))]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, schema)], schema=schema)
 
     same = table["shard"].eqNullSafe(sums["shard"]) & table["source"].eqNullSafe(sums["source"])
     placed = table.join(sums, same).select(table["doc_id"], table["source"], (F.col("before") + F.col("queue_start")).alias("at"), "n_tokens", "ids")

@@ -23,11 +23,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, partitions, shared_dir, texts
-from .tokens import encoder, vocabulary
+from .tokens import batches, encoder, vocabulary
 
 FRAME_IDS = 1 << 20
 #: Fixed values of the public format.
@@ -129,16 +130,16 @@ def write_tokens(docs: DataFrame, folder: str, vocab: str, end_id: int | None =
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
     schema = arrow_schema(MANIFEST)
 
-    def write(batches):
+    def write(rows):
         from pyspark import TaskContext
 
         task, encode = TaskContext.get(), encoder(vocab, control).encode
 
         def documents():
-            for b in batches:
+            for b in rows:
                 ids, text = b.column(0), b.column(1)
-                for k in range(0, b.num_rows, 256):
-                    yield from zip(ids[k : k + 256].to_pylist(), (x + end for x in encode(text[k : k + 256].to_pylist())))
+                for k, e in batches(pc.binary_length(text).to_pylist()):
+                    yield from zip(ids[k:e].to_pylist(), (x + end for x in encode(text[k:e].to_pylist())))
 
         path = f"{folder}/shard-{task.partitionId():06d}.zst"
         got = write_shard(path, f"{task.taskAttemptId()}.part", documents())

@@ -4,7 +4,8 @@ The pre-tokenizers of both vocabularies never join what stands before a space or
 text is cut before each space or newline that a visible character follows, each distinct chunk is encoded once by the
 tokenizers library, and the ids of the text are those of its chunks in order. Chunks where this cut would not be safe
 (further white space follows) are joined to the chunk before them. A vocabulary whose normalizer drops white space and
-lower-cases is cut at all white space, in lower-case ASCII. Both also part a word from a full stop or comma after it.
+lower-cases is cut at all white space, in lower-case ASCII. Both also part a word of letters from the punctuation after it.
+Arrow cuts a batch of texts, numbers its distinct chunks and puts their ids together; Python sees each of them once a batch.
 
 A vocabulary's control strings ("<|endoftext|>") in a text become their ids, as the library's own call with its defaults
 gives them; the text is parted at them first, as the library does. With ``control=False`` they are text like any other.
@@ -13,17 +14,21 @@ gives them; the text is parted at them first, as the library does. With ``contro
 import os
 import re
 import unicodedata
+from string import punctuation
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import kept
 
 SAFE_LENGTH = 80
-BATCH_CHARS = 2_000_000
+#: Texts that are encoded together: as many characters, and rows.
+BATCH_CHARS, BATCH_ROWS = 4_000_000, 4096
 TOGETHER = 200
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: White space to Python but not to the tokenizers.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def vocabulary(name: str) -> str:
@@ -53,7 +58,7 @@ class ChunkEncoder:
         self.lengths = np.zeros(names[-1][0] + 1, dtype=np.int64)  # bytes that each id stands for
         self.lengths[[i for i, _ in names]] = [len(t) - 4 * t.endswith("</w>") for _, t in names]
         self.normal = self.tokenizer.normalizer is not None
-        self.stops = dict(zip(".,", self._one_by_one([".", ","])))
+        self.stops: dict = {}
         self.young: dict = {}
         self.old: dict = {}
         self.limit = limit
@@ -101,34 +106,50 @@ class ChunkEncoder:
                 out.append(p)
         return out
 
-    def _learn(self, wanted: set) -> None:
-        """Have the ids of the chunks wanted among the young; None where a chunk has to be joined to the one before."""
-        young, old, whole = self.young, self.old, []
-        missing = [w for w in wanted if w not in young]
-        young.update([(w, old[w]) for w in missing if w in old])
-        missing = [w for w in missing if w not in young]
+    def _learn(self, missing: list) -> None:
+        """Have the ids of distinct chunks that aren't among the young there; None where a chunk has to be joined to the one before."""
+        young, whole, new = self.young, [], []
+        if self.old:
+            found = list(map(self.old.get, missing))
+            young.update([(w, x) for w, x in zip(missing, found) if x is not None])
+            missing = [w for w, x in zip(missing, found) if x is None]
         if not self.normal:
-            unsafe = [w for w in missing if self._unsafe(w)]
+            unsafe = set(filter(self._unsafe, missing))
             young.update(dict.fromkeys(unsafe))
-            missing = [w for w in missing if w not in young] if unsafe else missing
-        new = [w for w in missing if w[-1:] not in (".", ",")]
-        for w in (w for w in missing if w[-1:] in (".", ",")):
-            (whole if self._letters(w[:-1].lstrip(" \n")) else new).append(w)
-        stems = {w[:-1] for w in whole}.difference(young)
+            missing = [w for w in missing if w not in unsafe] if unsafe else missing
+        for w in missing:
+            stem = w.rstrip(punctuation) if w[-1:] in punctuation else w
+            if len(w) - len(stem) in (1, 2, 3) and self._letters(stem.lstrip(" \n")):
+                whole.append((w, stem, w[len(stem) :]))
+            else:
+                new.append(w)
+        stems = {stem for _, stem, _ in whole}.difference(young)
         for w in (w for w in stems if w in self.old):
             young[w] = self.old[w]
         new += stems.difference(young, new)
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             young.update(zip(part, self._ids(part)))
-        young.update((w, young[w[:-1]] + self.stops[w[-1]]) for w in whole)
-
-    def _forget(self, wanted: set) -> None:
+        stops = list({stop for _, _, stop in whole}.difference(self.stops))
+        self.stops.update(zip(stops, self._one_by_one(stops)))
+        young.update([(w, young[stem] + self.stops[stop]) for w, stem, stop in whole])
+
+    def _known(self, chunks: list) -> list:
+        """The ids of distinct chunks, or None."""
+        got = list(map(self.young.get, chunks))
+        if missing := [w for w, x in zip(chunks, got) if x is None]:
+            self._learn(missing)
+            learned = map(self.young.__getitem__, missing)
+            got = [next(learned) if x is None else x for x in got]
+            self._forget(missing)
+        return got
+
+    def _forget(self, learned: list) -> None:
         """Keep no long chunks, and no more than the limit."""
-        for w in wanted:
+        for w in learned:
             if len(w) > SAFE_LENGTH:
                 self.young.pop(w, None)
-                self.young.pop(w[:-1], None)
+                self.young.pop(w.rstrip(punctuation), None)
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
 
@@ -141,43 +162,45 @@ class ChunkEncoder:
 
     def _plain(self, texts: list) -> list:
         """The ids of texts without control strings."""
-        out, k = [], 0
-        while k < len(texts):
-            n, e = 0, k
-            while e < len(texts) and (e == k or n + len(texts[e]) <= BATCH_CHARS):
-                n += len(texts[e])
-                e += 1
-            out += self._encode(texts[k:e])
-            k = e
-        return out
+        return [x for a, b in batches(list(map(len, texts))) for x in self._encode(texts[a:b])]
 
-    def _cut(self, text: str) -> list:
+    def _cut(self, texts: list) -> pa.ListArray:
+        """The chunks of each text."""
         if self.normal:
-            return [text] if SEPARATORS.search(text) else text.encode("utf-8", "replace").translate(LOWER).decode().split()
-        return [text] if "\0" in text else text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+            lower = pa.array([t.encode("utf-8", "replace").translate(LOWER) for t in texts], pa.large_binary())
+            return pc.utf8_split_whitespace(lower.view(pa.large_string()))
+        marked = pc.replace_substring(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", "\0\n"), " ", "\0 ")
+        return pc.split_pattern(marked, "\0")
 
     def _encode(self, texts: list) -> list:
-        cut = list(map(self._cut, texts))
-        ids = [list(map(self.young.get, pieces)) for pieces in cut]
-        gaps = [[i for i, x in enumerate(got) if x is None] for got in ids]
-        wanted = {pieces[i] for pieces, gap in zip(cut, gaps) for i in gap}
-        self._learn(wanted)
-        known, out = self.young.__getitem__, []
-        for pieces, got, gap in zip(cut, ids, gaps):
-            for i in gap:
-                got[i] = known(pieces[i])
-            try:
-                out.append(b"".join(got))
-            except TypeError:  # a None: some pieces have to be joined
-                pieces = self._merged(pieces)
-                whole = {p for p in pieces[:1] if self._unsafe(p)}  # white space that the text begins with
-                self._learn(set(pieces) - whole)
-                wanted.update(pieces)
-                out.append(b"".join(self._one_by_one([p])[0] if p in whole else known(p) for p in pieces))
-        self._forget(wanted)
+        odd = {k for k, t in enumerate(texts) if any(c in t for c in (SEPARATORS if self.normal else "\0"))}
+        cut = self._cut(["" if k in odd else t for k, t in enumerate(texts)] if odd else texts)
+        coded = cut.values.dictionary_encode()
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(known, pa.large_binary()).take(coded.indices)
+        out = pc.binary_join(pa.ListArray.from_arrays(cut.offsets, ids), pa.scalar(b"", pa.large_binary())).to_pylist()
+        for k in odd:
+            out[k] = self._one_by_one([texts[k]])[0]
+        for k in (k for k, x in enumerate(out) if x is None):  # some chunks have to be joined
+            pieces = self._merged(cut[k].as_py())
+            whole = [self._one_by_one(pieces[:1])[0]] if self._unsafe(pieces[0]) else []  # white space that the text begins with
+            rest = pieces[len(whole) :]
+            distinct = list(dict.fromkeys(rest))
+            out[k] = b"".join([*whole, *map(dict(zip(distinct, self._known(distinct))).__getitem__, rest)])
         return out
 
 
+def batches(lengths: list) -> list:
+    """Where batches of texts of these lengths begin and end: of BATCH_ROWS texts and BATCH_CHARS characters at most, or one text."""
+    out, begin, n = [], 0, 0
+    for k, m in enumerate(lengths):
+        if k > begin and (n + m > BATCH_CHARS or k - begin == BATCH_ROWS):
+            out.append((begin, k))
+            begin, n = k, 0
+        n += m
+    return [*out, (begin, len(lengths))] if lengths else []
+
+
 def encoder(path: str, control: bool = True) -> ChunkEncoder:
     """One encoder in a Python worker, kept over its tasks."""
     return kept(("encoder", path, control), lambda: ChunkEncoder(path, control=control))

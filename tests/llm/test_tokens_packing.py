@@ -176,3 +176,38 @@ def test_chunks_that_come_again_are_kept():
     texts = [" ".join(f"w{k}" for k in range(at, at + 10_000)) for at in range(0, 600_000, 10_000)]
     assert coder.encode(texts) == coder.encode(texts)
     assert sum(encoded) == 600_000
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_batch_asks_once_for_each_distinct_chunk(name):
+    class Young(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    coder, ids = tokens.ChunkEncoder(tokens.vocabulary(name)), whole(name)
+    coder.young = Young()
+    texts = [f"{' one two' * 500} three{k}" for k in range(20)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == list(map(ids, texts))
+    assert coder.young.asked < 100
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_encoded_once_whatever_punctuation_follows(name):
+    coder, ids = tokens.ChunkEncoder(tokens.vocabulary(name)), whole(name)
+    plain, encoded = coder._ids, []
+    coder._ids = lambda chunks: encoded.extend(chunks) or plain(chunks)
+    odd = [" Été?!", " a'", " a'.", " a''s", " a1!", " 1!", " a!b.", " ...", " .", " x_", " <|", " é≮", " ʰ!", " Ǆ$$$", " ß;", " á!", " a….", "a!  b?", " a\x1f!", " x" * 50 + "y" * 100 + "!!", "", "  ", "\n\n!", " ", " a ", " a!\r\n"]
+    texts = [*odd, "".join(odd), "".join(reversed(odd)), " word word&&& word?! word... word\nword,"]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == list(map(ids, texts))
+    assert [w for w in encoded if w.startswith((" word", "word"))] == [" word"] * (name[0] == "b") + ["word"] * (name[0] == "w")
+
+
+def test_batches_have_bounded_rows_and_characters(monkeypatch):
+    monkeypatch.setattr(tokens, "BATCH_CHARS", 10)
+    monkeypatch.setattr(tokens, "BATCH_ROWS", 3)
+    assert tokens.batches([4, 6, 1, 0, 0, 0, 25, 25, 2]) == [(0, 2), (2, 5), (5, 6), (6, 7), (7, 8), (8, 9)]
+    assert tokens.batches([]) == []
